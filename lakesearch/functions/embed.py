@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakesearch.functions.once import once
 from lakesearch.functions.runs import with_run_lengths
 from lakesearch.functions.text import tokenize
 
@@ -37,13 +38,13 @@ def hashed_embedder(dim: int = EMBEDDING_DIM) -> Embedder:
             F.sequence(F.lit(0), F.lit(dim - 1)),
         )
         df = with_run_lengths(df, buckets, "bucket", "n", "__runs")
-        df = df.withColumn("__counts", F.transform("__runs", lambda r: (r.n - 1).cast("double")))
-        df = df.withColumn("__norm", F.sqrt(F.aggregate("__counts", F.lit(0.0), lambda a, x: a + x * x)))
+        df = once(df, __counts=F.transform("__runs", lambda r: (r.n - 1).cast("double")))
+        df = once(df, __norm=F.sqrt(F.aggregate("__counts", F.lit(0.0), lambda a, x: a + x * x)))
         unit = F.transform(
             "__counts",
             lambda x: F.when(F.col("__norm") > 0, x / F.col("__norm")).otherwise(F.lit(0.0)).cast("float"),
         )
-        return df.withColumn(out, unit).drop("__runs", "__counts", "__norm")
+        return once(df, **{out: unit}).drop("__runs", "__counts", "__norm")
 
     return embed
 

@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakesearch.functions.once import once
 
-def parse_strict(text: Column) -> Column:
-    """The one JSON value that `text` holds, as VARIANT; NULL if it is not exactly one.
+
+def parse_strict(df: DataFrame, text_col: str, out: str) -> DataFrame:
+    """Add `out`: the one JSON value that the text holds, as VARIANT; NULL if not exactly one.
 
     Spark's parser stops after the first value and takes no notice of what follows.
     So the text is put in an array before a mark it cannot contain: the text's own
     hash. Only if the mark is found in second place was the text a single value.
     """
-    mark = F.md5(text)
-    pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), mark, F.lit('"]')))
-    return F.when(F.try_variant_get(pair, "$[1]", "string") == mark, F.try_variant_get(pair, "$[0]", "variant"))
+    text = F.col(text_col)
+    pair = F.try_parse_json(F.concat(F.lit("["), text, F.lit(',"'), F.md5(text), F.lit('"]')))
+    df = once(df, __pair=pair)
+    single = F.try_variant_get("__pair", "$[1]", "string") == F.md5(text)
+    value = F.when(single, F.try_variant_get("__pair", "$[0]", "variant"))
+    return once(df, **{out: value}).drop("__pair")
 
 
 def member(value: Column, name: str) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakesearch.functions.once import once
 from lakesearch.functions.runs import with_run_lengths
 from lakesearch.functions.text import tokenize
 from lakesearch.operators.batches import fits, lookup_join, per_batch
@@ -49,7 +50,7 @@ def doc_lengths(docs: DataFrame) -> DataFrame:
 
 def postings_of(docs: DataFrame) -> DataFrame:
     """One row per document and distinct term. Counted inside the row: no shuffle."""
-    df = docs.select("doc", tokenize("text").alias("__tokens"))
+    df = once(docs, __tokens=tokenize("text"))
     df = df.select("doc", F.size("__tokens").cast("bigint").alias("dl"), "__tokens")
     df = with_run_lengths(df, F.col("__tokens"), "term", "tf", "__terms")
     df = df.select("doc", "dl", F.explode("__terms").alias("t"))
@@ -62,7 +63,7 @@ def _counts(docs: DataFrame) -> DataFrame:
     The totals ride along as rows of their own kind. All that is asked of this table
     (idf, floor, document count, mean length) then reads one and the same shuffle.
     """
-    df = docs.select(tokenize("text").alias("tokens"))
+    df = once(docs.select("text"), tokens=tokenize("text"))
     weighted = lambda kind, term, n: F.struct(
         F.lit(kind).alias("kind"), F.coalesce(term, F.lit("")).alias("term"), F.coalesce(n, F.lit(0)).cast("bigint").alias("weight")
     )
@@ -155,8 +156,8 @@ def _padding(queries: DataFrame, best: DataFrame, index: Bm25Index, k: int) -> D
     front = index.docs.select("doc").orderBy("doc").limit(2 * k).agg(F.max("doc")).scalar()
     last = index.docs.agg(F.max("doc")).scalar()
     until = F.when(index.floor < 0, last).otherwise(front)
-    zero = index.docs.where(F.col("doc") <= until).select(
-        "doc", F.array_distinct(tokenize("text")).alias("terms"), asked.alias("asked")
+    zero = once(
+        index.docs.where(F.col("doc") <= until), terms=F.array_distinct(tokenize("text")), asked=asked
     )
     missed = F.filter("asked", lambda q: ~F.arrays_overlap(q.terms, F.col("terms")))
     return zero.select(F.explode(missed).alias("q"), "doc").select(F.col("q.query_id"), "doc", F.lit(0.0).alias("score"))

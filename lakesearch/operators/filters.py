@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakesearch.functions.once import once
 from lakesearch.functions.json import as_text, is_object, member, parse_strict, truthy
 
 # Fixed values.
@@ -22,8 +23,8 @@ def event_key(key: Column | str) -> Column:
 
 def parse_items(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Add `item` (VARIANT): the JSON object in `value_col`, or null."""
-    df = df.withColumn("item", parse_strict(F.col(value_col)))
-    return df.withColumn("item", F.when(is_object(F.col("item")), F.col("item")))
+    df = parse_strict(df, value_col, "item")
+    return once(df, item=F.when(is_object(F.col("item")), F.col("item")))
 
 
 def member_key(item: Column, name: str) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakesearch.functions.once import once
 from lakesearch.functions.text import MIN_SNIPPET_LENGTH, clean_html, domain_of, snippet_from
 from lakesearch.schemas import SILVER, SILVER_COLUMNS
 
@@ -18,7 +19,7 @@ def with_snippets(bronze: DataFrame) -> DataFrame:
         if field.name not in bronze.columns:
             bronze = bronze.withColumn(field.name, F.lit(None).cast(field.dataType))
     # The cleaned text is used twice, so it gets a column of its own.
-    df = bronze.withColumn("__cleaned", clean_html("text"))
+    df = once(bronze, __cleaned=clean_html("text"))
     snippet = snippet_from(F.col("title"), F.col("__cleaned"), domain_of("url"))
     return df.withColumn("text", snippet).select(*SILVER_COLUMNS)
 

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakesearch.functions.json import as_text, is_object, kind, member, parse_strict
+from lakesearch.functions.json import kind, parse_strict
+from lakesearch.functions.once import once
 from lakesearch.operators.filters import event_key
 from lakesearch.schemas import STORY_EVENT, STORY_FIELDS
 
@@ -36,63 +37,75 @@ NON_EMPTY_FIELDS = ("title", "by")
 # -------------------------------------------------------------
 
 
-def _int_from_text(value: Column) -> Column:
-    digits = F.regexp_extract(as_text(value), INT_TEXT, 1)
-    return F.regexp_replace(digits, "[_+]", "").try_cast("bigint")
-
-
-def lax_int(value: Column) -> Column:
-    """Integer from a variant: integers, whole numbers, booleans and integer text."""
-    k = kind(value)
-    number = F.try_variant_get(value, "$", "bigint")
-    whole = F.coalesce(_fraction(value) == 0, F.lit(False))
-    return (
-        F.when(k.isin("BIGINT", "BOOLEAN"), number)
-        .when(k.isin("DECIMAL", "DOUBLE") & whole, number)
-        .when(k == "STRING", _int_from_text(value))
-    )
-
-
-def _fraction(value: Column) -> Column:
-    # A decimal type keeps its scale in its name; a double is tested by value.
-    scale = F.regexp_extract(F.schema_of_variant(value), r"^DECIMAL\([0-9]+,([0-9]+)\)$", 1)
-    return F.when(scale != "", scale.try_cast("double")).otherwise(F.try_variant_get(value, "$", "double") % 1)
-
-
-def int_error(value: Column, required: bool) -> Column:
-    k = kind(value)
-    real = F.try_variant_get(value, "$", "double")
-    out_of_range = F.when(lax_int(value).isNull(), F.lit(OUT_OF_RANGE))
-    nothing = F.lit(None).cast("string")
-    return (
-        F.when(value.isNull(), F.lit(MISSING) if required else nothing)
-        .when(k == "VOID", F.lit(BAD_INT) if required else nothing)
-        .when(k == "STRING", F.when(~F.rlike(as_text(value), F.lit(INT_TEXT)), F.lit(BAD_INT_TEXT)).otherwise(out_of_range))
-        .when(k.isin("BIGINT", "BOOLEAN"), nothing)
-        .when(
-            k.isin("DECIMAL", "DOUBLE"),
-            F.when(F.abs(real) == float("inf"), F.lit(NOT_FINITE))
-            .when(_fraction(value) != 0, F.lit(FRACTION))
-            .otherwise(out_of_range),
+def _none() -> Column:
+    return F.lit(None).cast("string")
+
+
+class Member:
+    """One field of a parsed event, as plain columns: its JSON type and its readings."""
+
+    def __init__(self, name: str, is_int: bool):
+        self.name, self.is_int = name, is_int
+        self.type, self.text = F.col(f"__type_{name}"), F.col(f"__text_{name}")
+        self.big, self.real = F.col(f"__big_{name}"), F.col(f"__real_{name}")
+
+    def readings(self) -> dict[str, Column]:
+        get = lambda t: F.try_variant_get("parsed", f"$.{self.name}", t)
+        columns = {
+            f"__type_{self.name}": F.schema_of_variant(get("variant")),
+            f"__text_{self.name}": get("string"),
+        }
+        if self.is_int:
+            columns |= {f"__big_{self.name}": get("bigint"), f"__real_{self.name}": get("double")}
+        return columns
+
+    def number(self) -> Column:
+        return (self.type == "DOUBLE") | F.startswith(self.type, F.lit("DECIMAL"))
+
+    def fractional(self) -> Column:
+        # A decimal keeps its scale in the name of its type; a double is tested by value.
+        whole_decimal = F.endswith(self.type, F.lit(",0)"))
+        return F.when(self.type == "DOUBLE", self.real % 1 != 0).otherwise(~whole_decimal)
+
+    def int_text(self) -> Column:
+        digits = F.regexp_replace(F.regexp_extract(self.text, INT_TEXT, 1), "[_+]", "")
+        return digits.try_cast("bigint")
+
+    def value(self) -> Column:
+        """Text as it is, or an integer read laxly: whole numbers, booleans, integer text."""
+        if not self.is_int:
+            return F.when(self.type == "STRING", self.text)
+        return (
+            F.when(self.type.isin("BIGINT", "BOOLEAN"), self.big)
+            .when(self.type == "STRING", self.int_text())
+            .when(self.number() & ~self.fractional(), self.big)
         )
-        .otherwise(F.lit(BAD_INT))
-    )
-
 
-def string_error(value: Column, required: bool, non_empty: bool) -> Column:
-    k = kind(value)
-    nothing = F.lit(None).cast("string")
-    short = F.when(as_text(value) == "", F.lit(TOO_SHORT)) if non_empty else nothing
-    return (
-        F.when(value.isNull(), F.lit(MISSING) if required else nothing)
-        .when(k == "VOID", F.lit(BAD_STRING) if required else nothing)
-        .when(k == "STRING", short)
-        .otherwise(F.lit(BAD_STRING))
-    )
-
-
-def text_value(value: Column) -> Column:
-    return F.when(kind(value) == "STRING", as_text(value))
+    def error(self, required: bool, non_empty: bool) -> Column:
+        """The field's error, or null. A missing type is a missing field."""
+        absent = F.when(self.type.isNull(), F.lit(MISSING) if required else _none())
+        if not self.is_int:
+            return (
+                absent.when(self.type == "STRING", F.when(self.text == "", F.lit(TOO_SHORT)) if non_empty else _none())
+                .when(self.type == "VOID", F.lit(BAD_STRING) if required else _none())
+                .otherwise(F.lit(BAD_STRING))
+            )
+        return (
+            absent.when(self.type.isin("BIGINT", "BOOLEAN"), _none())
+            .when(self.type == "VOID", F.lit(BAD_INT) if required else _none())
+            .when(
+                self.type == "STRING",
+                F.when(~F.rlike(self.text, F.lit(INT_TEXT)), F.lit(BAD_INT_TEXT))
+                .when(self.int_text().isNull(), F.lit(OUT_OF_RANGE)),
+            )
+            .when(
+                self.number(),
+                F.when(F.abs(self.real) == float("inf"), F.lit(NOT_FINITE))
+                .when(self.fractional(), F.lit(FRACTION))
+                .when(self.big.isNull(), F.lit(OUT_OF_RANGE)),
+            )
+            .otherwise(F.lit(BAD_INT))
+        )
 
 
 class Split(NamedTuple):
@@ -112,47 +125,31 @@ def validate(raw: DataFrame, key_col: str = "key", value_col: str = "value") ->
     df = raw.select(
         event_key(F.col(key_col).cast("string")).alias("key"),
         F.make_valid_utf8(text).alias("original_event"),
-        F.when(F.is_valid_utf8(text), parse_strict(text)).alias("parsed"),
-        text.isNull().alias("__absent"),
+        F.when(F.is_valid_utf8(text), text).alias("__text"),
     )
-    df = df.select("*", *[member(F.col("parsed"), name).alias(f"__{name}") for name in STORY_FIELDS])
-
-    errors, fields = [], []
-    for field in STORY_EVENT:
-        value = F.col(f"__{field.name}")
-        required = not field.nullable
-        if isinstance(field.dataType, T.LongType):
-            errors.append(int_error(value, required))
-            fields.append(lax_int(value).alias(field.name))
-        else:
-            errors.append(string_error(value, required, field.name in NON_EMPTY_FIELDS))
-            fields.append(text_value(value).alias(field.name))
-    df = df.select(
-        "key",
-        "original_event",
-        "parsed",
-        *fields,
-        F.when(F.col("parsed").isNull() & ~F.col("__absent"), F.lit(INVALID_JSON))
-        .when(~is_object(F.col("parsed")), F.lit(NOT_AN_OBJECT))
-        .alias("__malformed"),
-        F.coalesce(*errors).alias("__error"),
+    df = parse_strict(df, "__text", "parsed")
+    members = [Member(f.name, isinstance(f.dataType, T.LongType)) for f in STORY_EVENT]
+    readings = {k: v for m in members for k, v in m.readings().items()}
+    df = once(df, __kind=kind(F.col("parsed")), **readings)
+
+    malformed = F.when(F.col("parsed").isNull() & F.col("original_event").isNotNull(), F.lit(INVALID_JSON)).when(
+        F.coalesce(F.col("__kind"), F.lit("")) != "OBJECT", F.lit(NOT_AN_OBJECT)
     )
+    errors = [m.error(not f.nullable, f.name in NON_EMPTY_FIELDS) for m, f in zip(members, STORY_EVENT, strict=True)]
+    fields = {m.name: m.value() for m in members}
+    df = once(df, **fields, __malformed=malformed, __error=F.coalesce(*errors))
     # The rule across fields is looked at only when every field has passed.
     no_content = (F.coalesce("text", F.lit("")) == "") & (F.coalesce("url", F.lit("")) == "")
     error = F.coalesce("__error", F.when(no_content, F.lit(NO_CONTENT)))
-    return df.select(
-        "key",
-        "original_event",
-        "parsed",
-        *STORY_FIELDS,
-        F.when(F.col("__malformed").isNotNull(), F.lit(MALFORMED))
-        .when(error.isNotNull(), F.lit(INVALID))
-        .alias("reason_class"),
-        F.coalesce(
+    df = once(
+        df,
+        reason_class=F.when(F.col("__malformed").isNotNull(), F.lit(MALFORMED)).when(error.isNotNull(), F.lit(INVALID)),
+        reason=F.coalesce(
             F.concat(F.lit(f"{MALFORMED}: "), "__malformed"),
             F.concat(F.lit(f"{INVALID}: "), error),
-        ).alias("reason"),
+        ),
     )
+    return df.select("key", "original_event", "parsed", *STORY_FIELDS, "reason_class", "reason")
 
 
 def valid_rows(judged: DataFrame) -> DataFrame:
