@@ -31,14 +31,14 @@ def sync_new_rows(silver: DataFrame, ledger: DataFrame, hash_of: str = OF_SNIPPE
     return with_hash(silver, hash_of).join(ledger.select("content_hash"), "content_hash", "left_anti")
 
 
-def payload_of(df: DataFrame) -> Column:
+def payload_columns(df: DataFrame) -> dict[str, Column]:
+    """The seven payload fields; what the rows do not have is null."""
     have = set(df.columns)
-    return F.struct(
-        *[
-            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in PAYLOAD
-        ]
-    )
+    return {f.name: (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType) for f in PAYLOAD}
+
+
+def payload_of(df: DataFrame) -> Column:
+    return F.struct(*[c.alias(name) for name, c in payload_columns(df).items()])
 
 
 def vector_points(
@@ -55,20 +55,24 @@ def vector_points(
     if id_mode not in ("content", "item"):
         raise ValueError(f"unknown id_mode {id_mode!r}")
     pid = point_id("content_hash") if id_mode == "content" else F.col("id").cast("string")
+    # The payload stays flat until the vector is there: structs are built last.
+    flat = [f"__p_{name}" for name in PAYLOAD.fieldNames()]
     kept = new_rows.select(
         pid.alias("point_id"),
         "content_hash",
         F.col(embed_col).alias("__embed"),
-        payload_of(new_rows).alias("payload"),
+        *[c.alias(f"__p_{name}") for name, c in payload_columns(new_rows).items()],
     )
-    return embedder(kept, "__embed", "vector").select("point_id", "content_hash", "vector", "payload")
+    payload = F.struct(*[F.col(c).alias(c.removeprefix("__p_")) for c in flat])
+    return embedder(kept, "__embed", "vector").select("point_id", "content_hash", "vector", payload.alias("payload"))
 
 
 def last_per_point(points: DataFrame) -> DataFrame:
-    """One row per point id; the latest payload (by id) stands for equal ids."""
-    order = [F.col("payload.time").desc_nulls_last(), F.col("payload.id").desc_nulls_last(), "content_hash"]
-    w = Window.partitionBy("point_id").orderBy(*order)
-    return points.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+    """One row per point id: the latest payload by time, id and title."""
+    order = {"__t": "payload.time", "__i": "payload.id", "__n": "payload.title"}
+    df = points.withColumns({name: F.col(path) for name, path in order.items()})
+    w = Window.partitionBy("point_id").orderBy(*[F.col(name).desc_nulls_last() for name in order])
+    return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn", *order)
 
 
 def upsert(existing: DataFrame, new: DataFrame) -> DataFrame:
