@@ -8,15 +8,17 @@ it first and cut a larger set into several passes. Nothing is dropped.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# One pass takes at most so many queries, and so many bytes of query text or vectors.
+# One pass takes at most so many queries and so many bytes of them. A text of n bytes
+# has at most n/2 + 1 tokens, so the bytes also bound the table of query terms.
 MAX_QUERIES = 4096
-MAX_BYTES = 64 * 1024 * 1024
+MAX_BYTES = 16 * 1024 * 1024
 
 
 def _row_bytes(df: DataFrame):
@@ -39,28 +41,35 @@ def fits(df: DataFrame, max_rows: int = MAX_QUERIES, max_bytes: int = MAX_BYTES)
     return row["n"] <= max_rows and row["bytes"] <= max_bytes
 
 
-def query_batches(queries: DataFrame, max_rows: int = MAX_QUERIES, max_bytes: int = MAX_BYTES) -> list[DataFrame]:
+@dataclass
+class Batch:
+    queries: DataFrame
+    fits: bool
+
+
+def query_batches(queries: DataFrame, max_rows: int = MAX_QUERIES, max_bytes: int = MAX_BYTES) -> list[Batch]:
     """The queries as they are if they fit, else as disjoint parts that each do.
 
     Parts are cut by a hash of the query id, and twice as many are made until every
     one is measured to fit. Only a single query beyond `max_bytes` stays too large;
-    callers treat that case without a broadcast.
+    it is marked as not fitting and searched without a broadcast.
     """
     if fits(queries, max_rows, max_bytes):
-        return [queries]
+        return [Batch(queries, True)]
     n = 2
     while True:
         part = F.pmod(F.xxhash64("query_id"), F.lit(n))
         sizes = queries.groupBy(part.alias("part")).agg(
             F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(queries)).alias("bytes")
         )
-        oversized = (F.col("n") > max_rows) | ((F.col("bytes") > max_bytes) & (F.col("n") > 1))
-        if sizes.where(oversized).isEmpty():
-            return [queries.where(part == i) for i in range(n)]
+        # One small row per part.
+        measured = sizes.collect()
+        if all(r["n"] <= max_rows and (r["bytes"] <= max_bytes or r["n"] == 1) for r in measured):
+            return [Batch(queries.where(part == r["part"]), r["bytes"] <= max_bytes) for r in measured]
         n *= 2
 
 
-def per_batch(queries: DataFrame, search: Callable[[DataFrame], DataFrame], max_rows: int = MAX_QUERIES) -> DataFrame:
+def per_batch(queries: DataFrame, search: Callable[[Batch], DataFrame], max_rows: int = MAX_QUERIES) -> DataFrame:
     """Run `search` on every batch and put the results together."""
     return reduce(DataFrame.unionByName, [search(b) for b in query_batches(queries, max_rows)])
 

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from lakesearch.functions.once import once
 from lakesearch.functions.runs import with_run_lengths
 from lakesearch.functions.text import tokenize
-from lakesearch.operators.batches import fits, lookup_join, per_batch
+from lakesearch.operators.batches import Batch, lookup_join, per_batch
 from lakesearch.sources.tables import Table
 
 # ---- fixed values: BM25 parameters and the pool size ----
@@ -113,14 +113,12 @@ def query_terms(queries: DataFrame) -> DataFrame:
     return df.select("query_id", F.coalesce("t.term", F.lit("")).alias("term"), F.col("t.qtf").alias("qtf"))
 
 
-def _scores(queries: DataFrame, index: Bm25Index) -> DataFrame:
-    terms = query_terms(queries)
-    # One weight per query term at most, so measuring the terms bounds the weights.
-    small = fits(terms, max_rows=2_000_000)
-    weights = lookup_join(index.idf, terms, "term", "term", small).select(
+def _scores(batch: Batch, index: Bm25Index) -> DataFrame:
+    # There is one weight per query term at most: a batch that fits bounds both.
+    weights = lookup_join(index.idf, query_terms(batch.queries), "term", "term", batch.fits).select(
         "query_id", "term", (F.col("qtf") * F.col("idf")).alias("weight")
     )
-    hits = lookup_join(index.postings, weights, "term", "doc", small)
+    hits = lookup_join(index.postings, weights, "term", "doc", batch.fits)
     # A corpus without a single token has no postings, so the mean is never zero here.
     dl_part = K1 * (1 - B + B * F.col("dl") / index.avgdl)
     part = F.col("weight") * F.col("tf") * (K1 + 1) / (F.col("tf") + dl_part)
@@ -129,7 +127,7 @@ def _scores(queries: DataFrame, index: Bm25Index) -> DataFrame:
 
 def bm25_scores(queries: DataFrame, index: Bm25Index) -> DataFrame:
     """Score of every document that shares a term with the query; all others score 0."""
-    return per_batch(queries, lambda q: _scores(q, index))
+    return per_batch(queries.select("query_id", "query_text"), lambda batch: _scores(batch, index))
 
 
 def _best(scored: DataFrame, k: int) -> DataFrame:
@@ -137,28 +135,21 @@ def _best(scored: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _padding(queries: DataFrame, best: DataFrame, index: Bm25Index, k: int) -> DataFrame:
+def _unmatched(queries: DataFrame, index: Bm25Index, k: int) -> DataFrame:
     """Documents without any query term (score 0) that may belong in a query's top k.
 
-    Only queries with fewer than k positive scores have room. What fills it comes
-    from the front of the corpus: among its first 2k documents fewer than k are
-    positive, so at least k are not. That holds while no score can be negative; with
-    a negative idf floor (a tiny vocabulary) the whole corpus is looked at instead.
+    A query has room for them only if it has fewer than k positive scores. They come
+    from the front of the corpus: of its first 2k documents at least k are then not
+    positive, so no later one is needed. That holds while no score can be negative;
+    with a negative idf floor (a tiny vocabulary) the whole corpus is looked at.
     """
-    positive = best.where(F.round("score", SCORE_DIGITS) > 0).groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
-    wanting = (
-        queries.select("query_id", F.array_distinct(tokenize(F.coalesce("query_text", F.lit("")))).alias("terms"))
-        .join(positive, "query_id", "left")
-        .where(F.coalesce("n", F.lit(0)) < k)
-    )
-    # At most one batch of queries, hence of bounded size.
-    asked = wanting.agg(F.collect_list(F.struct("query_id", "terms"))).scalar()
+    terms = F.array_distinct(tokenize(F.coalesce("query_text", F.lit(""))))
+    # One batch of queries, hence of bounded size.
+    asked = queries.agg(F.collect_list(F.struct("query_id", terms.alias("terms")))).scalar()
     front = index.docs.select("doc").orderBy("doc").limit(2 * k).agg(F.max("doc")).scalar()
     last = index.docs.agg(F.max("doc")).scalar()
     until = F.when(index.floor < 0, last).otherwise(front)
-    zero = once(
-        index.docs.where(F.col("doc") <= until), terms=F.array_distinct(tokenize("text")), asked=asked
-    )
+    zero = once(index.docs.where(F.col("doc") <= until), terms=F.array_distinct(tokenize("text")), asked=asked)
     missed = F.filter("asked", lambda q: ~F.arrays_overlap(q.terms, F.col("terms")))
     return zero.select(F.explode(missed).alias("q"), "doc").select(F.col("q.query_id"), "doc", F.lit(0.0).alias("score"))
 
@@ -170,16 +161,15 @@ def bm25_topk(queries: DataFrame, index: Bm25Index, k: int = CANDIDATES, pad_zer
     than k documents is filled up with unmatched ones in corpus order.
     """
 
-    return per_batch(queries, lambda batch: batch_topk(batch, index, k, pad_zero))
+    return per_batch(queries.select("query_id", "query_text"), lambda batch: batch_topk(batch, index, k, pad_zero))
 
 
-def batch_topk(batch: DataFrame, index: Bm25Index, k: int, pad_zero: bool) -> DataFrame:
+def batch_topk(batch: Batch, index: Bm25Index, k: int, pad_zero: bool) -> DataFrame:
     """Top-k for one measured batch of queries."""
-    best = _best(_scores(batch, index), k)
-    if not pad_zero:
-        return best
-    padded = best.drop("rank").unionByName(_padding(batch, best, index, k))
-    return _best(padded, k)
+    scored = _scores(batch, index)
+    if pad_zero:
+        scored = scored.unionByName(_unmatched(batch.queries, index, k))
+    return _best(scored, k)
 
 
 class IndexStore:

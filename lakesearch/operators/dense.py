@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakesearch.operators.batches import per_batch
+from lakesearch.operators.batches import Batch, per_batch
 
 # ---- fixed values ----
 CANDIDATES = 20
@@ -98,14 +98,14 @@ def _best(scored: DataFrame, k: int, *groups) -> DataFrame:
 _NEAR = "query_id long, doc long, score double, ref string"
 
 
-def batch_topk(batch: DataFrame, vectors: DataFrame, k: int, doc: str, vector: str, ref: str | None = None) -> DataFrame:
+def batch_topk(queries: DataFrame, vectors: DataFrame, k: int, doc: str, vector: str, ref: str | None = None) -> DataFrame:
     """Top-k for one measured batch of queries; `ref` is a text column to take along."""
     rows = vectors.where(F.col(vector).isNotNull()).select(
         F.col(doc).cast("bigint").alias("doc"),
         F.col(vector).alias("vector"),
         (F.lit(None).cast("string") if ref is None else F.col(ref)).alias("ref"),
     )
-    held = batch.select(F.col("query_id").cast("bigint"), "query_vector").collect()
+    held = queries.select(F.col("query_id").cast("bigint"), "query_vector").collect()
     if held:
         matrix = np.array([r["query_vector"] for r in held], dtype=np.float64)
         ids = np.array([r["query_id"] for r in held], dtype=np.int64)
@@ -132,7 +132,7 @@ def dense_topk(
     is measured, then held as a matrix; more queries than fit take several passes.
     """
     queries = queries.select("query_id", "query_vector")
-    return per_batch(queries, lambda batch: batch_topk(batch, vectors, k, doc, vector))
+    return per_batch(queries, lambda batch: batch_topk(batch.queries, vectors, k, doc, vector))
 
 
 def dense_groundedness(
@@ -151,9 +151,9 @@ def dense_groundedness(
     wiki = F.col("wiki") if "wiki" in payloads.columns else F.lit(None).cast("string").alias("wiki")
     texts = payloads.select("doc", "text", wiki)
 
-    def search(batch: DataFrame) -> DataFrame:
+    def search(batch: Batch) -> DataFrame:
         # At most k rows per query of a measured batch.
-        return texts.join(F.broadcast(batch_topk(batch, vectors, k, doc, vector)), "doc")
+        return texts.join(F.broadcast(batch_topk(batch.queries, vectors, k, doc, vector)), "doc")
 
     return per_batch(queries.select("query_id", "query_vector"), search).select(
         "query_id",

@@ -14,7 +14,7 @@ from lakesearch.functions.text import (
     split_title,
 )
 from lakesearch.operators import bm25, dense
-from lakesearch.operators.batches import per_batch
+from lakesearch.operators.batches import Batch, per_batch
 from lakesearch.operators.silver import doc_part
 
 # ---- fixed values ----
@@ -122,7 +122,8 @@ def with_payload(ranked: DataFrame, payloads: DataFrame) -> DataFrame:
 
 
 def candidate_lists(
-    batch: DataFrame,
+    batch: Batch,
+    embedded: DataFrame,
     vectors: DataFrame,
     index: bm25.Bm25Index,
     payloads: DataFrame,
@@ -133,7 +134,7 @@ def candidate_lists(
     """Both ranked lists of one batch with text and payload, told apart by `side`."""
     found = bm25.batch_topk(batch, index, candidates, pad_zero).withColumn("side", F.lit(KEYWORD))
     ref = None if vector_payloads is None else "ref"
-    near = dense.batch_topk(batch, vectors, candidates, "doc", "vector", ref).withColumn("side", F.lit(DENSE))
+    near = dense.batch_topk(embedded, vectors, candidates, "doc", "vector", ref).withColumn("side", F.lit(DENSE))
     if vector_payloads is None:
         return with_payload(near.unionByName(found), payloads)
     columns = ["query_id", "side", "text", "score", "rank", "payload"]
@@ -141,35 +142,52 @@ def candidate_lists(
     return near.select(*columns).unionByName(with_payload(found, payloads).select(*columns))
 
 
-def hybrid_search(
+def fused_pool(
     queries: DataFrame,
     vectors: DataFrame,
     index: bm25.Bm25Index,
     payloads: DataFrame,
     embedder: Embedder | None = None,
-    top_k: int = TOP_K,
     candidates: int = dense.CANDIDATES,
-    z: float = DYNAMIC_Z,
-    dense_floor: float = DENSE_FLOOR,
-    bm25_floor: float = BM25_FLOOR,
     pad_zero: bool = True,
     vector_payloads: DataFrame | None = None,
 ) -> DataFrame:
-    """Answer a batch of queries: dense and keyword candidates, fused, with verdicts.
+    """The whole fused pool of every query: dense and keyword candidates by text.
 
     `queries`: query_id, query_text and, if embedded already, query_vector.
     `vectors`: doc, vector. `payloads`: doc, text, payload and perhaps doc_part.
     Where vectors carry payloads of their own, `vector_payloads` has ref, text,
     payload, and `vectors` has `ref` as well.
     """
-    if "query_vector" not in queries.columns:
-        queries = (embedder or hashed_embedder())(queries, "query_text", "query_vector")
+    given = "query_vector" in queries.columns
+    embed = embedder or hashed_embedder()
+
+    def search(batch: Batch) -> DataFrame:
+        embedded = batch.queries if given else embed(batch.queries, "query_text", "query_vector")
+        return fuse_sides(
+            candidate_lists(batch, embedded, vectors, index, payloads, candidates, pad_zero, vector_payloads)
+        )
 
-    def search(batch: DataFrame) -> DataFrame:
-        lists = candidate_lists(batch, vectors, index, payloads, candidates, pad_zero, vector_payloads)
-        return verdicts(fuse_sides(lists), top_k, z, dense_floor, bm25_floor)
+    return per_batch(queries, search)
 
-    return per_batch(queries.select("query_id", "query_text", "query_vector"), search)
+
+def hybrid_search(
+    queries: DataFrame,
+    vectors: DataFrame,
+    index: bm25.Bm25Index,
+    payloads: DataFrame,
+    embedder: Embedder | None = None,
+    top_k: int = TOP_K,
+    candidates: int = dense.CANDIDATES,
+    z: float = DYNAMIC_Z,
+    dense_floor: float = DENSE_FLOOR,
+    bm25_floor: float = BM25_FLOOR,
+    pad_zero: bool = True,
+    vector_payloads: DataFrame | None = None,
+) -> DataFrame:
+    """Answer a batch of queries: the top k of each fused pool, with verdicts."""
+    pool = fused_pool(queries, vectors, index, payloads, embedder, candidates, pad_zero, vector_payloads)
+    return verdicts(pool, top_k, z, dense_floor, bm25_floor)
 
 
 def display_rows(results: DataFrame) -> DataFrame:

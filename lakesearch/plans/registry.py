@@ -306,34 +306,34 @@ def vector_upsert(spark, sf_dir):
 # ---- retrieval ----
 
 
-def _index(spark, sf_dir):
-    return bm25.build_index(views.corpus(spark, sf_dir))
-
-
 @query
 def bm25_doc_stats(spark, sf_dir):
-    return bm25.doc_stats(views.corpus(spark, sf_dir)).select("n_docs", "total_len", F.round("avgdl", 6).alias("avgdl"))
+    docs = views.corpus(views.silver_docs(spark, sf_dir))
+    return bm25.doc_stats(docs).select("n_docs", "total_len", F.round("avgdl", 6).alias("avgdl"))
 
 
 @query
 def bm25_idf(spark, sf_dir):
-    return _index(spark, sf_dir).idf.select("term", "df", F.round("idf", 6).alias("idf"))
+    index = bm25.build_index(views.corpus(views.silver_docs(spark, sf_dir)))
+    return index.idf.select("term", "df", F.round("idf", 6).alias("idf"))
 
 
 @query
 def bm25_postings(spark, sf_dir):
-    return _index(spark, sf_dir).postings
+    return bm25.postings_of(views.corpus(views.silver_docs(spark, sf_dir)))
 
 
 @query
 def bm25_scores(spark, sf_dir):
-    scored = bm25.bm25_scores(views.search_queries(spark, sf_dir), _index(spark, sf_dir))
+    index = bm25.build_index(views.corpus(views.written_silver(spark, sf_dir)))
+    scored = bm25.bm25_scores(views.search_queries(spark, sf_dir), index)
     return scored.select("query_id", "doc", F.round("score", 6).alias("score"))
 
 
 @query
 def bm25_topk(spark, sf_dir):
-    top = bm25.bm25_topk(views.search_queries(spark, sf_dir), _index(spark, sf_dir))
+    index = bm25.build_index(views.corpus(views.written_silver(spark, sf_dir)))
+    top = bm25.bm25_topk(views.search_queries(spark, sf_dir), index)
     return top.select("query_id", "doc", F.round("score", 6).alias("score"), *_bigint("rank"))
 
 
@@ -344,37 +344,30 @@ def dense_topk(spark, sf_dir):
     return top.select("query_id", "doc", F.round("score", 6).alias("score"), *_bigint("rank"))
 
 
-def _doc_vectors(spark, sf_dir):
-    return embed.hashed_embedder()(views.corpus(spark, sf_dir), "text", "vector").select("doc", "vector")
+def _doc_vectors(rows: DataFrame) -> DataFrame:
+    return embed.hashed_embedder()(views.corpus(rows), "text", "vector").select("doc", "vector")
 
 
-def _payloads(spark, sf_dir):
-    rows = views.silver_docs(spark, sf_dir)
+def _payloads(rows: DataFrame) -> DataFrame:
     return rows.select(F.col("id").alias("doc"), "text", vectors.payload_of(rows).alias("payload"))
 
 
-def _embedded_queries(spark, sf_dir):
-    return embed.hashed_embedder()(views.search_queries(spark, sf_dir), "query_text", "query_vector")
-
-
 @query
 def dense_groundedness(spark, sf_dir):
-    found = dense.dense_groundedness(
-        _embedded_queries(spark, sf_dir), _doc_vectors(spark, sf_dir), _payloads(spark, sf_dir)
-    )
+    rows = views.written_silver(spark, sf_dir)
+    embedded = embed.hashed_embedder()(views.search_queries(spark, sf_dir), "query_text", "query_vector")
+    found = dense.dense_groundedness(embedded, _doc_vectors(rows), _payloads(rows))
     return found.select("query_id", *_bigint("rank"), "text", "wiki", "cosine_score", "grounded")
 
 
+def _retrieve(search, spark, sf_dir) -> DataFrame:
+    rows = views.written_silver(spark, sf_dir)
+    index = bm25.build_index(views.corpus(rows))
+    return search(views.search_queries(spark, sf_dir), _doc_vectors(rows), index, _payloads(rows))
+
+
 def _fused(spark, sf_dir):
-    lists = fusion.candidate_lists(
-        _embedded_queries(spark, sf_dir),
-        _doc_vectors(spark, sf_dir),
-        _index(spark, sf_dir),
-        _payloads(spark, sf_dir),
-        dense.CANDIDATES,
-        True,
-    )
-    return fusion.fuse_sides(lists)
+    return _retrieve(fusion.fused_pool, spark, sf_dir)
 
 
 @query
@@ -399,12 +392,7 @@ def dynamic_threshold(spark, sf_dir):
 
 
 def _hybrid(spark, sf_dir):
-    return fusion.hybrid_search(
-        views.search_queries(spark, sf_dir),
-        _doc_vectors(spark, sf_dir),
-        _index(spark, sf_dir),
-        _payloads(spark, sf_dir),
-    )
+    return _retrieve(fusion.hybrid_search, spark, sf_dir)
 
 
 @query

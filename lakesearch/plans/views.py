@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from lakesearch.operators import bm25
 from lakesearch.operators.silver import build_silver
+from lakesearch.session import written
+from lakesearch.sources.files import spread
 
 # Raw messages: one JSON text per event, with a fault or an oddity for most values of
 # m = event_id % 20. Nothing is left out: every event becomes a message.
@@ -103,8 +105,13 @@ FROM {conversations}
 """
 
 
+# Tables whose rows are worth dealing out, by key.
+SPREAD_BY = {"events": "event_id", "documents": "doc_id", "pages": "page_id", "embeddings": "vec_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, SPREAD_BY[name]) if name in SPREAD_BY else df
 
 
 def view(spark: SparkSession, sf_dir: str, sql: str, **tables: DataFrame) -> DataFrame:
@@ -158,12 +165,17 @@ def search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return items.unionByName(names)
 
 
-def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The retrieval corpus: the snippets of `silver_docs` under their ids.
+def written_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`silver_docs` as a table, the way retrieval finds Silver in the pipeline."""
+    return written(silver_docs(spark, sf_dir))
+
+
+def corpus(silver: DataFrame) -> DataFrame:
+    """The retrieval corpus: Silver's snippets under their ids.
 
     Here the ids are unique and follow arrival, so they serve as `doc`.
     """
-    return bm25.corpus(silver_docs(spark, sf_dir), "id")
+    return bm25.corpus(silver, "id")
 
 
 def label_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:

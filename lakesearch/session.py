@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings every job relies on. Shuffle partitions are not fixed here:
 # AQE coalesces from whatever initial number the cluster names.
@@ -47,3 +48,15 @@ def scratch_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="lakesearch-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Write the rows to a table of their own in the scratch folder and read it back.
+
+    For a result that several passes start from: it is computed once, later passes
+    prune its columns, and a lost executor only repeats its own reads. The folder
+    can go once the results built on it have been used.
+    """
+    path = f"{scratch_dir(df.sparkSession)}/lakesearch-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,7 +5,17 @@ They go through Hadoop's FileSystem, so any scheme that Spark reads works.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal the rows out by `key` if the input has fewer splits than there are cores.
+
+    A lone Parquet file with one row group is read by one task, and everything up to
+    the next shuffle would run there too. Inputs of many files are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
 class Files:
