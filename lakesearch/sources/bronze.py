@@ -54,7 +54,7 @@ def read_bronze(spark: SparkSession, *roots: str) -> DataFrame:
     for root in roots:
         files = Files(spark, root)
         if any(name.startswith("date=") for name in files.list(root)):
-            one = spark.read.schema(BRONZE).parquet(root)
+            one = spark.read.schema(BRONZE).parquet(root).select(*BRONZE.fieldNames())
             found = one if found is None else found.unionByName(one, allowMissingColumns=True)
     return spark.createDataFrame([], BRONZE) if found is None else found
 
