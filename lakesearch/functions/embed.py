@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakesearch.functions.once import once
-from lakesearch.functions.runs import with_run_lengths
 from lakesearch.functions.text import tokenize
 
 # Vector width, and texts per call of a model.
@@ -25,26 +24,34 @@ def _bucket(token: Column, dim: int) -> Column:
     return (F.conv(F.substring(F.sha1(token), 1, 4), 16, 10).cast("int") % dim).cast("int")
 
 
+def _unit_histogram(dim: int):
+    """Array of bucket numbers to its unit-length histogram, one Arrow batch at a time."""
+
+    @F.pandas_udf(T.ArrayType(T.FloatType()))
+    def histogram(buckets: pd.Series) -> pd.Series:
+        rows = len(buckets)
+        lengths = buckets.map(len).to_numpy()
+        cells = np.repeat(np.arange(rows, dtype=np.int64) * dim, lengths)
+        if len(cells):
+            cells += np.concatenate(buckets.to_list()).astype(np.int64)
+        counts = np.bincount(cells, minlength=rows * dim).reshape(rows, dim).astype(np.float64)
+        norm = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
+        return pd.Series(list((counts / np.where(norm > 0, norm, 1.0)).astype(np.float32)))
+
+    return histogram
+
+
 def hashed_embedder(dim: int = EMBEDDING_DIM) -> Embedder:
     """Hashed bag of words, unit length: a repeatable stand-in for a sentence model.
 
-    Every bucket number is added once to the token buckets before counting, so that
-    the run lengths come out as exactly `dim` counts, each one too high.
+    Tokens are split and hashed in the JVM; only bucket numbers go to Python. A text
+    without tokens becomes the zero vector.
     """
 
     def embed(df: DataFrame, text_col: str, out: str = "vector") -> DataFrame:
-        buckets = F.concat(
-            F.transform(tokenize(F.coalesce(F.col(text_col), F.lit(""))), lambda t: _bucket(t, dim)),
-            F.sequence(F.lit(0), F.lit(dim - 1)),
-        )
-        df = with_run_lengths(df, buckets, "bucket", "n", "__runs")
-        df = once(df, __counts=F.transform("__runs", lambda r: (r.n - 1).cast("double")))
-        df = once(df, __norm=F.sqrt(F.aggregate("__counts", F.lit(0.0), lambda a, x: a + x * x)))
-        unit = F.transform(
-            "__counts",
-            lambda x: F.when(F.col("__norm") > 0, x / F.col("__norm")).otherwise(F.lit(0.0)).cast("float"),
-        )
-        return once(df, **{out: unit}).drop("__runs", "__counts", "__norm")
+        tokens = tokenize(F.coalesce(F.col(text_col), F.lit("")))
+        df = once(df, __buckets=F.transform(tokens, lambda t: _bucket(t, dim)))
+        return once(df, **{out: _unit_histogram(dim)("__buckets")}).drop("__buckets")
 
     return embed
 

@@ -149,7 +149,8 @@ def _unmatched(queries: DataFrame, index: Bm25Index, k: int) -> DataFrame:
     front = index.docs.select("doc").orderBy("doc").limit(2 * k).agg(F.max("doc")).scalar()
     last = index.docs.agg(F.max("doc")).scalar()
     until = F.when(index.floor < 0, last).otherwise(front)
-    zero = once(index.docs.where(F.col("doc") <= until), terms=F.array_distinct(tokenize("text")), asked=asked)
+    zero = once(index.docs.where(F.col("doc") <= until), terms=F.array_distinct(tokenize("text")))
+    zero = zero.select("doc", "terms", asked.alias("asked"))
     missed = F.filter("asked", lambda q: ~F.arrays_overlap(q.terms, F.col("terms")))
     return zero.select(F.explode(missed).alias("q"), "doc").select(F.col("q.query_id"), "doc", F.lit(0.0).alias("score"))
 

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakesearch.sources.files import Files
+
 # Runtime settings every job relies on. Shuffle partitions are not fixed here:
 # AQE coalesces from whatever initial number the cluster names.
 RUNTIME_CONF = {
@@ -15,6 +17,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # A repeated key in a JSON object: the last one wins, as in Python's json.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Ids seen by a stream are kept on disk, not in executor memory.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -50,13 +54,24 @@ def scratch_dir(spark: SparkSession) -> str:
     return folder
 
 
+_written: list[str] = []
+
+
+def discard_written(spark: SparkSession) -> None:
+    """Delete this process's scratch tables, once nothing built on them is needed."""
+    while _written:
+        path = _written.pop()
+        Files(spark, path).delete(path)
+
+
 def written(df: DataFrame) -> DataFrame:
     """Write the rows to a table of their own in the scratch folder and read it back.
 
     For a result that several passes start from: it is computed once, later passes
     prune its columns, and a lost executor only repeats its own reads. The folder
-    can go once the results built on it have been used.
+    stays until `discard_written`, as results built on it are computed later.
     """
     path = f"{scratch_dir(df.sparkSession)}/lakesearch-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,11 +1,14 @@
 """Streams: raw messages to validated and dead-letter tables, and on to Bronze.
 
 Offsets and state live in each query's checkpoint. A batch that is run again after a
-lost executor or driver replaces what it wrote, so nothing is lost or doubled.
+lost executor or driver finds its finished folders and leaves them, or replaces
+unfinished ones, so nothing is lost or doubled. Topics are written at least once.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
@@ -13,6 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from lakesearch.operators.validate import dead_letter_messages, dead_letters, valid_rows, validate
 from lakesearch.schemas import RAW_MESSAGE, STORY_EVENT, STORY_FIELDS
 from lakesearch.sources.bronze import append_bronze, with_bronze_columns
+from lakesearch.sources.files import Files
 from lakesearch.sources.kafka import DLQ_TOPIC, VALIDATED_TOPIC, messages, sink_options
 
 # Flush after so many rows or so long, whichever comes first.
@@ -54,18 +58,38 @@ def with_counters(judged: DataFrame) -> DataFrame:
     )
 
 
+def _write_once(df: DataFrame, path: str) -> None:
+    """Write a batch folder unless it is there and complete.
+
+    A reader may have taken its files already; the same rows under new file names
+    would be read a second time.
+    """
+    if not Files(df.sparkSession, path).exists(f"{path}/_SUCCESS"):
+        df.write.mode("overwrite").parquet(path)
+
+
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """Name of a stream, kept beside its checkpoint: batch numbers only count within it."""
+    path = f"{checkpoint}/lakesearch_stream"
+    files = Files(spark, checkpoint)
+    if not files.exists(path):
+        files.write_new(path, uuid.uuid4().hex[:12])
+    return files.read_text(path)
+
+
 def start_validator(raw: DataFrame, out: str, checkpoint: str, drain: bool = False) -> StreamingQuery:
     """Validate and route into `<out>/validated` and `<out>/dlq`, one folder per batch.
 
     Both sides are written from one kept copy of the judged batch.
     """
+    stream = _stream_id(raw.sparkSession, checkpoint)
 
     def route(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
             valid = messages(valid_rows(batch), "key", STORY_FIELDS)
-            valid.write.mode("overwrite").parquet(f"{out}/validated/batch={batch_id}")
-            dead_letters(batch).write.mode("overwrite").parquet(f"{out}/dlq/batch={batch_id}")
+            _write_once(valid, f"{out}/validated/batch={stream}-{batch_id}")
+            _write_once(dead_letters(batch), f"{out}/dlq/batch={stream}-{batch_id}")
         finally:
             batch.unpersist()
 
@@ -101,9 +125,10 @@ def parse_validated(stream: DataFrame) -> DataFrame:
 def start_bronze_writer(validated: DataFrame, root: str, checkpoint: str, drain: bool = False) -> StreamingQuery:
     """Land validated messages in Bronze, partitioned by flush date and hour."""
     rows = with_bronze_columns(parse_validated(validated))
+    stream = _stream_id(validated.sparkSession, checkpoint)
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        append_bronze(batch, root, f"{batch_id:09d}")
+        append_bronze(batch, root, f"{stream}-{batch_id:09d}")
 
     return trigger(rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(land), drain).start()
 

@@ -52,6 +52,28 @@ def test_raw_to_bronze(spark, tmp_path):
     assert read_bronze(spark, str(tmp_path / "bronze")).count() == 3
 
 
+def test_finished_batch_folder_is_left_alone(spark, tmp_path):
+    path = str(tmp_path / "batch=1")
+    jobs._write_once(spark.range(3), path)
+    first = sorted(p.name for p in (tmp_path / "batch=1").glob("part-*"))
+    jobs._write_once(spark.range(3), path)
+    assert sorted(p.name for p in (tmp_path / "batch=1").glob("part-*")) == first
+    (tmp_path / "batch=1" / "_SUCCESS").unlink()  # as after a crash in the middle
+    jobs._write_once(spark.range(3), path)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_a_new_stream_never_replaces_an_old_one(spark, tmp_path):
+    for name in ("one", "two"):
+        drop_file(tmp_path / f"in-{name}", "a.txt", [story(1 if name == "one" else 2)])
+        raw = jobs.read_text_folder(spark, str(tmp_path / f"in-{name}"))
+        jobs.start_validator(raw, str(tmp_path / name), str(tmp_path / f"cp-{name}"), drain=True).awaitTermination(120)
+        validated = jobs.read_message_folder(spark, str(tmp_path / name / "validated" / "batch=*"))
+        # Both start at batch 0 and land in the same Bronze.
+        jobs.start_bronze_writer(validated, str(tmp_path / "bronze"), str(tmp_path / f"cpb-{name}"), drain=True).awaitTermination(120)
+    assert sorted(r["id"] for r in read_bronze(spark, str(tmp_path / "bronze")).collect()) == [1, 2]
+
+
 def test_new_ids(spark, tmp_path):
     drop_file(tmp_path / "in", "a.txt", [story(i) for i in (1, 2, 2, 3)])
     drop_file(tmp_path / "in", "b.txt", [story(i) for i in (3, 4, 1)])

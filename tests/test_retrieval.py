@@ -6,8 +6,6 @@ import statistics
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
-
 from lakesearch.operators import batches, bm25, dense, fusion
 
 WORDS = [f"w{i}" for i in range(40)]
@@ -272,4 +270,3 @@ def test_no_broadcast_nested_loop(spark):
     d, q = frames(spark, make_corpus())
     plan = bm25.bm25_topk(q, bm25.build_index(d))._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
-    assert d.select(F.lit(1)).count() == 60
