@@ -79,8 +79,9 @@ def with_doc_order(silver: DataFrame) -> DataFrame:
     without a single-task sort. The numbers are only stable once written, which is
     what the Silver table does.
     """
-    ordered = silver.repartitionByRange(*[F.col(c).asc_nulls_first() for c in (*ARRIVAL, "text")])
-    ordered = ordered.sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in (*ARRIVAL, "text")])
+    # Range bounds are sampled to the driver, so a hash stands in for the text itself.
+    order = [*[F.col(c).asc_nulls_first() for c in ARRIVAL], F.xxhash64("text").asc()]
+    ordered = silver.repartitionByRange(*order).sortWithinPartitions(*order)
     ordered = ordered.withColumn("doc_order", F.monotonically_increasing_id())
     return ordered.withColumn("doc_part", doc_part("doc_order"))
 

@@ -133,3 +133,9 @@ def test_ingest_refresh_search(spark, lake):
 def test_refresh_ignores_empty_bronze(spark, lake):
     assert lake.build_silver() is False
     assert not lake.silver.exists()
+
+
+def test_search_before_anything_is_there(spark, lake):
+    lake.store.ensure()
+    queries = spark.createDataFrame([(1, "word")], "query_id long, query_text string")
+    assert lake.search(queries).count() == 0
