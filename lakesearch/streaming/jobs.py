@@ -2,7 +2,8 @@
 
 Offsets and state live in each query's checkpoint. A batch that is run again after a
 lost executor or driver finds its finished folders and leaves them, or replaces
-unfinished ones, so nothing is lost or doubled. Topics are written at least once.
+unfinished ones. Nothing is lost; topics, and a folder read while its commit was cut
+short, may repeat rows, which Silver's dedup removes.
 """
 
 from __future__ import annotations
