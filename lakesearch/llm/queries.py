@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesearch.llm import bpe, poisson, shards, simhash
+from lakesearch.llm import bpe, collisions, langid, poisson, separators, shards, simhash
 from lakesearch.llm.common import table
+from lakesearch.session import scratch_dir
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
@@ -19,6 +21,21 @@ N_SHARDS = 8
 MIX_SEED = 20240
 
 
+def op1_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of each document of the flat token files that all documents encode to."""
+    folder = f"{scratch_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    separators.write_token_files(table(spark, sf_dir, "documents"), folder, RANKS, PATTERN, END_OF_DOCUMENT)
+    return separators.count_tokens(spark, folder, END_OF_DOCUMENT).withColumn("file", F.element_at(F.split("file", "/"), -1))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page from its text, markup, address and host; models from `documents`."""
+    model = langid.fit(table(spark, sf_dir, "documents"))
+    pages = table(spark, sf_dir, "pages")
+    html, url = F.col("html"), F.col("url")
+    return langid.identify(pages, ["page_id", "url"], langid.visible_text(html), langid.declared_in(html), langid.host_of(url), model)
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of the bytes they decode to."""
     docs = table(spark, sf_dir, "documents")
@@ -36,6 +53,12 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.edit_study(table(spark, sf_dir, "documents"))
 
 
+def op9_collision_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    rows = table(spark, sf_dir, "embeddings")
+    return collisions.nearest(rows, rows.where(F.col("vec_id") % 20 == 0), 20)
+
+
 def op10_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As many documents as there are, every source weighing the same."""
     docs = table(spark, sf_dir, "documents")
@@ -43,8 +66,11 @@ def op10_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_separator_scan": op1_separator_scan,
+    "op2_language_id": op2_language_id,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_byte_shards": op4_byte_shards,
     "op8_simhash": op8_simhash,
+    "op9_collision_knn": op9_collision_knn,
     "op10_poisson_mix": op10_poisson_mix,
 }

@@ -45,10 +45,10 @@ def write_token_files(docs: DataFrame, folder: str, ranks_path: str, pattern: st
         enc = bpe.encoding(ranks_path, pattern)
         if enc.max_token_value > 0xFFFF or separator <= enc.max_token_value:
             raise ValueError("ids must fit two bytes and differ from the separator")
-        end = np.array([separator], ">u2")
+        end = np.array([separator], np.uint32)
         for whole in batches:
             for batch in bpe.in_slices(whole, 0):
-                rows = [np.concatenate([bpe.encode_text(enc, t).astype(">u2"), end]).tobytes()[:-1] for t in batch.column(0).to_pylist()]
+                rows = [np.append(bpe.encode_text(enc, t), end).astype(">u2").tobytes()[:-1] for t in batch.column(0).to_pylist()]
                 yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["ids"])
 
     texts = docs.select(F.coalesce(F.col("text"), F.lit("")).alias("text"))
