@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesearch.llm import bpe, collisions, langid, poisson, separators, shards, simhash
+from lakesearch.llm import bpe, collisions, dartminhash, langid, poisson, separators, shards, simhash
 from lakesearch.llm.common import table
 from lakesearch.session import scratch_dir
 
@@ -48,6 +48,11 @@ def op4_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op5_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return dartminhash.near_classes(table(spark, sf_dir, "documents"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and its edited text."""
     return simhash.edit_study(table(spark, sf_dir, "documents"))
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_byte_shards": op4_byte_shards,
+    "op5_dart_minhash": op5_dart_minhash,
     "op8_simhash": op8_simhash,
     "op9_collision_knn": op9_collision_knn,
     "op10_poisson_mix": op10_poisson_mix,
