@@ -1,7 +1,6 @@
 """Near-duplicate classes by DartMinHash over weighted shingle sets.
 
-A document is the multiset of its runs of WORDS words (lower-cased runs of letters and
-digits); a text with fewer words is one run. Darts are thrown, by hashes alone, into the
+A document is the multiset of its runs of WORDS words (see `words`); a text with fewer words is one run. Darts are thrown, by hashes alone, into the
 plane of weight and rank of every shingle, region by region; a dart hits a document if it
 lies under the shingle's weight, and the document looks at ranks up to a bound that fits
 its total weight. The earliest dart at each of K coordinates is the signature; two documents
@@ -21,7 +20,6 @@ smallest id; an empty table gives no rows; other columns are not looked at.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +29,7 @@ from pyspark.sql import functions as F
 
 from lakesearch.llm.bpe import in_slices
 from lakesearch.llm.common import whole_text
+from lakesearch.llm.words import word_hashes
 from lakesearch.session import written
 
 WORDS = 5
@@ -43,7 +42,6 @@ DOCS_AT_ONCE = 256
 #: Rounds with other centres before the rest of a bucket is compared pair by pair.
 CENTRE_ROUNDS = 3
 
-WORD = re.compile(r"[^\W_]+")
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 FIRST_RANK = 1 / 16
 
@@ -59,31 +57,36 @@ def unit(x: np.ndarray) -> np.ndarray:
     return (x >> np.uint64(11)) * 2.0**-53
 
 
-class _Hashes(dict):
-    def __missing__(self, word: str) -> int:
-        import xxhash
+def _rolled(h: np.ndarray, words: int) -> np.ndarray:
+    """Hash of each run of `words` words."""
+    n = len(h) - words + 1
+    run = np.full(n, words, np.uint64)
+    for i in range(words):
+        run = mix(run * GOLD + h[i : i + n])
+    return run
+
 
-        if len(self) > 200_000:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word.encode("utf-8", "replace"))
-        return h
+def _multiset(runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    runs = np.sort(runs)
+    first = np.flatnonzero(np.concatenate([[True], runs[1:] != runs[:-1]])[: len(runs)])
+    return runs[first], np.diff(np.append(first, len(runs))).astype(np.uint32)
 
 
-_hashes = _Hashes()
+def shingle_sets(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each text the hashes of its distinct shingles, sorted, and how often each occurs."""
+    (h,), sizes = word_hashes(texts)
+    h = mix(h)
+    run = _rolled(h, WORDS) if len(h) >= WORDS else h[:0]
+    out, start = [], 0
+    for n in sizes.tolist():
+        own = run[start : start + n - WORDS + 1] if n >= WORDS else _rolled(h[start : start + n], n) if n else h[:0]
+        out.append(_multiset(own))
+        start += n
+    return out
 
 
 def shingles(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the distinct shingles, sorted, and how often each occurs."""
-    words = WORD.findall(text.lower())
-    if not words:
-        return np.empty(0, np.uint64), np.empty(0, np.uint32)
-    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-    n = max(1, len(h) - WORDS + 1)
-    run = np.full(n, len(h) if len(h) < WORDS else WORDS, np.uint64)
-    for i in range(min(WORDS, len(h))):
-        run = mix(run * GOLD + h[i : i + n])
-    found, counts = np.unique(run, return_counts=True)
-    return found, counts.astype(np.uint32)
+    return shingle_sets([text])[0]
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -120,7 +123,7 @@ def throw(elements: np.ndarray, weights: np.ndarray, owner: np.ndarray, bound: n
             deep = deep[bound[owner[deep]] > r_low]
             if not len(deep):
                 break
-            region = mix(elements[deep] + np.uint64(nu * 64 + rho + 1) * GOLD)
+            region = mix(elements[deep] + np.array([nu * 64 + rho + 1], np.uint64) * GOLD)
             n = np.searchsorted(poisson_cdf(w_size * r_size), unit(region), "right")
             hit = np.flatnonzero(n)
             n = n[hit]
@@ -150,13 +153,12 @@ def signatures(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         weights = np.concatenate([sets[i][1] for i in todo]).astype(np.float64)
         who, coordinate, rank, dart = throw(elements, weights, owner, bound[todo])
         cell = who * K + coordinate
-        order = np.lexsort((dart, rank, cell))
-        cells, first = np.unique(cell[order], return_index=True)
-        filled = np.zeros((len(todo), K), bool)
-        filled.flat[cells] = True
+        earliest = np.full(len(todo) * K, np.inf)
+        np.minimum.at(earliest, cell, rank)
+        first = rank == earliest[cell]
         rows = np.zeros((len(todo), K), np.uint64)
-        rows.flat[cells] = dart[order][first]
-        done = filled.all(axis=1)
+        rows.flat[cell[first]] = dart[first]
+        done = np.isfinite(earliest).reshape(-1, K).all(axis=1)
         out[todo[done]] = rows[done]
         todo = todo[~done]
         bound[todo] *= 2  # an empty coordinate: look at later ranks as well
@@ -180,7 +182,7 @@ def _bands_of(docs: DataFrame) -> DataFrame:
             for part in in_slices(whole, 1):
                 for start in range(0, len(part), DOCS_AT_ONCE):
                     batch = part.slice(start, DOCS_AT_ONCE)
-                    sets = [shingles(t) for t in batch.column(1).to_pylist()]
+                    sets = shingle_sets(batch.column(1).to_pylist())
                     full = [i for i, s in enumerate(sets) if len(s[0])]
                     if full:
                         keys = bands(signatures([sets[i] for i in full]))
@@ -195,7 +197,7 @@ def _shingles_of(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in in_slices(whole, 1):
-                sets = [shingles(t) for t in batch.column(1).to_pylist()]
+                sets = shingle_sets(batch.column(1).to_pylist())
                 columns = [batch.column(0), pa.array([h.tobytes() for h, _ in sets], pa.binary()), pa.array([c.tobytes() for _, c in sets], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "h", "c"])
 
@@ -277,6 +279,9 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     for number in range(CENTRE_ROUNDS + 1):
         labelled = members.select("key", "id").join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
         split = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min(F.struct(F.xxhash64("id", F.lit(number)).alias("o"), "id", "label")).alias("c")).where("x < y")
+        split = written(split)
+        if split.isEmpty():
+            break
         if number < CENTRE_ROUNDS:
             found = labelled.join(split, "key").where("label <> c.label").select("id", F.col("c.id").alias("other"))
         else:

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesearch.llm import bpe, collisions, dartminhash, langid, poisson, separators, shards, simhash
+from lakesearch.llm import bpe, collisions, dartminhash, langid, poisson, separators, shards, simhash, toxicity
 from lakesearch.llm.common import table
 from lakesearch.session import scratch_dir
 
@@ -53,6 +53,13 @@ def op5_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dartminhash.near_classes(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; labels of held-out rows are not used."""
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and its edited text."""
     return simhash.edit_study(table(spark, sf_dir, "documents"))
@@ -76,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_byte_shards": op4_byte_shards,
     "op5_dart_minhash": op5_dart_minhash,
+    "op7_toxicity": op7_toxicity,
     "op8_simhash": op8_simhash,
     "op9_collision_knn": op9_collision_knn,
     "op10_poisson_mix": op10_poisson_mix,
