@@ -117,10 +117,10 @@ def decode(df: DataFrame, key: str, ranks_path: str, pattern: str, ids: str = "i
     return rows.mapInArrow(run, f"key {kind}, decoded binary").withColumnRenamed("key", key)
 
 
-def digests(encoded: DataFrame) -> DataFrame:
+def digests(encoded: DataFrame, keep_ids: bool = False) -> DataFrame:
     """Token count and the hashes of ids and decoded bytes, from `encode(..., decoded=True)`."""
     return encoded.select(
-        *[c for c in encoded.columns if c not in ("ids", "decoded")],
+        *[c for c in encoded.columns if c != "decoded" and (keep_ids or c != "ids")],
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),

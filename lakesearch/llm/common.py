@@ -29,3 +29,18 @@ def ranged(df: DataFrame, order: list[str]) -> DataFrame:
 
 def within_part(order: list[str]):
     return Window.partitionBy("part").orderBy(*order)
+
+
+#: Rows of ids (16 MB of longs at most) up to which a list of rejected rows is broadcast.
+BROADCAST_ROWS = 1_000_000
+
+
+def without(rows: DataFrame, rejected: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose keys are not among `rejected` (distinct keys, at most two longs).
+
+    The list is written and counted first: a short one is sent to the tasks, so that the texts
+    stay where they are; a longer one is joined by a shuffle.
+    """
+    rejected = written(rejected)
+    short = rejected.count() <= BROADCAST_ROWS
+    return rows.join(F.broadcast(rejected) if short else rejected, keys, "left_anti")

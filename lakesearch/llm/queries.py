@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesearch.llm import bpe, collisions, dartminhash, langid, poisson, separators, shards, simhash, toxicity
+from lakesearch.llm import bpe, collisions, dartminhash, langid, poisson, separators, shards, simhash, templates, toxicity
 from lakesearch.llm.common import table
 from lakesearch.session import scratch_dir
 
@@ -53,6 +53,12 @@ def op5_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dartminhash.near_classes(table(spark, sf_dir, "documents"))
 
 
+def op6_template_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, by the template of its host."""
+    pages = table(spark, sf_dir, "pages")
+    return templates.extract(pages, "page_id, url", langid.host_of(F.col("url"))).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; labels of held-out rows are not used."""
     docs = table(spark, sf_dir, "documents")
@@ -83,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_byte_shards": op4_byte_shards,
     "op5_dart_minhash": op5_dart_minhash,
+    "op6_template_text": op6_template_text,
     "op7_toxicity": op7_toxicity,
     "op8_simhash": op8_simhash,
     "op9_collision_knn": op9_collision_knn,
