@@ -11,7 +11,8 @@ texts are one node. Each bucket links its members to one centre, so a bucket of
 gives m - 1 pairs, and every pair is verified on the exact multisets. Verified pairs give
 components. Members of a bucket that are still in different components are tried
 against other centres, and at last against one another: no candidate pair is left that is
-neither in one component nor tested.
+neither in one component nor tested. Small buckets are joined for that; in large ones
+documents outside the main component are compared with the rest in blocks of fixed size.
 
 Defined results: null text counts as empty; texts without a word are alike only if equal;
 a null id has a null class; rows that share an id share a class; a class is named by its
@@ -23,6 +24,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +42,11 @@ K = ROWS * BANDS
 #: Documents whose darts are thrown at once.
 DOCS_AT_ONCE = 256
 #: Rounds with other centres before the rest of a bucket is compared pair by pair.
-CENTRE_ROUNDS = 3
+CENTRE_ROUNDS = 2
+#: Buckets of up to this many members are then joined with themselves, larger ones compared in blocks.
+SMALL_BUCKET = 16
+#: Documents of the two sides of a block.
+FEW, MANY = 64, 512
 
 GOLD = np.uint64(0x9E3779B97F4A7C15)
 FIRST_RANK = 1 / 16
@@ -262,6 +268,76 @@ def _merged(labels: DataFrame | None, links: DataFrame) -> DataFrame:
     return written(old.union(new))
 
 
+def _split(members: DataFrame, labels: DataFrame, number: int) -> tuple[DataFrame, DataFrame]:
+    """The members with labels; the buckets that hold several, each with a centre that depends on `number`."""
+    labelled = members.select("key", "id").join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
+    centre = F.min(F.struct(F.xxhash64("id", F.lit(number)).alias("o"), "id", "label")).alias("c")
+    sums = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("n"), centre)
+    return labelled, sums.where("x < y").select("key", "n", "c")
+
+
+def _ordered(found: DataFrame) -> DataFrame:
+    return found.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
+
+
+def _flat(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All shingles of the rows, their counts, and where each row begins."""
+    h = [np.frombuffer(x, np.uint64) for x in rows["h"]]
+    first = np.cumsum([0] + [len(x) for x in h[:-1]])
+    return np.concatenate(h), np.concatenate([np.frombuffer(x, np.uint32) for x in rows["c"]]).astype(np.int64), first
+
+
+def block_links(few: pd.DataFrame, many: pd.DataFrame) -> pd.DataFrame:
+    """(a, b) of the pairs that share a bucket, differ in label and are alike."""
+    found: list[tuple[int, int]] = []
+    if len(few) and len(many):
+        h, c, first = _flat(many)
+        weight = np.add.reduceat(c, first)
+        keys, ids, labels = np.array(many["keys"].tolist()), many["id"].to_numpy(), many["label"].to_numpy()
+        order = np.argsort(h, kind="stable")
+        ranked = h[order]
+        for row in few.itertuples():
+            own, own_counts = np.frombuffer(row.h, np.uint64), np.frombuffer(row.c, np.uint32).astype(np.int64)
+            left, right = np.searchsorted(ranked, own, "left"), np.searchsorted(ranked, own, "right")
+            n = right - left
+            at = order[np.repeat(left - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+            shared = np.zeros(len(many), np.int64)
+            np.add.at(shared, np.searchsorted(first, at, "right") - 1, np.minimum(c[at], np.repeat(own_counts, n)))
+            alike = shared >= SIMILARITY * (weight + own_counts.sum() - shared)
+            alike &= (labels != row.label) & (keys == np.array(row.keys)).any(axis=1)
+            found += [(row.id, int(i)) for i in ids[alike]]
+    return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+
+
+def _crowd_links(crowded: DataFrame, signed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between labels in buckets with many members.
+
+    Buckets that share members form a family, whose documents are taken once. Those outside
+    the family's largest label are compared with all of it, block by block in the tasks;
+    only links come out.
+    """
+    families = components(crowded.join(crowded.groupBy("key").agg(F.min("id").alias("a")), "key").select("a", F.col("id").alias("b")))
+    rows = written(families.toDF("id", "family").join(crowded.select("id", "label").distinct(), "id"))
+    sizes = rows.groupBy("family", "label").agg(F.count("*").alias("n")).groupBy("family").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("all"))
+    plan = sizes.select(
+        "family",
+        F.col("top.label").alias("main"),
+        F.ceil((F.col("all") - F.col("top.n")) / FEW).cast("int").alias("few_blocks"),
+        F.ceil(F.col("all") / MANY).cast("int").alias("many_blocks"),
+    ).where("few_blocks > 0")
+    full = rows.join(plan, "family").join(signed.select("id", "keys").dropDuplicates(["id"]), "id").join(sets, "id")
+
+    def side(df: DataFrame, own: str, other: str) -> DataFrame:
+        block = F.pmod(F.xxhash64("id"), F.col(f"{own}_blocks")).cast("int")
+        blocks = F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1))
+        kept = [F.col(c).alias(c) for c in ("family", "id", "label", "keys", "h", "c")]  # columns of its own on each side
+        return df.select(*kept, block.alias(own), blocks.alias(other))
+
+    few, many = side(full.where("label <> main"), "few", "many"), side(full, "many", "few")
+    on = ["family", "few", "many"]
+    return few.groupBy(*on).cogroup(many.select(few.columns).groupBy(*on)).applyInPandas(block_links, "a long, b long")
+
+
 def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, class_id) of every row: documents linked by similarity, directly or through others."""
     rows = docs.select(F.col(key).cast("long").alias("id"), whole_text(text).alias("text"))
@@ -276,24 +352,23 @@ def near_classes(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
     pairs = tested = written(members.where("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct())
     labels = _merged(None, written(_verified(pairs, sets)))
-    for number in range(CENTRE_ROUNDS + 1):
-        labelled = members.select("key", "id").join(labels, "id", "left").select("key", "id", F.coalesce("label", "id").alias("label"))
-        split = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.min(F.struct(F.xxhash64("id", F.lit(number)).alias("o"), "id", "label")).alias("c")).where("x < y")
-        split = written(split)
+    for number in range(CENTRE_ROUNDS):
+        labelled, split = _split(members, labels, number)
         if split.isEmpty():
             break
-        if number < CENTRE_ROUNDS:
-            found = labelled.join(split, "key").where("label <> c.label").select("id", F.col("c.id").alias("other"))
-        else:
-            rest = labelled.join(split.select("key"), "key", "left_semi")
-            other = rest.select("key", F.col("id").alias("other"), F.col("label").alias("other_label"))
-            found = rest.join(other, "key").where("label < other_label").select("id", "other")
-        pairs = found.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-        pairs = written(pairs.join(tested, ["a", "b"], "left_anti"))
-        links = written(_verified(pairs, sets))
-        if not links.isEmpty():
-            labels = _merged(labels, links)
+        found = labelled.join(split, "key").where("label <> c.label").select("id", F.col("c.id").alias("other"))
+        pairs = written(_ordered(found).join(tested, ["a", "b"], "left_anti"))
+        labels = _merged(labels, written(_verified(pairs, sets)))
         tested = tested.union(pairs)
+    else:
+        labelled, split = _split(members, labels, CENTRE_ROUNDS)
+        split = written(split)
+        rest = labelled.join(split.where(f"n <= {SMALL_BUCKET}").select("key"), "key", "left_semi")
+        other = rest.select("key", F.col("id").alias("other"), F.col("label").alias("other_label"))
+        pairs = _ordered(rest.join(other, "key").where("label < other_label").select("id", "other"))
+        links = written(_verified(written(pairs.join(tested, ["a", "b"], "left_anti")), sets))
+        crowded = labelled.join(split.where(f"n > {SMALL_BUCKET}").select("key"), "key", "left_semi")
+        labels = _merged(labels, written(links.union(_crowd_links(written(crowded), signed, sets))))
 
     named = nodes.join(labels.withColumnRenamed("id", "node"), "node", "left").select("digest", F.coalesce("label", "node").alias("class_id"))
     return base.join(named, "digest").select(F.col("id").alias(key), F.when(F.col("id").isNotNull(), F.col("class_id")).alias("class_id"))
