@@ -11,7 +11,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,22 +50,26 @@ class Batch:
 def query_batches(queries: DataFrame, max_rows: int = MAX_QUERIES, max_bytes: int = MAX_BYTES) -> list[Batch]:
     """The queries as they are if they fit, else as disjoint parts that each do.
 
-    Parts are cut by a hash of the query id, and twice as many are made until every
-    one is measured to fit. Only a single query beyond `max_bytes` stays too large;
-    it is marked as not fitting and searched without a broadcast.
+    Parts are cut by a hash of the whole row and its number among equal rows, and
+    twice as many are made until every one is measured to fit: rows that share an id, or
+    have none, can always be told apart. Only a single query beyond `max_bytes` stays
+    too large; it is marked as not fitting and searched without a broadcast.
     """
     if fits(queries, max_rows, max_bytes):
         return [Batch(queries, True)]
+    columns = queries.columns
+    queries = queries.withColumn("__row", F.xxhash64(*columns))
+    queries = queries.withColumn("__row", F.xxhash64("__row", F.row_number().over(Window.partitionBy("__row").orderBy("__row"))))
     n = 2
     while True:
-        part = F.pmod(F.xxhash64("query_id"), F.lit(n))
+        part = F.pmod(F.xxhash64("__row"), F.lit(n))
         sizes = queries.groupBy(part.alias("part")).agg(
-            F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(queries)).alias("bytes")
+            F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(queries.drop('__row'))).alias("bytes")
         )
         # One small row per part.
         measured = sizes.collect()
         if all(r["n"] <= max_rows and (r["bytes"] <= max_bytes or r["n"] == 1) for r in measured):
-            return [Batch(queries.where(part == r["part"]), r["bytes"] <= max_bytes) for r in measured]
+            return [Batch(queries.where(part == r["part"]).select(*columns), r["bytes"] <= max_bytes) for r in measured]
         n *= 2
 
 

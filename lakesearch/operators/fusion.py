@@ -35,12 +35,12 @@ _BEHIND = 1_000_000
 def fuse_sides(ranked: DataFrame, k: int = RRF_K) -> DataFrame:
     """Fuse ranked rows (query_id, side, text, score, rank, payload) of both sides by text.
 
-    Rows with empty text are dropped here, after ranking: they used up their rank.
+    Dense rows with empty text are dropped here, after ranking: they used up their rank.
     A text that occurs twice in one list gets credit twice, and its later row gives
     the score; the payload is the last dense row's, else the first keyword row's.
     """
     on = lambda side, c: F.when(F.col("side") == side, F.col(c))
-    rows = ranked.where(F.coalesce("text", F.lit("")) != "").select(
+    rows = ranked.where((F.col("side") != DENSE) | (F.coalesce("text", F.lit("")) != "")).select(
         "query_id",
         "text",
         "payload",

@@ -102,10 +102,10 @@ def snapshot(stages: DataFrame, bronze_rows: Column, silver_rows: Column, points
     df = df.withColumn("__level", level)
     state = F.element_at(F.array(*[F.lit(s) for s in STATES]), F.col("__level") + 1)
     message = (
-        F.when(F.col("__level") == 0, F.lit("Waiting for data — run an ingestion first."))
-        .when(F.col("__level") == 1, F.format_string("Elevated DLQ rejection rate (%.1f%%) — check validation upstream.", "dlq_rate"))
-        .when(F.col("__level") == 2, F.format_string("%d Silver rows pending vector sync.", "sync_gap"))
-        .otherwise(F.format_string("Pipeline healthy — %d events stored, vector store in sync.", "bronze_rows"))
+        F.when(F.col("__level") == 0, F.lit("No events yet: start a stream or ingest some items."))
+        .when(F.col("__level") == 1, F.format_string("%.1f%% of events are rejected: look at the dead letters.", "dlq_rate"))
+        .when(F.col("__level") == 2, F.format_string("%d Silver rows have no vector yet.", "sync_gap"))
+        .otherwise(F.format_string("All well: %d events stored and every text embedded.", "bronze_rows"))
     )
     return df.select("*", state.alias("health"), message.alias("message")).drop("__level")
 

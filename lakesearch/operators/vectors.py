@@ -151,6 +151,9 @@ class VectorStore:
         self.ensure()
         hash_of = OF_TITLE if embed_col == "title" else OF_SNIPPET
         new_rows = sync_new_rows(silver, self.ledger.read(), hash_of)
+        if id_mode == "item":  # points are named by item, so equal texts must be met here: the first item stays
+            first = Window.partitionBy("content_hash").orderBy(F.col("time").asc_nulls_last(), "id")
+            new_rows = new_rows.withColumn("__rn", F.row_number().over(first)).where("__rn = 1").drop("__rn")
         if new_rows.isEmpty():
             return 0
         points = vector_points(new_rows, embedder or hashed_embedder(self.dim), embed_col, id_mode)
@@ -160,10 +163,12 @@ class VectorStore:
         self.ledger.append(hashes)
         return self.ledger.read().count() - before
 
-    def prune(self, silver: DataFrame, hash_of: str = OF_SNIPPET) -> None:
-        """Drop vectors and ledger entries whose text is no longer in Silver."""
-        live = with_hash(silver, hash_of).select("content_hash").distinct()
+    def prune(self, silver: DataFrame) -> None:
+        """Drop vectors and ledger entries whose text is no longer in Silver.
+
+        Vectors of snippets and of titles lie in one table, so a row is live if either hash
+        of some Silver row is its own.
+        """
+        live = with_hash(silver, OF_SNIPPET).select("content_hash").union(with_hash(silver, OF_TITLE).select("content_hash")).distinct()
         self.vectors.replace(self.vectors.read().join(live, "content_hash", "left_semi"))
         self.ledger.replace(self.ledger.read().join(live, "content_hash", "left_semi"))
-
-

@@ -340,9 +340,9 @@ SELECT CAST(coalesce(sum(n) FILTER (WHERE topic = 'raw-events-topic'), 0) AS BIG
     "telemetry_snapshot": f"""WITH {EXPECTED}, {SILVER}, {STAGES}
 SELECT *,
   CASE WHEN dlq_rate > 15 THEN 'bad' WHEN sync_gap > 0 THEN 'warn' ELSE 'ok' END AS health,
-  CASE WHEN dlq_rate > 15 THEN printf('Elevated DLQ rejection rate (%.1f%%) — check validation upstream.', dlq_rate)
-       WHEN sync_gap > 0 THEN concat(sync_gap, ' Silver rows pending vector sync.')
-       ELSE concat('Pipeline healthy — ', bronze_rows, ' events stored, vector store in sync.') END AS message
+  CASE WHEN dlq_rate > 15 THEN printf('%.1f%% of events are rejected: look at the dead letters.', dlq_rate)
+       WHEN sync_gap > 0 THEN concat(sync_gap, ' Silver rows have no vector yet.')
+       ELSE concat('All well: ', bronze_rows, ' events stored and every text embedded.') END AS message
 FROM snap""",
     "ingest_batch_counts": f"""WITH {LIGHT}, {SILVER}
 SELECT count(*) FILTER (WHERE ok) AS valid, count(*) FILTER (WHERE NOT ok) AS dlq,

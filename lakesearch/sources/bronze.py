@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -75,7 +76,7 @@ def _partition_files(bronze: DataFrame) -> DataFrame:
         "date", "hour", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes")
     ).agg(F.count(F.lit(1)).alias("n"))
     return per_file.groupBy("date", "hour").agg(
-        F.count(F.lit(1)).alias("files"), F.sum("bytes").alias("bytes"), F.sum("n").alias("rows")
+        F.collect_list("path").alias("files"), F.sum("bytes").alias("bytes"), F.sum("n").alias("rows")
     )
 
 
@@ -84,59 +85,71 @@ def compact_bronze(spark: SparkSession, root: str, before: tuple[str, str] | Non
 
     Every file of a partition takes part, earlier compacted ones included, so running
     twice loses nothing. One job rewrites all chosen partitions into a staging folder,
-    and a partition larger than `target_bytes` is dealt out over several tasks. Each
-    partition is then put in place by two renames; `finish_compaction` completes them
-    after a crash in between. `before` leaves out the hours still being written.
+    and a partition larger than `target_bytes` is dealt out over several tasks. Then
+    the files that were read, and no others, make way for the new ones: a batch that
+    lands meanwhile is left alone. `finish_compaction` completes this after a crash.
+    Only hours before `before` take part; by default all but the current one.
     """
     root = root.rstrip("/")
     finish_compaction(spark, root)
-    bronze = read_bronze(spark, root)
-    if before is not None:
-        bronze = bronze.where(F.struct("date", "hour") < F.struct(F.lit(before[0]), F.lit(before[1])))
-    if not bronze.inputFiles():
+    if before is None:
+        now = spark.range(1).select(partition_date(F.current_timestamp()), partition_hour(F.current_timestamp())).first()
+        before = (now[0], now[1])
+    bronze = read_bronze(spark, root).where(F.struct("date", "hour") < F.struct(F.lit(before[0]), F.lit(before[1])))
+    if not any(name.startswith("date=") for name in Files(spark, root).list(root)):
         return []
     want = F.ceil(F.col("bytes") / target_bytes)
-    stats = _partition_files(bronze).withColumn("slots", want).where(F.col("files") > F.col("slots"))
-    # One row per hour of history: small, and needed here to move the folders.
+    stats = _partition_files(bronze).withColumn("slots", want).where(F.size("files") > F.col("slots"))
+    # One row per hour of history with the names of its files: needed here to move them.
     chosen = stats.collect()
     if not chosen:
         return []
     pairs = [(r["date"], r["hour"]) for r in chosen]
-    stage = f"{root}/_compaction/{uuid.uuid4().hex}"
+    run = uuid.uuid4().hex
+    stage = f"{root}/_compaction/{run}"
     dates = sorted({d for d, _ in pairs})
+    slots = spark.createDataFrame([(r["date"], r["hour"], r["slots"]) for r in chosen], "date string, hour string, slots long")
     rows = (
         bronze.where(F.col("date").isin(dates))
         .withColumn("__row", F.col("_metadata.row_index"))
         .drop("batch")
-        .join(spark.createDataFrame(chosen).select("date", "hour", "slots"), ["date", "hour"])
+        .join(slots, ["date", "hour"])
         .withColumn("__slot", F.pmod("__row", "slots"))
     )
     (
         rows.repartition("date", "hour", "__slot")
         .drop("__row", "__slot", "slots")
-        .withColumn("batch", F.lit("compacted"))
-        .write.partitionBy("date", "hour", "batch")
+        .write.partitionBy("date", "hour")
         .parquet(f"{stage}/new")
     )
     expected = sum(r["rows"] for r in chosen)
     written = spark.read.schema(BRONZE).parquet(f"{stage}/new").count()
     if written != expected:
         raise RuntimeError(f"compaction wrote {written} of {expected} rows; originals are untouched")
-    Files(spark, root).write_new(f"{stage}/_ready", "")
+    listed = {f"date={r['date']}/hour={r['hour']}": sorted(r["files"]) for r in chosen}
+    Files(spark, root).write_new(f"{stage}/_ready", json.dumps(listed))
     finish_compaction(spark, root)
     return sorted(pairs)
 
 
 def finish_compaction(spark: SparkSession, root: str) -> None:
-    """Put staged partitions in place; safe to call at any time, any number of times."""
+    """Put staged partitions in place; safe to call at any time, any number of times.
+
+    Of each partition the listed files are set aside, then the new ones are moved in
+    as one batch folder. If a listed file is neither in place nor set aside, its batch was
+    written anew since; that partition keeps its files and the staged ones are dropped.
+    """
     files = Files(spark, root)
     for run in files.list(f"{root}/_compaction"):
         stage = f"{root}/_compaction/{run}"
         if files.exists(f"{stage}/_ready"):
-            for date in [n for n in files.list(f"{stage}/new") if n.startswith("date=")]:
-                for hour in [n for n in files.list(f"{stage}/new/{date}") if n.startswith("hour=")]:
-                    live, old = f"{root}/{date}/{hour}", f"{stage}/old/{date}/{hour}"
+            for partition, listed in json.loads(files.read_text(f"{stage}/_ready")).items():
+                new = f"{stage}/new/{partition}"
+                aside = {path: f"{stage}/old/{partition}/{i}.parquet" for i, path in enumerate(listed)}
+                if not files.exists(new) or not all(files.exists(p) or files.exists(q) for p, q in aside.items()):
+                    continue
+                for path, old in aside.items():
                     if not files.exists(old):
-                        files.rename(live, old)
-                    files.rename(f"{stage}/new/{date}/{hour}", live)
+                        files.rename(path, old)
+                files.rename(new, f"{root}/{partition}/batch=compacted-{run}")
         files.delete(stage)

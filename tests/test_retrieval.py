@@ -205,8 +205,6 @@ def python_fuse(near, found, k=60):
         fused[text] = fused.get(text, 0.0) + 1 / (k + rank + 1)
         info[text] = [payload, score, None]
     for rank, (text, score, payload) in enumerate(found):
-        if not text:
-            continue
         fused[text] = fused.get(text, 0.0) + 1 / (k + rank + 1)
         info.setdefault(text, [payload, None, None])[2] = score
     return fused, info
@@ -270,3 +268,9 @@ def test_no_broadcast_nested_loop(spark):
     d, q = frames(spark, make_corpus())
     plan = bm25.bm25_topk(q, bm25.build_index(d))._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_query_batches_end_with_one_id(spark):
+    q = spark.range(10).selectExpr("CAST(NULL AS BIGINT) AS query_id", "'same' AS query_text")
+    parts = batches.query_batches(q, max_rows=3)
+    assert sum(p.queries.count() for p in parts) == 10 and all(p.queries.count() <= 3 for p in parts)

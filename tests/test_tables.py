@@ -164,21 +164,91 @@ def test_compaction_splits_a_large_hour(spark, tmp_path):
     assert 1 < bronze.bronze_stats(df).first()["file_count"]
 
 
-def test_interrupted_compaction_is_finished(spark, tmp_path):
+def stop_after(monkeypatch, n):
+    """Let `n` renames through, then fail as a crash would."""
+    rename, left = Files.rename, [n]
+
+    def counted(self, source, target):
+        if "_compaction" in source + target and "_ready" not in source + target:
+            if not left[0]:
+                raise KeyboardInterrupt
+            left[0] -= 1
+        rename(self, source, target)
+
+    monkeypatch.setattr(Files, "rename", counted)
+
+
+@pytest.mark.parametrize("renames", [0, 1, 2])
+def test_interrupted_compaction_is_finished(spark, tmp_path, monkeypatch, renames):
     root = str(tmp_path / "bronze")
     land(spark, root, "a", 5, 0)
     land(spark, root, "b", 5, 5)
-    want = ids(bronze.read_bronze(spark, root))
-    stage = f"{root}/_compaction/run"
-    staged = bronze.read_bronze(spark, root).withColumn("batch", F.lit("compacted")).coalesce(1)
-    staged.write.partitionBy("date", "hour", "batch").parquet(f"{stage}/new")
-    files = Files(spark, root)
-    files.write_new(f"{stage}/_ready", "")
-    files.rename(f"{root}/date=2024-01-01/hour=05", f"{stage}/old/date=2024-01-01/hour=05")  # and then a crash
-    bronze.finish_compaction(spark, root)
-    assert ids(bronze.read_bronze(spark, root)) == want
-    bronze.finish_compaction(spark, root)
-    assert ids(bronze.read_bronze(spark, root)) == want
+    with monkeypatch.context() as patch, pytest.raises(KeyboardInterrupt):
+        stop_after(patch, renames)
+        bronze.compact_bronze(spark, root)
+    land(spark, root, "late", 3, 50)  # a batch lands between the crash and the next run
+    for _ in range(2):
+        bronze.finish_compaction(spark, root)
+        assert ids(bronze.read_bronze(spark, root)) == [*range(10), 50, 51, 52]
+
+
+def test_a_batch_that_lands_during_compaction_stays(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "bronze")
+    land(spark, root, "a", 5, 0)
+    land(spark, root, "b", 5, 5)
+    finish = bronze.finish_compaction
+    calls = []
+
+    def late(session, at):
+        if calls:
+            land(session, root, "late", 2, 70)
+        calls.append(at)
+        finish(session, at)
+
+    monkeypatch.setattr(bronze, "finish_compaction", late)
+    bronze.compact_bronze(spark, root)
+    assert ids(bronze.read_bronze(spark, root)) == [*range(10), 70, 71]
+
+
+def test_a_batch_written_anew_during_compaction_is_not_repeated(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "bronze")
+    land(spark, root, "a", 5, 0)
+    land(spark, root, "b", 5, 5)
+    finish = bronze.finish_compaction
+    calls = []
+
+    def again(session, at):
+        if calls:
+            land(session, root, "b", 5, 5)
+        calls.append(at)
+        finish(session, at)
+
+    monkeypatch.setattr(bronze, "finish_compaction", again)
+    bronze.compact_bronze(spark, root)
+    assert ids(bronze.read_bronze(spark, root)) == list(range(10))
+
+
+def test_the_current_hour_is_left_alone(spark, tmp_path):
+    root = str(tmp_path / "bronze")
+    for name in "ab":
+        bronze.append_bronze(bronze.with_bronze_columns(valid_events(spark, 2)), root, name)
+    assert bronze.compact_bronze(spark, root) == []
+
+
+def test_prune_knows_both_kinds_of_hashes(spark, tmp_path):
+    store = vectors.VectorStore(spark, str(tmp_path / "v"), 8)
+    rows = silver_rows(spark, ["a b", "c d"])
+    store.sync(rows, embed_col="title", id_mode="item")
+    points = store.vectors.read().count()
+    store.prune(rows)
+    assert points and store.vectors.read().count() == points and store.ledger.read().count() == points
+
+
+def test_one_point_a_title_in_item_mode(spark, tmp_path):
+    store = vectors.VectorStore(spark, str(tmp_path / "v"), 8)
+    rows = spark.createDataFrame([(f"t{i}", t, i) for i, t in enumerate(["same", "same", "other"])], "text string, title string, id long").withColumn("time", F.col("id"))
+    assert store.sync(rows, embed_col="title", id_mode="item") == 2
+    assert sorted(r["point_id"] for r in store.vectors.read().collect()) == ["0", "2"]
 
 
 def test_table_versions(spark, tmp_path):
@@ -276,7 +346,7 @@ def test_telemetry(spark):
 
     assert (snap(one(0, 0, 0), 0, 0, 0, 0)["health"], snap(one(0, 0, 0), 0, 0, 0, 0)["dlq_rate"]) == ("warn", 0.0)
     bad = snap(one(100, 80, 20), 80, 9, 5, 9)
-    assert (bad["health"], bad["dlq_rate"], bad["message"]) == ("bad", 20.0, "Elevated DLQ rejection rate (20.0%) — check validation upstream.")
+    assert (bad["health"], bad["dlq_rate"], bad["message"]) == ("bad", 20.0, "20.0% of events are rejected: look at the dead letters.")
     edge = snap(one(100, 85, 15), 80, 9, 5, 4)
     assert (edge["health"], edge["sync_gap"]) == ("warn", 5)
     ok = snap(one(0, 85, 15), 80, 3, 5, 9)
