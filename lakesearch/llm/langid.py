@@ -76,7 +76,10 @@ class Model:
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """Models from a bounded sample of labelled texts, counted on the driver."""
     rows = labelled.select(F.col(text).alias("text"), F.lower(F.col(lang)).alias("lang")).where(f"text is not null and lang is not null and lang not in ('', '{UND}') and length(text) <= {SAMPLE_CHARS}")
-    sample = rows.orderBy(F.xxhash64("text"), "lang").limit(SAMPLE_TEXTS).toPandas()
+    rows = rows.withColumn("h", F.xxhash64("text", "lang"))
+    # The hashes are chosen first, so that no more than SAMPLE_TEXTS texts come to the driver.
+    chosen = rows.select("h").distinct().orderBy("h").limit(SAMPLE_TEXTS)
+    sample = rows.join(F.broadcast(chosen), "h").dropDuplicates(["h"]).toPandas().sort_values("h")
     languages = sorted(set(sample["lang"]))
     counts = np.zeros((len(languages), BUCKETS))
     for name, body in zip(sample["lang"], sample["text"]):
