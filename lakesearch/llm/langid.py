@@ -162,7 +162,7 @@ def identify(rows: DataFrame, keys: list[str], text: Column, declared: Column, h
     joined = seen.join(address, "host", "left")
     logs = [F.col(f"ll_{i}") + log_declared(i) + F.coalesce(F.col(f"a_{i}"), F.lit(float(np.log(base[i])))) for i in range(k)]
     joined = joined.select("*", *[x.alias(f"l_{i}") for i, x in enumerate(logs)])
-    joined = joined.withColumns({"top": F.greatest(*[F.col(f"l_{i}") for i in range(k)]), "top_ll": F.greatest(*[F.col(f"ll_{i}") for i in range(k)])})
+    joined = joined.withColumns({"top": F.greatest(*[F.col(f"l_{i}") for i in range(k)], F.col("l_0")), "top_ll": F.greatest(*[F.col(f"ll_{i}") for i in range(k)], F.col("ll_0"))})
 
     def first_with(prefix: str, top: str) -> Column:
         return F.coalesce(*[F.when(F.col(f"{prefix}_{i}") == F.col(top), F.lit(classes[i])) for i in range(k)])
