@@ -8,8 +8,11 @@ travel. `doc` is a unique BIGINT that rises in corpus order, so it also breaks t
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,6 +41,7 @@ class Bm25Index:
     n_docs: Column  # scalars
     avgdl: Column
     floor: Column
+    by_doc: bool = True  # a document's postings follow one another; false: they share a bucket
 
 
 def corpus(df: DataFrame, doc: str = "doc_order", text: str = "text") -> DataFrame:
@@ -105,24 +109,82 @@ def doc_stats(docs: DataFrame) -> DataFrame:
     )
 
 
-def query_terms(queries: DataFrame) -> DataFrame:
-    """(query_id, term, qtf): a token repeated in the query counts repeatedly."""
-    df = queries.select("query_id", F.coalesce("query_text", F.lit("")).alias("__text"))
+def query_terms(queries: DataFrame, key: str = "query_id") -> DataFrame:
+    """(key, term, qtf): a token repeated in the query counts repeatedly."""
+    df = queries.select(key, F.coalesce("query_text", F.lit("")).alias("__text"))
     df = with_run_lengths(df, tokenize("__text"), "term", "qtf", "__terms")
-    df = df.select("query_id", F.explode("__terms").alias("t"))
-    return df.select("query_id", F.coalesce("t.term", F.lit("")).alias("term"), F.col("t.qtf").alias("qtf"))
+    df = df.select(key, F.explode("__terms").alias("t"))
+    return df.select(key, F.coalesce("t.term", F.lit("")).alias("term"), F.col("t.qtf").alias("qtf"))
 
 
-def _scores(batch: Batch, index: Bm25Index) -> DataFrame:
+def _hits(batch: Batch, index: Bm25Index, key: str) -> DataFrame:
+    """(key, doc, part): what each query term adds to each document it is in."""
     # There is one weight per query term at most: a batch that fits bounds both.
-    weights = lookup_join(index.idf, query_terms(batch.queries), "term", "term", batch.fits).select(
-        "query_id", "term", (F.col("qtf") * F.col("idf")).alias("weight")
+    weights = lookup_join(index.idf, query_terms(batch.queries, key), "term", "term", batch.fits).select(
+        key, "term", (F.col("qtf") * F.col("idf")).alias("weight")
     )
     hits = lookup_join(index.postings, weights, "term", "doc", batch.fits)
     # A corpus without a single token has no postings, so the mean is never zero here.
     dl_part = K1 * (1 - B + B * F.col("dl") / index.avgdl)
     part = F.col("weight") * F.col("tf") * (K1 + 1) / (F.col("tf") + dl_part)
-    return hits.groupBy("query_id", "doc").agg(F.sum(part).alias("score"))
+    return hits.select(key, "doc", part.alias("part"))
+
+
+def _scores(batch: Batch, index: Bm25Index) -> DataFrame:
+    return _hits(batch, index, "query_id").groupBy("query_id", "doc").agg(F.sum("part").alias("score"))
+
+
+def _summed(q: np.ndarray, doc: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, ...]:
+    order = np.lexsort((q, doc))
+    q, doc, part = q[order], doc[order], part[order]
+    first = np.flatnonzero(np.concatenate([[True], (q[1:] != q[:-1]) | (doc[1:] != doc[:-1])]))
+    return q[first], doc[first], np.add.reduceat(part, first)
+
+
+def _kept(best: tuple[np.ndarray, ...] | None, more: tuple[np.ndarray, ...], k: int) -> tuple[np.ndarray, ...]:
+    """The k best of each query of both."""
+    q, doc, score = more if best is None else (np.concatenate(x) for x in zip(best, more))
+    order = np.lexsort((doc, -np.round(score, SCORE_DIGITS), q))
+    first = np.searchsorted(q[order], q[order], "left")
+    order = order[np.arange(len(order)) - first < k]
+    return q[order], doc[order], score[order]
+
+
+def _task_best(hits: DataFrame, k: int) -> DataFrame:
+    """(n, doc, score): of each task the k best documents of each query, by hits of one document after another.
+
+    A document is summed where its hits are, so only k rows a query leave a task; a task
+    holds those, one Arrow batch, and the hits of one document.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, open_doc = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
+            if open_doc is not None:
+                rows = [np.concatenate(x) for x in zip(open_doc, rows)]
+            done = np.flatnonzero(rows[1] != rows[1][-1])
+            cut = done[-1] + 1 if len(done) else 0
+            open_doc = [x[cut:] for x in rows]
+            if cut:
+                best = _kept(best, _summed(*[x[:cut] for x in rows]), k)
+        if open_doc is not None:
+            best = _kept(best, _summed(*open_doc), k)
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in best], names=["n", "doc", "score"])
+
+    return hits.select(F.col("n").cast("int"), "doc", "part").mapInArrow(run, "n int, doc bigint, score double")
+
+
+def _best_scores(batch: Batch, index: Bm25Index, k: int) -> DataFrame:
+    """(query_id, doc, score) with at least each query's k best documents."""
+    if not (index.by_doc and batch.fits):
+        return _scores(batch, index)
+    # One measured batch of queries: they are numbered, so that tasks handle numbers only.
+    numbered = batch.queries.withColumn("n", F.dense_rank().over(Window.orderBy("query_id")))
+    best = _task_best(_hits(Batch(numbered, True), index, "n"), k)
+    return best.join(F.broadcast(numbered.select("n", "query_id").distinct()), "n").select("query_id", "doc", "score")
 
 
 def bm25_scores(queries: DataFrame, index: Bm25Index) -> DataFrame:
@@ -167,7 +229,7 @@ def bm25_topk(queries: DataFrame, index: Bm25Index, k: int = CANDIDATES, pad_zer
 
 def batch_topk(batch: Batch, index: Bm25Index, k: int, pad_zero: bool) -> DataFrame:
     """Top-k for one measured batch of queries."""
-    scored = _scores(batch, index)
+    scored = _best_scores(batch, index, k)
     if pad_zero:
         scored = scored.unionByName(_unmatched(batch.queries, index, k))
     return _best(scored, k)
@@ -177,8 +239,7 @@ class IndexStore:
     """A written index: terms, and postings bucketed by document.
 
     Bucketing tells Spark that a document's postings are in one task, so scoring
-    needs no shuffle; within a bucket rows are sorted by term, so that the statistics
-    in the Parquet files skip what the queries do not mention.
+    needs no shuffle; within a bucket rows are sorted by term.
     """
 
     META = T.StructType(
@@ -234,4 +295,4 @@ class IndexStore:
         name = self._declare(meta["folder"], meta["buckets"])
         idf = self.spark.read.schema("term STRING, df BIGINT, idf DOUBLE").parquet(f"{meta['folder']}/terms")
         postings = self.spark.table(name)
-        return Bm25Index(docs, postings, idf, F.lit(meta["n_docs"]), F.lit(meta["avgdl"]), F.lit(meta["floor"]))
+        return Bm25Index(docs, postings, idf, F.lit(meta["n_docs"]), F.lit(meta["avgdl"]), F.lit(meta["floor"]), by_doc=False)

@@ -75,9 +75,16 @@ def last_per_point(points: DataFrame) -> DataFrame:
     return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn", *order)
 
 
-def upsert(existing: DataFrame, new: DataFrame) -> DataFrame:
+def latest_per_hash(rows: DataFrame) -> DataFrame:
+    """One row per content hash, that which `last_per_point` would keep; taken before embedding."""
+    fields = payload_columns(rows)
+    w = Window.partitionBy("content_hash").orderBy(*[fields[c].desc_nulls_last() for c in ("time", "id", "title")])
+    return rows.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+
+
+def upsert(existing: DataFrame, new: DataFrame, new_is_unique: bool = False) -> DataFrame:
     """Keyed merge as a query: new points replace old ones of the same id."""
-    new = last_per_point(new)
+    new = new if new_is_unique else last_per_point(new)
     return existing.join(new.select("point_id"), "point_id", "left_anti").select(*existing.columns).unionByName(new)
 
 
@@ -132,7 +139,7 @@ class VectorStore:
         if clash.isEmpty():
             self.vectors.append(points)
         else:
-            self.vectors.replace(upsert(existing, points))
+            self.vectors.replace(upsert(existing, points, new_is_unique=True))
         staged.clear()
         staged.expire()
 
@@ -154,14 +161,19 @@ class VectorStore:
         if id_mode == "item":  # points are named by item, so equal texts must be met here: the first item stays
             first = Window.partitionBy("content_hash").orderBy(F.col("time").asc_nulls_last(), "id")
             new_rows = new_rows.withColumn("__rn", F.row_number().over(first)).where("__rn = 1").drop("__rn")
-        if new_rows.isEmpty():
-            return 0
-        points = vector_points(new_rows, embedder or hashed_embedder(self.dim), embed_col, id_mode)
-        self.upsert(points)
+        else:
+            new_rows = latest_per_hash(new_rows)
+        staged = Table(self.spark, f"{self.vectors.root}/new_rows", new_rows.schema)
+        staged.replace(new_rows)  # found once; what follows starts from here
+        new_rows = staged.read()
         hashes = new_rows.select("content_hash").distinct().withColumn("hash_of", F.lit(hash_of))
-        before = self.ledger.read().count()
-        self.ledger.append(hashes)
-        return self.ledger.read().count() - before
+        added = hashes.count()
+        if added:
+            self.upsert(vector_points(new_rows, embedder or hashed_embedder(self.dim), embed_col, id_mode))
+            self.ledger.append(hashes)
+        staged.clear()
+        staged.expire()
+        return added
 
     def prune(self, silver: DataFrame) -> None:
         """Drop vectors and ledger entries whose text is no longer in Silver.

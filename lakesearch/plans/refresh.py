@@ -6,6 +6,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakesearch.functions.embed import EMBEDDING_DIM, Embedder, hashed_embedder
 from lakesearch.functions.text import iso_utc, partition_date, partition_hour
@@ -14,10 +15,14 @@ from lakesearch.operators.silver import build_silver, merge_by_id, with_doc_orde
 from lakesearch.operators.validate import validate_light
 from lakesearch.operators.vectors import VectorStore, payload_of
 from lakesearch.schemas import SILVER, SILVER_COLUMNS
-from lakesearch.sources.bronze import append_bronze, read_bronze
+from lakesearch.sources.bronze import append_bronze, bronze_state, read_bronze
 from lakesearch.sources.tables import Table
 
 
+#: What Silver was last built from.
+SOURCE = T.StructType([T.StructField("state", T.StringType()), T.StructField("silver_version", T.LongType())])
+
+
 class IngestCounts(NamedTuple):
     valid: int
     dlq: int
@@ -31,6 +36,7 @@ class Lake:
         self.embedder = embedder
         self.bronze_root = f"{self.root}/bronze"
         self.silver = Table(spark, f"{self.root}/silver", SILVER)
+        self.source = Table(spark, f"{self.root}/silver_source", SOURCE)
         self.store = VectorStore(spark, f"{self.root}/vector", dim)
         self.index = bm25.IndexStore(spark, f"{self.root}/keyword")
 
@@ -38,17 +44,34 @@ class Lake:
         self.silver.replace(with_doc_order(silver.select(*SILVER_COLUMNS)), ("doc_part",))
 
     def build_silver(self) -> bool:
-        """Rebuild Silver from all of Bronze; left alone if Bronze is empty."""
+        """Rebuild Silver from all of Bronze; left alone if Bronze is empty or as it was.
+
+        What Bronze is made of is noted after Silver is written: a crash in between only
+        repeats the build. Silver written by anybody else since is built anew as well.
+        """
         bronze = read_bronze(self.spark, self.bronze_root)
         if bronze.isEmpty():
             return False
+        state = bronze_state(bronze)
+        known = self.source.read().first()
+        if known is not None and tuple(known) == (state, self.silver.version()):
+            return False
         self.write_silver(build_silver(bronze))
+        now = self.spark.range(1).select(F.lit(state).alias("state"), F.lit(self.silver.version()).cast("bigint").alias("silver_version"))
+        self.source.replace(now)
         return True
 
     def refresh(self) -> int:
-        """Silver, then sync, in this order. Safe to run again; returns new vectors."""
+        """Silver, then sync, then the keyword index. Safe to run again; returns new vectors.
+
+        An idle run (Bronze unchanged) writes no version of Silver and leaves the index.
+        """
         self.build_silver()
-        return self.store.sync(self.silver.read(), self.embedder)
+        silver = self.silver.read()
+        added = self.store.sync(silver, self.embedder)
+        if self.silver.exists():
+            self.index.open(bm25.corpus(silver), self.silver.version())
+        return added
 
     def ingest_batch(self, items: DataFrame, batch: str, now: Column | int | None = None) -> IngestCounts:
         """On-demand run: light validation, Bronze, Silver merged by id, vectors by item.

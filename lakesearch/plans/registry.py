@@ -298,9 +298,9 @@ def vector_upsert(spark, sf_dir):
     )
     labelled = views.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("id"))
     stored = talk.unionByName(docs.join(labelled, "id", "left_semi").withColumn("by", F.lit("stored")))
-    stored = vectors.last_per_point(vectors.vector_points(vectors.with_hash(stored)))
-    new = vectors.vector_points(vectors.with_hash(docs))
-    return _flat(vectors.upsert(stored, new)).drop("url", "score", "norm")
+    stored = vectors.vector_points(vectors.latest_per_hash(vectors.with_hash(stored)))
+    new = vectors.vector_points(vectors.latest_per_hash(vectors.with_hash(docs)))
+    return _flat(vectors.upsert(stored, new, new_is_unique=True)).drop("url", "score", "norm")
 
 
 # ---- retrieval ----

@@ -13,8 +13,14 @@ RAW_TOPIC = "raw-events-topic"
 VALIDATED_TOPIC = "validated-events-topic"
 DLQ_TOPIC = "dlq-topic"
 
+#: Messages a batch takes at most, so that a first start does not take a whole topic at once.
+MAX_PER_TRIGGER = 1_000_000
 
-def source_options(servers: str, topic: str, max_per_trigger: int | None = None) -> dict[str, str]:
+
+def source_options(
+    servers: str, topic: str, max_per_trigger: int | None = None, flush_rows: int | None = None, flush_seconds: int | None = None
+) -> dict[str, str]:
+    """With `flush_rows` a batch starts once so many messages wait, or after `flush_seconds`."""
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
@@ -22,6 +28,10 @@ def source_options(servers: str, topic: str, max_per_trigger: int | None = None)
     }
     if max_per_trigger is not None:
         options["maxOffsetsPerTrigger"] = str(max_per_trigger)
+    if flush_rows is not None:
+        options["minOffsetsPerTrigger"] = str(flush_rows)
+    if flush_seconds is not None:
+        options["maxTriggerDelay"] = f"{flush_seconds}s"
     return options
 
 
@@ -29,9 +39,17 @@ def sink_options(servers: str, topic: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": servers, "topic": topic}
 
 
-def read_topic(spark: SparkSession, servers: str, topic: str, max_per_trigger: int | None = None) -> DataFrame:
+def read_topic(
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    max_per_trigger: int | None = MAX_PER_TRIGGER,
+    flush_rows: int | None = None,
+    flush_seconds: int | None = None,
+) -> DataFrame:
     """Stream of (key, value); the value stays binary so that bad bytes can be seen."""
-    stream = spark.readStream.format("kafka").options(**source_options(servers, topic, max_per_trigger)).load()
+    options = source_options(servers, topic, max_per_trigger, flush_rows, flush_seconds)
+    stream = spark.readStream.format("kafka").options(**options).load()
     return stream.select(F.col("key").cast("string").alias("key"), "value")
 
 

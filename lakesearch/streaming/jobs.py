@@ -18,12 +18,23 @@ from lakesearch.operators.validate import dead_letter_messages, dead_letters, va
 from lakesearch.schemas import RAW_MESSAGE, STORY_EVENT, STORY_FIELDS
 from lakesearch.sources.bronze import append_bronze, with_bronze_columns
 from lakesearch.sources.files import Files
-from lakesearch.sources.kafka import DLQ_TOPIC, VALIDATED_TOPIC, messages, sink_options
+from lakesearch.sources.kafka import DLQ_TOPIC, VALIDATED_TOPIC, messages, read_topic, sink_options
 
 # Flush after so many rows or so long, whichever comes first.
 FLUSH_ROWS = 50
 FLUSH_SECONDS = 30
 
+#: How often a topic with a row limit is asked whether enough rows wait.
+POLL_SECONDS = 1
+
+
+def read_validated_topic(spark: SparkSession, servers: str, rows: int = FLUSH_ROWS, seconds: int = FLUSH_SECONDS) -> DataFrame:
+    """Validated messages for Bronze: a flush begins with `rows` waiting or after `seconds`.
+
+    For `start_bronze_writer(..., seconds=POLL_SECONDS)`: the source itself keeps the two limits.
+    """
+    return read_topic(spark, servers, VALIDATED_TOPIC, flush_rows=rows, flush_seconds=seconds)
+
 
 def read_text_folder(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Stream of raw messages from text files, one JSON object a line, without keys."""
@@ -44,7 +55,7 @@ def read_message_folder(spark: SparkSession, path: str, max_files: int | None =
 def trigger(writer: DataStreamWriter, drain: bool, seconds: int = FLUSH_SECONDS) -> DataStreamWriter:
     """Run for good with a time trigger, or (`drain`) take what is there and stop.
 
-    The row limit of a flush is the source's `maxOffsetsPerTrigger`/`maxFilesPerTrigger`.
+    The row limits of a flush are the source's (see `read_validated_topic`).
     """
     return writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=f"{seconds} seconds")
 
@@ -123,7 +134,7 @@ def parse_validated(stream: DataFrame) -> DataFrame:
     return counted.where(~unreadable).select("key", "e.*")
 
 
-def start_bronze_writer(validated: DataFrame, root: str, checkpoint: str, drain: bool = False) -> StreamingQuery:
+def start_bronze_writer(validated: DataFrame, root: str, checkpoint: str, drain: bool = False, seconds: int = FLUSH_SECONDS) -> StreamingQuery:
     """Land validated messages in Bronze, partitioned by flush date and hour."""
     rows = with_bronze_columns(parse_validated(validated))
     stream = _stream_id(validated.sparkSession, checkpoint)
@@ -131,7 +142,7 @@ def start_bronze_writer(validated: DataFrame, root: str, checkpoint: str, drain:
     def land(batch: DataFrame, batch_id: int) -> None:
         append_bronze(batch, root, f"{stream}-{batch_id:09d}")
 
-    return trigger(rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(land), drain).start()
+    return trigger(rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(land), drain, seconds).start()
 
 
 def new_ids(items: DataFrame, primed: DataFrame, watermark: str | None = None) -> DataFrame:

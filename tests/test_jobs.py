@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakesearch.functions.embed import hashed_embedder
 from lakesearch.plans.refresh import Lake
-from lakesearch.sources.bronze import read_bronze
+from lakesearch.sources.bronze import append_bronze, read_bronze
 from lakesearch.streaming import jobs
 
 
@@ -130,6 +130,23 @@ def test_ingest_refresh_search(spark, lake):
     assert any("brandnew" in r["text"] for r in found.collect())  # the keyword index has followed
 
 
+def test_idle_refresh_leaves_silver_and_index(spark, lake):
+    batch = [(i, "story", f"title {i}", "the same text", "bob", 1, 100 + i) for i in range(4)]
+    lake.ingest_batch(items(spark, batch), "a", now=5)
+    assert lake.refresh() == 4
+
+    def state():
+        return lake.silver.version(), lake.index.meta.version(), lake.store.vectors.version()
+
+    before = state()
+    assert lake.refresh() == 0 and state() == before
+    lake.search(spark.createDataFrame([(1, "same")], "query_id long, query_text string")).count()
+    assert state() == before  # the refresh had built the index already
+    append_bronze(read_bronze(spark, lake.bronze_root).withColumn("id", F.col("id") + 10).withColumn("title", F.concat("title", F.lit("b"))).drop("batch"), lake.bronze_root, "b")
+    assert lake.refresh() == 4
+    assert lake.silver.read().count() == 8 and state()[1] > before[1]
+
+
 def test_refresh_ignores_empty_bronze(spark, lake):
     assert lake.build_silver() is False
     assert not lake.silver.exists()

@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import statistics
 from decimal import ROUND_HALF_UP, Decimal
 
@@ -276,6 +277,24 @@ def test_no_broadcast_nested_loop(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_topk_shuffles_no_pairs(spark):
+    d, q = frames(spark, make_corpus())
+    plan = bm25.bm25_topk(q, bm25.build_index(d))._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and not re.search(r"Exchange hashpartitioning\(query_id#\d+L?, doc#", plan)
+
+
+def test_hits_of_a_document_over_several_arrow_batches(spark):
+    d, q = frames(spark, make_corpus())
+    index = bm25.build_index(d)
+    want = sorted(map(tuple, bm25._best(bm25.bm25_scores(q, index), 3).select("query_id", "rank", "doc").collect()))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    try:
+        got = bm25.bm25_topk(q, index, 3, pad_zero=False).select("query_id", "rank", "doc").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert want and sorted(map(tuple, got)) == want
+
+
 def test_query_batches_end_with_one_id(spark):
     q = spark.range(10).selectExpr("CAST(NULL AS BIGINT) AS query_id", "'same' AS query_text")
     parts = batches.query_batches(q, max_rows=3)

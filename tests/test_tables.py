@@ -387,5 +387,7 @@ def test_kafka_options():
         "startingOffsets": "earliest",
         "maxOffsetsPerTrigger": "50",
     }
+    flushed = kafka.source_options("h:1", "t", flush_rows=50, flush_seconds=30)
+    assert (flushed["minOffsetsPerTrigger"], flushed["maxTriggerDelay"]) == ("50", "30s")
     assert kafka.sink_options("h:1", "t") == {"kafka.bootstrap.servers": "h:1", "topic": "t"}
     assert [f.nullable for f in STORY_EVENT][:5] == [False] * 5
