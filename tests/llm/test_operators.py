@@ -306,6 +306,25 @@ def test_nearest_recall_and_odd_vectors(spark):
     assert collisions.nearest(frame.limit(0), frame.limit(0), 20).count() == 0
 
 
+@pytest.mark.parametrize("spread", [0.0, 0.2, 0.5, None])
+def test_nearest_recall_on_spread_norms(spread):
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((3000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    if spread is None:
+        x[7] *= 1.5
+    else:
+        x *= rng.lognormal(0, spread, 3000)[:, None]
+    ids, asked = np.arange(3000), np.arange(0, 3000, 75)
+    found, verified = collisions.search_block(ids, x, asked, x[asked], collisions.directions(64), 20)
+    hits = 0
+    for q in asked:
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits += len(set(np.argsort(-s)[:20]) & {i for own, i, _ in found if own == q})
+    assert hits >= 0.97 * 20 * len(asked) and verified < 3000 * len(asked)
+
+
 def test_pipeline_stages(spark):
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
