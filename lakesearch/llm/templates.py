@@ -206,14 +206,13 @@ def slot_of(path: str, template: set[str]) -> str:
     return path
 
 
-def main_text(page: Page, template: set[str], holder: str) -> str:
-    """The blocks in the holder's slots, two line ends between them."""
+def main_text(page: Page, holder: str) -> str:
+    """The blocks in the holder, whatever their slot, two line ends between them."""
 
     def inside(top: str) -> list[str]:
         kept = []
         for path, text, _ in page.blocks:
-            slot = slot_of(path, template)
-            if (slot == top or slot.startswith(top + "/")) and not outside(path):
+            if (path == top or path.startswith(top + "/")) and not outside(path):
                 kept.append(text)
         return kept
 
@@ -223,7 +222,6 @@ def main_text(page: Page, template: set[str], holder: str) -> str:
         for path, text, links in page.blocks:
             chars, linked = slots.get(path, (0, 0))
             slots[path] = (chars + len(text), linked + links)
-        template = set(page.tokens)
         found = inside(container(slots))
     return "\n\n".join(found)
 
@@ -280,7 +278,7 @@ def deduce(pages: DataFrame) -> DataFrame:
     """(host, template array<string>, holder): one row a host with enough pages, and ALL_HOSTS."""
 
     def nest(rows: pd.DataFrame) -> pd.DataFrame:
-        # A class nests in another if all its tokens lie in tokens of that one or of its own.
+        # A class nests in the one around its outermost token; its tokens that lie elsewhere are left out.
         members: dict[str, set[str]] = defaultdict(set)
         of = dict(zip(rows["token"], rows["class"]))
         for token, name in of.items():
@@ -292,10 +290,14 @@ def deduce(pages: DataFrame) -> DataFrame:
                 path = path.rpartition("/")[0]
             return path or None
 
-        valid = {name for name, tokens in members.items() if len({around(t) and of[around(t)] for t in tokens}) == 1}
-        template = sorted(t for t, name in of.items() if name in valid or members[name] == {t})
-        slots = {t: (c, k) for t, c, k in zip(rows["token"], rows["chars"], rows["links"])}
-        return pd.DataFrame({"host": [rows["host"].iloc[0]], "template": [template], "holder": [container(slots)]})
+        def outer(token: str) -> str | None:
+            path = around(token)
+            return path and of[path]
+
+        nests = {name: outer(min(tokens, key=lambda t: (t.count("/"), t))) for name, tokens in members.items()}
+        holder = container({t: (c, k) for t, c, k in zip(rows["token"], rows["chars"], rows["links"])})
+        template = sorted({t for t, name in of.items() if outer(t) == nests[name]} | ({holder} if holder else set()))
+        return pd.DataFrame({"host": [rows["host"].iloc[0]], "template": [template], "holder": [holder]})
 
     # A host has at most the tokens that MIN_SHARE of its pages hold: a small group.
     return classes(_token_counts(pages)).groupBy("host").applyInPandas(nest, "host string, template array<string>, holder string")
@@ -319,7 +321,7 @@ def extract(pages: DataFrame, key: str, host: Column, html: str = "html") -> Dat
                 texts = []
                 for html, template, holder in zip(*(batch.column(n + i).to_pylist() for i in range(3))):
                     template, holder = (template, holder) if template is not None else common
-                    texts.append(main_text(Page(html), set(template), holder))
+                    texts.append(main_text(Page(html), holder))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(texts, pa.string())], names=[*[f"key_{i}" for i in range(n)], "text"])
 
     found = joined.mapInArrow(run, f"{kinds}, text string")

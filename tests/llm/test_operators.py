@@ -232,6 +232,21 @@ def test_main_text(spark):
     assert templates.extract(pages.limit(0), "page_id", F.lit("h")).count() == 0
 
 
+def test_main_text_with_a_class_that_does_not_nest_and_rare_tags(spark):
+    quote = "<blockquote>Quoted {0}</blockquote><table><tr><td>Cell {0}</table>"
+    html = "<html><body><div>Top {0}<h2>Sub</h2></div><article>Lead {0}<h1>Head {0}</h1>{1}<p>Long text of page {0}, part one.</p><p>Part two of {0}, also long.</p></article><div></div></body></html>"
+    rows = [(i, "https://h.example.com/", html.format(i, quote.format(i) if i == 4 else "")) for i in range(8)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in templates.extract(pages, "page_id", langid.host_of(F.col("url"))).collect()}
+    for i in range(8):
+        extra = f"Quoted {i}\n\nCell {i}\n\n" if i == 4 else ""
+        assert found[i].endswith(f"Lead {i}\n\nHead {i}\n\n{extra}Long text of page {i}, part one.\n\nPart two of {i}, also long.")
+    counted = pages.select(F.lit("h").alias("host"), F.col("page_id").cast("string").alias("id"), "html")
+    template = next(r.template for r in templates.deduce(counted).collect() if r.host == "h")
+    assert {"/html", "/html/body", "/html/body/article", "/html/body/article/h1"} <= set(template)
+    assert "/html/body/div/h2" not in template
+
+
 def test_occurrence_classes(spark):
     rows = [(i, "https://h.example.com/", PAGE.format(i) + ("<div class=x><i></i></div>" if i % 2 else "")) for i in range(6)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
