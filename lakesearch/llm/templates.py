@@ -4,14 +4,16 @@ Pages of one host are read as streams of tags. A token is a tag together with th
 lies in. Tokens that occur equally often on every page of the host (they share their occurrence
 vector) form an equivalence class; a class is large if enough pages of the host have it.
 Classes nest by the tags they lie in, and together they are the host's template: what lies
-between two of its tokens is a slot. Slots gather statistics over all pages (text, links), the
-container that holds the text of the host is found from them, and of each page the
-slots inside that container are taken, without those of menus, notices, comments and the like.
+between two of its tokens is a slot. Slots gather statistics over all pages (text, links, whether
+the text varies). Tags of menus, headers, notices, comments and the like hold no main text. Of
+the other slots all whose text varies from page to page are taken; those that say the same
+on every page, or hold mostly links, only inside the container that holds most of the host's text.
 
 Occurrence vectors are compared by their hashes: the exclusive or, over pages, of a hash
 of page and count, a grouped aggregation with map-side sums. A host's template has few rows
 whatever its number of pages; hosts with fewer than MIN_PAGES pages share one template
-deduced from all hosts. A page that its host's template does not fit is read by its own tags.
+deduced from all hosts. Text in tags too rare for the template is taken unless it is mostly
+links; a page without text in slots is read by its own tags.
 
 Defined results: null html counts as empty; an empty page and a page without text in slots
 give an empty text; a page cut off in a tag ends before it; a null or broken url is the
@@ -36,7 +38,7 @@ from lakesearch.session import written
 MIN_PAGES = 3
 #: A class must be on this share of the host's pages.
 MIN_SHARE = 0.2
-#: The container is the innermost one with this share of the text in slots.
+#: The container is the innermost one with this share of the text in slots; it decides on fixed slots only.
 CONTAINER_SHARE = 0.6
 #: Stands for all hosts together.
 ALL_HOSTS = "*"
@@ -206,30 +208,38 @@ def slot_of(path: str, template: set[str]) -> str:
     return path
 
 
-def main_text(page: Page, holder: str) -> str:
-    """The blocks in the holder, whatever their slot, two line ends between them."""
+def dropped_slots(tokens: list[tuple[str, int, int, bool]], template: set[str]) -> list[str]:
+    """Slots that hold no main text outside the container, from (token, text, link text, varies)."""
+    sums: dict[str, list] = {}
+    for token, chars, links, varies in tokens:
+        if chars:
+            s = sums.setdefault(slot_of(token, template), [0, 0, False])
+            s[0] += chars
+            s[1] += links
+            s[2] = s[2] or varies
+    return sorted(slot for slot, (chars, links, varies) in sums.items() if not varies or 2 * links > chars)
 
-    def inside(top: str) -> list[str]:
-        kept = []
-        for path, text, _ in page.blocks:
-            if (path == top or path.startswith(top + "/")) and not outside(path):
-                kept.append(text)
-        return kept
 
-    found = inside(holder) if holder in page.tokens or not holder else []
-    if not found:  # the host's template does not fit: the page's own tags are the template
-        slots: dict[str, tuple[int, int]] = {}
-        for path, text, links in page.blocks:
-            chars, linked = slots.get(path, (0, 0))
-            slots[path] = (chars + len(text), linked + links)
-        found = inside(container(slots))
-    return "\n\n".join(found)
+def main_text(page: Page, template: set[str], holder: str, dropped: set[str]) -> str:
+    """The blocks of the page's main text, two line ends between them."""
+
+    def kept(path: str, text: str, links: int) -> bool:
+        if path == holder or path.startswith(holder + "/"):
+            return True
+        slot = slot_of(path, template)
+        return slot not in dropped or path != slot and 2 * links <= len(text)
+
+    blocks = [b for b in page.blocks if not outside(b[0])]
+    # Nothing found: the host's template does not fit, and the page's own tags decide.
+    found = [b for b in blocks if kept(*b)] or [b for b in blocks if 2 * b[2] <= len(b[1])] or blocks
+    return "\n\n".join(text for _, text, _ in found)
 
 
 def _token_counts(pages: DataFrame) -> DataFrame:
-    """(host, token, pages, vector, chars, links), summed over each slice of a task's pages.
+    """(host, token, pages, vector, chars, links, least, most), summed over each slice of a task's pages.
 
-    `pages` has host, id and html. The empty token stands for the page itself.
+    `pages` has host, id and html. The empty token stands for the page itself. `least` and `most` are
+    the bounds of the hash of a page's text right in the token: they differ if the text varies.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,41 +251,46 @@ def _token_counts(pages: DataFrame) -> DataFrame:
                 for host, key, html in zip(*(c.to_pylist() for c in batch.columns)):
                     page = Page(html)
                     mass: dict[str, list[int]] = {}
+                    texts: dict[str, list[str]] = defaultdict(list)
                     for path, text, links in page.blocks:
                         m = mass.setdefault(path, [0, 0])
                         m[0] += len(text)
                         m[1] += links
+                        texts[path].append(text)
                     for token, n in [("", 1), *page.tokens.items()]:
-                        s = sums.setdefault((host, token), [0, 0, 0, 0])
+                        s = sums.setdefault((host, token), [0, 0, 0, 0, None, None])
                         chars, links = mass.get(token, (0, 0))
                         s[0] += 1
                         s[1] ^= xxhash.xxh64_intdigest(f"{key}|{n}")
                         s[2] += chars
                         s[3] += links
-                rows = [(h, t, n, v - (1 << 64) if v >> 63 else v, c, k) for (h, t), (n, v, c, k) in sums.items()]
-                columns = list(zip(*rows)) if rows else [[]] * 6
-                kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["host", "token", "pages", "vector", "chars", "links"])
+                        if token in texts:
+                            h = xxhash.xxh64_intdigest("\n".join(texts[token]).encode("utf-8", "replace")) >> 1
+                            s[4], s[5] = (h, h) if s[4] is None else (min(s[4], h), max(s[5], h))
+                rows = [(h, t, n, v - (1 << 64) if v >> 63 else v, *rest) for (h, t), (n, v, *rest) in sums.items()]
+                columns = list(zip(*rows)) if rows else [[]] * 8
+                kinds = (pa.string(), pa.string(), *[pa.int64()] * 6)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["host", "token", "pages", "vector", "chars", "links", "least", "most"])
 
-    return pages.mapInArrow(run, "host string, token string, pages long, vector long, chars long, links long")
+    return pages.mapInArrow(run, "host string, token string, pages long, vector long, chars long, links long, least long, most long")
 
 
 def classes(counts: DataFrame) -> DataFrame:
-    """(host, token, class, pages, chars, links) of the tokens in large classes.
+    """(host, token, class, pages, chars, links, varies) of the tokens in large classes.
 
     A class is named by its occurrence vector. For hosts with few pages `host` is ALL_HOSTS.
     """
-    sums = [F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"), F.sum("chars").alias("chars"), F.sum("links").alias("links")]
+    sums = [F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"), F.sum("chars").alias("chars"), F.sum("links").alias("links"), F.min("least").alias("least"), F.max("most").alias("most")]
     own = written(counts.groupBy("host", "token").agg(*sums))
-    pooled = own.groupBy("token").agg(*sums).select(F.lit(ALL_HOSTS).alias("host"), "token", "pages", "vector", "chars", "links")
+    pooled = own.groupBy("token").agg(*sums).select(F.lit(ALL_HOSTS).alias("host"), "token", "pages", "vector", "chars", "links", "least", "most")
     rows = own.unionByName(pooled)
     sizes = rows.where("token = ''").select("host", F.col("pages").alias("host_pages")).where(F.col("host_pages") >= MIN_PAGES)
     large = rows.where("token <> ''").join(sizes, "host").where(F.col("pages") >= F.greatest(F.lit(MIN_PAGES), F.col("host_pages") * MIN_SHARE))
-    return large.select("host", "token", F.hex("vector").alias("class"), "pages", "chars", "links")
+    return large.select("host", "token", F.hex("vector").alias("class"), "pages", "chars", "links", F.coalesce(F.col("least") < F.col("most"), F.lit(False)).alias("varies"))
 
 
 def deduce(pages: DataFrame) -> DataFrame:
-    """(host, template array<string>, holder): one row a host with enough pages, and ALL_HOSTS."""
+    """(host, template array<string>, holder, dropped array<string>): one row a host with enough pages, and ALL_HOSTS."""
 
     def nest(rows: pd.DataFrame) -> pd.DataFrame:
         # A class nests in the one around its outermost token; its tokens that lie elsewhere are left out.
@@ -297,10 +312,11 @@ def deduce(pages: DataFrame) -> DataFrame:
         nests = {name: outer(min(tokens, key=lambda t: (t.count("/"), t))) for name, tokens in members.items()}
         holder = container({t: (c, k) for t, c, k in zip(rows["token"], rows["chars"], rows["links"])})
         template = sorted({t for t, name in of.items() if outer(t) == nests[name]} | ({holder} if holder else set()))
-        return pd.DataFrame({"host": [rows["host"].iloc[0]], "template": [template], "holder": [holder]})
+        dropped = dropped_slots(list(zip(rows["token"], rows["chars"], rows["links"], rows["varies"])), set(template))
+        return pd.DataFrame({"host": [rows["host"].iloc[0]], "template": [template], "holder": [holder], "dropped": [dropped]})
 
     # A host has at most the tokens that MIN_SHARE of its pages hold: a small group.
-    return classes(_token_counts(pages)).groupBy("host").applyInPandas(nest, "host string, template array<string>, holder string")
+    return classes(_token_counts(pages)).groupBy("host").applyInPandas(nest, "host string, template array<string>, holder string, dropped array<string>")
 
 
 def extract(pages: DataFrame, key: str, host: Column, html: str = "html") -> DataFrame:
@@ -310,8 +326,8 @@ def extract(pages: DataFrame, key: str, host: Column, html: str = "html") -> Dat
     counted = named.select("host", F.coalesce(F.col("key_0").cast("string"), F.lit("")).alias("id"), "html")
     templates = written(deduce(counted))
     shared = templates.where(F.col("host") == ALL_HOSTS).first()
-    common = (shared["template"], shared["holder"]) if shared else ([], "")
-    joined = named.join(templates.where(F.col("host") != ALL_HOSTS), "host", "left").select(*[f"key_{i}" for i in range(len(keys))], "html", "template", "holder")
+    common = (shared["template"], shared["holder"], shared["dropped"]) if shared else ([], "", [])
+    joined = named.join(templates.where(F.col("host") != ALL_HOSTS), "host", "left").select(*[f"key_{i}" for i in range(len(keys))], "html", "template", "holder", "dropped")
     kinds = ", ".join(f"key_{i} {pages.schema[k].dataType.simpleString()}" for i, k in enumerate(keys))
     n = len(keys)
 
@@ -319,9 +335,10 @@ def extract(pages: DataFrame, key: str, host: Column, html: str = "html") -> Dat
         for whole in batches:
             for batch in in_slices(whole, n):
                 texts = []
-                for html, template, holder in zip(*(batch.column(n + i).to_pylist() for i in range(3))):
-                    template, holder = (template, holder) if template is not None else common
-                    texts.append(main_text(Page(html), holder))
+                for html, template, holder, dropped in zip(*(batch.column(n + i).to_pylist() for i in range(4))):
+                    if template is None:
+                        template, holder, dropped = common
+                    texts.append(main_text(Page(html), set(template), holder, set(dropped)))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(texts, pa.string())], names=[*[f"key_{i}" for i in range(n)], "text"])
 
     found = joined.mapInArrow(run, f"{kinds}, text string")

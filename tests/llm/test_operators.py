@@ -247,6 +247,22 @@ def test_main_text_with_a_class_that_does_not_nest_and_rare_tags(spark):
     assert "/html/body/div/h2" not in template
 
 
+def test_main_text_beside_the_holder(spark):
+    long = "Much longer text of the body. " * 4
+    layouts = {
+        "heading": '<html><body><ul><li><a href="/">Home</a><li><a href="/{0}">Page {0}</a></ul><h1>Head {0}</h1><div>Lead {0}</div><div class="body"><p>' + long + '{0}</p></div><p>Same on every page</p></body></html>',
+        "split": '<html><body><div class="x"><p>' + long + '{0}</p></div><div class="y"><p>The rest of page {0}.</p></div></body></html>',
+    }
+    rows = [(i, f"https://{name}.example.com/", html.format(i)) for name, html in layouts.items() for i in range(6)]
+    rows.append((6, "https://split.example.com/", layouts["split"].format(6).replace("</body>", "<section>Own text of 6</section></body>")))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {(r.url.split(".")[0][8:], r.page_id): r.text for r in templates.extract(pages, "page_id, url", langid.host_of(F.col("url"))).collect()}
+    for i in range(6):
+        assert found["heading", i] == f"Head {i}\n\nLead {i}\n\n{long}{i}"
+        assert found["split", i] == f"{long}{i}\n\nThe rest of page {i}."
+    assert found["split", 6] == f"{long}6\n\nThe rest of page 6.\n\nOwn text of 6"
+
+
 def test_occurrence_classes(spark):
     rows = [(i, "https://h.example.com/", PAGE.format(i) + ("<div class=x><i></i></div>" if i % 2 else "")) for i in range(6)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
