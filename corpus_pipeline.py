@@ -1,7 +1,8 @@
 """A training corpus from `documents`, in five stages, each written as Parquet and reread.
 
 1. toxicity: documents that the classifier marks go;
-2. language ID: documents without letters, and those no language fits, go;
+2. language ID: documents without letters, and those no language fits, go, but none of a declared
+   language that has no model;
 3. near-dedup: of each class of near-duplicates the document with the smallest id stays;
 4. mixing: documents are repeated so that all sources weigh the same;
 5. BPE: every document is encoded, and decoded again.
@@ -29,10 +30,14 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def language_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    keyed = docs.withColumn("text_hash", F.xxhash64(text))
-    found = langid.identify(keyed, ["doc_id", "text_hash"], text, F.col("lang"), F.col("source"), langid.fit(docs))
-    rejected = found.where((F.col("n_grams") == 0) | (F.col("lang") == langid.UND)).select("doc_id", "text_hash").distinct()
-    return without(keyed, rejected, ["doc_id", "text_hash"]).drop("text_hash")
+    code = langid.language_code(F.col("lang"))
+    # The declared code is hashed as well: rows alike in id and text may declare different languages.
+    keyed = docs.withColumn("row_hash", F.xxhash64(text, code)).withColumn("code", code)
+    model = langid.fit(docs)
+    found = langid.identify(keyed, ["doc_id", "row_hash", "code"], text, F.col("lang"), F.col("source"), model)
+    modelled = F.col("code").isin("", *model.classes)
+    rejected = found.where((F.col("n_grams") == 0) | (F.col("lang") == langid.UND) & modelled).select("doc_id", "row_hash").distinct()
+    return without(keyed, rejected, ["doc_id", "row_hash"]).drop("row_hash", "code")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,8 +8,9 @@
 - the address suffix: P(suffix | language), likewise;
 - the host: a prior smoothed towards its registered domain, and that towards all rows.
 
-The models are fitted on a bounded sample of labelled texts (SAMPLE_TEXTS of up to
-SAMPLE_CHARS characters, in the order of a hash of the text). All counts cover all rows.
+The models are fitted on a bounded sample of labelled texts of every language (LANGUAGE_TEXTS
+distinct ones each, their first SAMPLE_CHARS characters, in the order of a hash of the text), so that
+a rare language has a model too. All counts cover all rows.
 
 Defined results: null text, host or declared language give no evidence of that kind; a
 text without letters is decided by the rest and has `n_grams` 0; ties go to the language first
@@ -21,15 +22,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakesearch.session import written
 
 BUCKETS = 1 << 16
 UND = "und"
-SAMPLE_TEXTS = 2000
+LANGUAGE_TEXTS = 500
 SAMPLE_CHARS = 100_000
 #: Weight of one trigram: it shares two bytes with each neighbour.
 TEMPER = 1 / 3
@@ -73,18 +75,27 @@ class Model:
         return len(grams), total * TEMPER
 
 
+def language_code(declared: Column) -> Column:
+    """The primary code of a declared language, in lower case; empty without one."""
+    return F.lower(F.regexp_extract(F.coalesce(declared, F.lit("")), "^[A-Za-z]+", 0))
+
+
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
-    """Models from a bounded sample of labelled texts, counted on the driver."""
-    rows = labelled.select(F.col(text).alias("text"), F.lower(F.col(lang)).alias("lang")).where(f"text is not null and lang is not null and lang not in ('', '{UND}') and length(text) <= {SAMPLE_CHARS}")
+    """Models from a bounded sample of each language, counted in the tasks: one array a language returns."""
+    rows = labelled.select(F.substring(F.col(text), 1, SAMPLE_CHARS).alias("text"), language_code(F.col(lang)).alias("lang")).where(f"text is not null and lang not in ('', '{UND}')")
     rows = rows.withColumn("h", F.xxhash64("text", "lang"))
-    # The hashes are chosen first, so that no more than SAMPLE_TEXTS texts come to the driver.
-    chosen = rows.select("h").distinct().orderBy("h").limit(SAMPLE_TEXTS)
-    sample = rows.join(F.broadcast(chosen), "h").dropDuplicates(["h"]).toPandas().sort_values("h")
-    languages = sorted(set(sample["lang"]))
-    counts = np.zeros((len(languages), BUCKETS))
-    for name, body in zip(sample["lang"], sample["text"]):
-        counts[languages.index(name)] += np.bincount(trigrams(body), minlength=BUCKETS)
-    return Model(languages, counts)
+    # The hashes are chosen first, so that no more texts than those of the sample are moved.
+    first = Window.partitionBy("lang").orderBy("h")
+    chosen = rows.select("lang", "h").distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= LANGUAGE_TEXTS).select("lang", "h")
+    sample = rows.join(F.broadcast(chosen), ["lang", "h"]).dropDuplicates(["lang", "h"])
+
+    def count(texts: pd.DataFrame) -> pd.DataFrame:
+        counts = sum(np.bincount(trigrams(t), minlength=BUCKETS) for t in texts["text"])
+        return pd.DataFrame({"lang": [texts["lang"].iloc[0]], "counts": [counts.astype("<i4").tobytes()]})
+
+    found = sorted(sample.select("lang", "text").groupBy("lang").applyInPandas(count, "lang string, counts binary").collect())
+    counts = np.array([np.frombuffer(r["counts"], "<i4") for r in found], float).reshape(len(found), BUCKETS)
+    return Model([r["lang"] for r in found], counts)
 
 
 def address_parts(host: Column) -> dict[str, Column]:
@@ -122,7 +133,7 @@ def _evidence(rows: DataFrame, model: Model, keys: list[str]) -> DataFrame:
 def identify(rows: DataFrame, keys: list[str], text: Column, declared: Column, host: Column, model: Model) -> DataFrame:
     """(keys, lang, confidence, text_lang, declared, n_grams): the class with the highest posterior."""
     classes, k = model.classes, len(model.classes)
-    said = F.lower(F.regexp_extract(F.coalesce(declared, F.lit("")), "^[A-Za-z]+", 0))
+    said = language_code(declared)
     said = F.when(said.isin(classes[:-1]), said).when(said == "", F.lit("")).otherwise(F.lit("other"))
     renamed = [F.col(c).alias(f"key_{i}") for i, c in enumerate(keys)]
     inputs = rows.select(*renamed, text.alias("text"), said.alias("declared"), *[c.alias(n) for n, c in address_parts(host).items()])

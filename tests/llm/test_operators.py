@@ -288,6 +288,21 @@ def test_language_id(spark, docs, empty):
     assert langid.fit(empty).classes == [langid.UND]
 
 
+def test_a_rare_language_has_a_model(spark, monkeypatch):
+    many = spark.range(20_000).select("id", F.concat(F.lit("the same words and number "), F.col("id")).alias("text"), F.lit("en").alias("lang"))
+    rare = "hii ni lugha adimu ambayo ina maneno machache " * 5
+    rows = many.unionByName(spark.createDataFrame([(-1, rare, "sw-KE"), (-2, rare + " pia " + "z" * langid.SAMPLE_CHARS, "xx")], "id long, text string, lang string"))
+    model = langid.fit(rows)
+    assert model.classes == ["en", "sw", "xx", langid.UND]
+    asked = spark.createDataFrame([(1, "lugha adimu ina maneno machache")], "id long, text string")
+    none = F.lit(None).cast("string")
+    assert langid.identify(asked, ["id"], F.col("text"), none, none, model).first().lang in ("sw", "xx")
+    noise = "".join(chr(c) for c in np.random.default_rng(1).integers(0x4E00, 0x9000, 400))
+    docs = spark.createDataFrame([(1, noise, "zz", "a", 400), (2, noise, "en", "a", 400), (3, noise, "und", "a", 400), (4, noise, None, "a", 400)], SCHEMA)
+    monkeypatch.setattr(langid, "fit", lambda docs: model)
+    assert [r.doc_id for r in corpus_pipeline.language_filter(spark, docs, "").collect()] == [1]
+
+
 def test_toxicity_held_out(spark, docs, empty):
     folder = "/root/testdata/sf0.1/"
     all_docs, labels = (spark.read.parquet(f"{folder}{t}.parquet") for t in ("documents", "labels"))
