@@ -9,7 +9,7 @@
 
 A stage takes whatever its predecessor kept, with the columns of `documents`, and decides
 for each row by its id and text. Rows with null text pass as empty texts (and go at stage
-2); rows with a null id pass stage 3; an empty table passes all stages; further columns are dropped at the end.
+2); a null id comes after all others at stage 3, where one of the rows alike in id and text stays; an empty table passes all stages; further columns are dropped at the end.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from lakesearch.llm import bpe, dartminhash, langid, poisson, toxicity
 from lakesearch.llm.common import table, without
 from lakesearch.llm.queries import MIX_SEED, PATTERN, RANKS
+from lakesearch.llm.simhash import NO_ID
 from lakesearch.session import written
 
 
@@ -32,22 +33,26 @@ def language_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     text = F.coalesce("text", F.lit(""))
     code = langid.language_code(F.col("lang"))
     # The declared code is hashed as well: rows alike in id and text may declare different languages.
-    keyed = docs.withColumn("row_hash", F.xxhash64(text, code)).withColumn("code", code)
+    keyed = docs.withColumns({"row_id": F.coalesce("doc_id", F.lit(NO_ID)), "row_hash": F.xxhash64(text, code), "code": code})
     model = langid.fit(docs)
-    found = langid.identify(keyed, ["doc_id", "row_hash", "code"], text, F.col("lang"), F.col("source"), model)
+    found = langid.identify(keyed, ["row_id", "row_hash", "code"], text, F.col("lang"), F.col("source"), model)
     modelled = F.col("code").isin("", *model.classes)
-    rejected = found.where((F.col("n_grams") == 0) | (F.col("lang") == langid.UND) & modelled).select("doc_id", "row_hash").distinct()
-    return without(keyed, rejected, ["doc_id", "row_hash"]).drop("row_hash", "code")
+    rejected = found.where((F.col("n_grams") == 0) | (F.col("lang") == langid.UND) & modelled).select("row_id", "row_hash").distinct()
+    return without(keyed, rejected, ["row_id", "row_hash"]).select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = dartminhash.near_classes(docs)
-    kept = without(docs, found.where("doc_id <> class_id").select("doc_id").distinct(), ["doc_id"])
-    if found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept
-    # Rows that share an id share a class: one of them stays.
-    named = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.unionByName(kept.where("doc_id is null"))
+    keyed = docs.withColumns({"row_id": F.coalesce("doc_id", F.lit(NO_ID)), "row_hash": F.xxhash64(F.coalesce("text", F.lit("")))})
+    # Classes are those of texts, so that rows that share an id, or have none, are told apart.
+    found = dartminhash.near_classes(keyed, "row_hash").distinct()
+    rows = written(keyed.groupBy("row_id", "row_hash").agg(F.count("*").alias("n")))
+    first = F.struct(F.col("row_id") == NO_ID, "row_id", "row_hash")
+    firsts = rows.groupBy("row_hash").agg(F.min(first).alias("first"))
+    kept = written(firsts.join(found, "row_hash").groupBy("class_id").agg(F.min("first").alias("first")).select("first.row_id", "first.row_hash"))
+    once = without(keyed, rows.select("row_id", "row_hash").join(kept, ["row_id", "row_hash"], "left_anti"), ["row_id", "row_hash"])
+    if not rows.where("n > 1").isEmpty():
+        once = once.dropDuplicates(["row_id", "row_hash"])
+    return once.select(docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

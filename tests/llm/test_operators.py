@@ -388,3 +388,15 @@ def test_pipeline_stages(spark):
     assert last.count() > 0
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs.limit(0), folder).count() == 0
+
+
+def test_pipeline_filters_tell_rows_of_one_id_and_of_none_apart(spark):
+    a, b, c = (" ".join(f"{w}{i}" for i in range(60)) for w in ("alpha", "beta", "gamma"))
+    rows = [(1, a), (2, a), (2, b), (None, c), (None, c), (None, a), (3, c + " more"), (None, "own words of a row without an id")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], SCHEMA)
+    kept = corpus_pipeline.near_dedup(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == sorted([("1", a), ("2", b), ("3", c + " more"), ("None", rows[-1][1])])
+    odd = spark.createDataFrame([(None, "12 %%", "en", "s", 5), (None, None, "en", "s", 0)], SCHEMA)
+    tidy = corpus_pipeline.language_filter(spark, docs.unionByName(odd), "")
+    assert sorted(r.text for r in tidy.collect()) == sorted(t for _, t in rows)
