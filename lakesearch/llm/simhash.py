@@ -10,7 +10,7 @@ radius differ in at most `radius` blocks, so they agree in two at least: there i
 for each pair of blocks, keyed by those, and a join per table finds every pair.
 
 Defined results: null text counts as empty; a text without words has fingerprint 0; a null
-id comes first in the order of ids; rows alike in id and text give one row; an empty
+id comes first in the order of ids; rows alike in id and text are computed once and give a row each; an empty
 table gives no rows; columns other than id and text are not looked at.
 """
 
@@ -26,6 +26,8 @@ from lakesearch.session import written
 
 WORDS = 5
 BITS = 64
+#: Repeated rows are given back in runs of so many.
+RUN = 4096
 #: Stands for a null id in joins.
 NO_ID = -(1 << 63)
 
@@ -99,17 +101,18 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def neighbours(docs: DataFrame) -> DataFrame:
-    """(id, th, n_chars, next_id, next_th): who follows by (id, th); after the last, the first."""
+    """(id, th, n_chars, copies, next_id, next_th): who follows by (id, th); after the last, the first."""
     text = whole_text()
-    ids = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64(text).alias("th"), F.length(text).cast("long").alias("n_chars")).distinct()
+    ids = docs.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64(text).alias("th"), F.length(text).cast("long").alias("n_chars"))
+    ids = ids.groupBy("id", "th", "n_chars").agg(F.count("*").alias("copies"))
     parts = ranged(ids, ["id", "th"])
     over = Window.orderBy("part")  # one row a range
     everything = over.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     firsts = parts.groupBy("part").agg(F.min(F.struct("id", "th")).alias("own"))
     firsts = firsts.select("part", F.coalesce(F.lead("own").over(over), F.first("own").over(everything)).alias("next_own"))
     after = F.coalesce(F.lead(F.struct("id", "th")).over(within_part(["id", "th"])), F.col("next_own"))
-    rows = parts.join(firsts, "part").select("id", "th", "n_chars", after.alias("after"))
-    return written(rows.select("id", "th", "n_chars", F.col("after.id").alias("next_id"), F.col("after.th").alias("next_th")))
+    rows = parts.join(firsts, "part").select("id", "th", "n_chars", "copies", after.alias("after"))
+    return written(rows.select("id", "th", "n_chars", "copies", F.col("after.id").alias("next_id"), F.col("after.th").alias("next_th")))
 
 
 def edited(docs: DataFrame, order: DataFrame) -> DataFrame:
@@ -132,6 +135,8 @@ def edit_study(docs: DataFrame) -> DataFrame:
     )
     following = one.select(F.col("id").alias("next_id"), F.col("th").alias("next_th"), F.col("fp").alias("next_fp"))
     rows = one.join(order, ["id", "th"]).join(following, ["next_id", "next_th"])
+    rows = rows.withColumn("run", F.explode(F.expr(f"sequence(0, (copies - 1) div {RUN})")))
+    rows = rows.withColumn("copy", F.explode(F.expr(f"sequence(1, least({RUN}, copies - run * {RUN}))")))
 
     def shown(fp: str) -> Column:
         return F.lower(F.lpad(F.hex(fp), 16, "0"))

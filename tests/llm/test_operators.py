@@ -143,6 +143,14 @@ def test_simhash_study(docs, empty):
     assert simhash.edit_study(empty).count() == 0
 
 
+@pytest.mark.parametrize("run", [2, 4096])
+def test_simhash_gives_a_row_for_every_document(spark, monkeypatch, run):
+    monkeypatch.setattr(simhash, "RUN", run)
+    rows = [(1, "some words of a text that is here five times")] * 5 + [(1, "another text"), (None, None), (None, None)]
+    found = simhash.edit_study(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((str(r.doc_id), r.n_chars) for r in found) == sorted((str(i), len(t or "")) for i, t in rows)
+
+
 def test_simhash_search_finds_all(spark):
     rng = np.random.default_rng(3)
     base = rng.integers(-(1 << 63), 1 << 63, 60, dtype=np.int64)
