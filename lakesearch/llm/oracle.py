@@ -50,4 +50,36 @@ WITH RECURSIVE counts AS (
 SELECT doc_id, text, lang, source, n_chars, n_copies, unnest(range(1, n_copies + 1))::INT AS copy FROM counted WHERE n_copies > 0
 """
 
-ORACLE: dict[str, str] = {"op4_byte_shards": OP4, "op10_poisson_mix": OP10}
+OP11 = r"""
+WITH RECURSIVE orders AS (
+  SELECT '' AS o
+  UNION ALL
+  SELECT o || f FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f) WHERE NOT contains(o, f)
+), steps AS (
+  SELECT o AS filter_order, s::INT AS step, o[s] AS f, o[1:s - 1] AS earlier FROM orders, range(1, 6) t(s) WHERE length(o) = 5
+), texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least FROM documents
+), words AS (
+  SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM texts
+), failed AS (
+  SELECT doc_id, part, (CASE WHEN len(w) < 100 THEN 'A' ELSE '' END) || (CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END)
+    || (CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) THEN 'C' ELSE '' END)
+    || (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END) || (CASE WHEN least < doc_id THEN 'E' ELSE '' END) AS fails
+  FROM words
+), marked AS (
+  SELECT *, EXISTS (FROM labels l WHERE l.doc_id = failed.doc_id AND quality = 1) AS good, EXISTS (FROM labels l WHERE l.doc_id = failed.doc_id AND toxic = 1) AS toxic FROM failed
+), alike AS (
+  SELECT part, fails, good, toxic, count(*) AS n FROM marked GROUP BY ALL
+), judged AS (
+  SELECT *, contains(fails, f) AS here, length(regexp_replace(fails, '[' || earlier || '0]', '', 'g')) < length(fails) AS gone FROM alike, steps
+), stepped AS (
+  SELECT part, filter_order, step, f, coalesce(sum(n) FILTER (NOT here AND NOT gone), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (here AND NOT gone), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (here AND gone), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (fails = f), 0)::BIGINT AS unique_fails, coalesce(sum(n) FILTER (here AND NOT gone AND good), 0)::BIGINT AS good_lost,
+    coalesce(sum(n) FILTER (here AND NOT gone AND toxic), 0)::BIGINT AS toxic_lost
+  FROM judged GROUP BY ALL
+)
+SELECT * EXCLUDE (f), (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM stepped
+"""
+
+ORACLE: dict[str, str] = {"op4_byte_shards": OP4, "op10_poisson_mix": OP10, "op11_filter_audit": OP11}

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesearch.llm import bpe, collisions, dartminhash, langid, poisson, separators, shards, simhash, templates, toxicity
+from lakesearch.llm import bpe, collisions, dartminhash, langid, poisson, separators, shards, simhash, templates, toxicity, wordmatrix
 from lakesearch.llm.common import table
 from lakesearch.session import scratch_dir
 
@@ -83,6 +83,12 @@ def op10_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return poisson.replicate(docs, "source", poisson.rates(docs, "source"), MIX_SEED)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each filter removes at each step of each order, in each language."""
+    failed = wordmatrix.failures(table(spark, sf_dir, "documents"))
+    return wordmatrix.audit(wordmatrix.histogram(failed, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_separator_scan": op1_separator_scan,
     "op2_language_id": op2_language_id,
@@ -94,4 +100,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_simhash": op8_simhash,
     "op9_collision_knn": op9_collision_knn,
     "op10_poisson_mix": op10_poisson_mix,
+    "op11_filter_audit": op11_filter_audit,
 }
