@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesearch.llm import bpe, collisions, dartminhash, langid, poisson, separators, shards, simhash, templates, toxicity, wordmatrix
+from lakesearch.llm import bpe, collisions, dartminhash, langid, licenses, poisson, separators, shards, simhash, templates, toxicity, wordmatrix
 from lakesearch.llm.common import table
 from lakesearch.session import scratch_dir
 
@@ -89,6 +89,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordmatrix.audit(wordmatrix.histogram(failed, table(spark, sf_dir, "labels")))
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and the licenses that every document names."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_separator_scan": op1_separator_scan,
     "op2_language_id": op2_language_id,
@@ -101,4 +106,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_collision_knn": op9_collision_knn,
     "op10_poisson_mix": op10_poisson_mix,
     "op11_filter_audit": op11_filter_audit,
+    "op12_license_scan": op12_license_scan,
 }
