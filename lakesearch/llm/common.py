@@ -17,13 +17,14 @@ def whole_text(text: Column | str = "text") -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
-def ranged(df: DataFrame, order: list[str]) -> DataFrame:
+def ranged(df: DataFrame, order: list[str], parts: int | None = None) -> DataFrame:
     """The rows in ranges of `order`, each with its range's number `part`, as a written table.
 
     It is written so that later passes agree on the numbers, whatever partitions the
     optimizer merges for each of them.
     """
-    rows = df.repartitionByRange(*[F.col(c) for c in order]).withColumn("part", F.spark_partition_id())
+    by = [F.col(c) for c in order]
+    rows = (df.repartitionByRange(*by) if parts is None else df.repartitionByRange(parts, *by)).withColumn("part", F.spark_partition_id())
     return written(rows)
 
 

@@ -5,14 +5,22 @@ from __future__ import annotations
 from lakesearch.llm.queries import MIX_SEED, N_SHARDS
 
 # CRC-32 over a list of bytes: 256 table entries from the polynomial, then one step a byte.
-OP4 = f"""
-WITH RECURSIVE bits AS (
+CRC_TABLE = """bits AS (
   SELECT i::BIGINT AS i, i::BIGINT AS c, 0 AS k FROM range(256) t(i)
   UNION ALL
   SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8
 ), crc AS (
   SELECT list(c ORDER BY i) AS steps FROM bits WHERE k = 8
-), sized AS (
+)"""
+
+
+def crc32_of(t: str) -> str:
+    return f"""xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, 2 * strlen({t}) + 1, 2), lambda k: ('0x' || substr(hex(encode({t})), k, 2))::BIGINT)),
+    lambda c, b: xor(c >> 8, steps[xor(c, b) % 256 + 1])), 4294967295::BIGINT)"""
+
+
+OP4 = f"""
+WITH RECURSIVE {CRC_TABLE}, sized AS (
   SELECT doc_id, coalesce(text, '') AS t, strlen(coalesce(text, ''))::BIGINT + 1 AS size, md5(coalesce(text, '')) AS digest FROM documents
 ), placed AS (
   SELECT *, row_number() OVER w - 1 AS number, (sum(size) OVER w)::BIGINT - size AS position, (sum(size) OVER ())::BIGINT AS total
@@ -23,8 +31,7 @@ WITH RECURSIVE bits AS (
   SELECT *, least({N_SHARDS - 1}, ((CASE WHEN n <= total / {N_SHARDS} * 0.01 THEN a * 2 + n ELSE position * 2 + size END) * {N_SHARDS}) // (2 * total))::INT AS shard FROM grouped
 )
 SELECT doc_id, size,
-  xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, 2 * strlen(t) + 1, 2), lambda k: ('0x' || substr(hex(encode(t)), k, 2))::BIGINT)),
-    lambda c, b: xor(c >> 8, steps[xor(c, b) % 256 + 1])), 4294967295::BIGINT) AS text_crc32,
+  {crc32_of("t")} AS text_crc32,
   'bytes' AS law, shard, number - min(number) OVER (PARTITION BY shard) AS slot, NULL::INT AS grown_shard
 FROM cut, crc
 """
@@ -82,4 +89,60 @@ WITH RECURSIVE orders AS (
 SELECT * EXCLUDE (f), (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM stepped
 """
 
-ORACLE: dict[str, str] = {"op4_byte_shards": OP4, "op10_poisson_mix": OP10, "op11_filter_audit": OP11}
+
+
+def _inserted(ways: str) -> str:
+    return f"""list_transform({ways}, lambda x: {{'p': CASE WHEN x.p = 2 THEN 3 ELSE 2 END, 'c': x.c + 2, 'a': x.a || 'I',
+      't': list_append(x.t, CASE WHEN x.p = 2 THEN 'assistant:' ELSE 'user:' END)}})"""
+
+
+# Row by row, the least (cost, audit) way to each state (0 nothing, 1 system, 2 user, 3 assistant) with the rows it writes.
+OP13 = rf"""
+WITH RECURSIVE {CRC_TABLE}, named AS (
+  SELECT conv_id, coalesce(conv_id::VARCHAR, ' ') AS k, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations
+), hit AS (
+  SELECT n.*, {crc32_of("name")} % 20 AS d FROM named n, crc
+), damaged AS (
+  SELECT k, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+    CASE d WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE d WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS again
+  FROM hit
+), numbered AS (
+  SELECT *, left(role, 1) AS f, row_number() OVER w AS i
+  FROM damaged WINDOW w AS (PARTITION BY k ORDER BY turn NULLS FIRST, role, left(text, 64), md5(text))
+), judged AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^ 	-
+]') THEN 'blank' WHEN seen > 1 THEN 'duplicate'
+    WHEN NOT regexp_matches(text, '[.!?][ 	-
+]*\z') THEN 'truncated' ELSE '' END AS fault,
+    lag(f) OVER (PARTITION BY k ORDER BY i) || f AS pair
+  FROM (SELECT *, row_number() OVER (PARTITION BY k, role, text ORDER BY i) AS seen FROM numbered)
+), steps AS (
+  SELECT k, 0::BIGINT AS i, [{{'p': 0, 'c': 0::BIGINT, 'a': '', 't': []::VARCHAR[]}}] AS ways FROM (SELECT DISTINCT k FROM judged)
+  UNION ALL
+  SELECT k, i, list_filter(sorted, lambda x, j: j = 1 OR sorted[j - 1].p <> x.p) FROM (
+    SELECT k, i, list_sort(list_concat(
+      list_transform(open, lambda x: {{'p': x.p, 'c': x.c + 3, 'a': x.a || 'D', 't': x.t}}),
+      list_transform(list_filter(open, lambda x: stays AND CASE f WHEN 's' THEN x.p = 0 WHEN 'u' THEN x.p <> 2 WHEN 'a' THEN x.p = 2 ELSE false END),
+        lambda x: {{'p': CASE f WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END, 'c': x.c + more, 'a': x.a || 'K', 't': list_append(x.t, role || ':' || text)}}),
+      list_transform(list_filter(open, lambda x: stays), lambda x: {{'p': CASE WHEN x.p = 2 THEN 3 ELSE 2 END, 'c': x.c + 2 + more, 'a': x.a || 'R',
+        't': list_append(x.t, CASE WHEN x.p = 2 THEN 'assistant:' ELSE 'user:' END || text)}}))) AS sorted
+    FROM (
+      SELECT r.k, r.i, r.role, r.text, r.f, r.fault NOT IN ('blank', 'duplicate') AS stays, CASE r.fault WHEN 'truncated' THEN 1 ELSE 0 END AS more,
+        list_concat(ways, {_inserted("ways")}, {_inserted(_inserted("ways"))}) AS open
+      FROM steps s JOIN judged r ON r.k = s.k AND r.i = s.i + 1))
+), ends AS (
+  SELECT k, list_sort(list_transform(list_filter(list_concat(ways, {_inserted("ways")}, {_inserted(_inserted("ways"))}), lambda x: x.p IN (0, 3)),
+    lambda x: {{'c': x.c, 'a': x.a, 't': x.t}}))[1] AS best
+  FROM steps QUALIFY i = max(i) OVER (PARTITION BY k)
+), counts AS (
+  SELECT k, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY k
+)
+SELECT DISTINCT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+  coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(best.c, 0)::BIGINT AS cost, coalesce(best.a, '') AS audit,
+  sha256(coalesce(array_to_string(best.t, chr(10)), '')) AS repaired_sha256
+FROM named LEFT JOIN counts USING (k) LEFT JOIN ends USING (k)
+"""
+
+ORACLE: dict[str, str] = {"op4_byte_shards": OP4, "op10_poisson_mix": OP10, "op11_filter_audit": OP11, "op13_conversation_repair": OP13}

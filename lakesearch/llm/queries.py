@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesearch.llm import bpe, collisions, dartminhash, langid, licenses, poisson, separators, shards, simhash, templates, toxicity, wordmatrix
+from lakesearch.llm import bpe, collisions, dartminhash, langid, licenses, poisson, repair, separators, shards, simhash, templates, toxicity, wordmatrix
 from lakesearch.llm.common import table
 from lakesearch.session import scratch_dir
 
@@ -94,6 +94,11 @@ def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired rows of every damaged conversation."""
+    return repair.repaired(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_separator_scan": op1_separator_scan,
     "op2_language_id": op2_language_id,
@@ -107,4 +112,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_poisson_mix": op10_poisson_mix,
     "op11_filter_audit": op11_filter_audit,
     "op12_license_scan": op12_license_scan,
+    "op13_conversation_repair": op13_conversation_repair,
 }
