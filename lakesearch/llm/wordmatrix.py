@@ -1,11 +1,12 @@
 """A sparse document-term matrix in shards, and the interaction audit of five filters read from it.
 
-A shard is a run of rows that one task reads, up to SHARD_CHARS of text (one row at least). A
-task codes its shard's words by a dictionary of the shard. The distinct words of all
-shards then get gapless global numbers: each hash partition numbers its own words, and
-the partitions' counts, one row each, are summed in front. One row per shard and word
-looks the number up; texts and matrix entries are never joined by word. Last, each shard's
-entries are renumbered beside its own list of numbers, which gives rows in CSR form.
+A shard is a run of rows that one task reads, up to SHARD_BYTES of text (one row at least). A
+task codes its shard's words by a dictionary of the shard. The words of all shards, one
+row per shard and word, are then dealt by word and sorted by a hash of it, and each task
+numbers its own words as they go by (words that share a hash are told apart); the tasks'
+counts, one row each, are summed in front, which makes the numbers global and gapless. Neither texts nor matrix entries are dealt by word. Last, each
+shard's entries are renumbered beside its own list of numbers. A matrix row is a list of columns and
+one of counts; the list column of a shard is, in Arrow as on disk, its row starts and its flat columns: CSR.
 
 Row sums are the words of a text, nonzero counts its distinct words.
 
@@ -17,12 +18,13 @@ Further columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,10 +32,10 @@ from lakesearch.llm.bpe import in_slices
 from lakesearch.llm.common import whole_text
 from lakesearch.session import written
 
-#: Text of one shard.
-SHARD_CHARS = 8 << 20
-#: Place of a word in its partition: the lower bits of Spark's row numbers.
-PLACE = (1 << 33) - 1
+#: Text of one shard. Larger shards repeat fewer words; a task holds about ten times this.
+SHARD_BYTES = 8 << 20
+#: Words in one row of a shard's dictionary.
+WORDS_A_ROW = 1024
 
 FILTERS = "ABCDE"
 ORDERS = ["".join(p) for p in permutations(FILTERS)]
@@ -45,110 +47,160 @@ def local_csr(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.A
     Words are split at blanks, tabs, line ends, vertical tabs and form feeds.
     """
     lists = pc.ascii_split_whitespace(texts)
-    words, rows = pc.list_flatten(lists), pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
-    coded = words.dictionary_encode()
-    codes, dictionary = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+    coded = lists.flatten().dictionary_encode()
+    words, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False)
+    cells = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False).astype(np.int64)  # a copy, changed in place
+    del lists, coded
     # Blanks at either end of a text give empty words; they are taken out of codes and dictionary.
-    empty = pc.index(dictionary, pa.scalar("", dictionary.type)).as_py()
+    empty = pc.index(words, pa.scalar("", words.type)).as_py()
     if empty >= 0:
         real = codes != empty
-        rows, codes = rows[real], codes[real]
-        codes = codes - (codes > empty)
-        dictionary = pa.concat_arrays([dictionary.slice(0, empty), dictionary.slice(empty + 1)])
-    width = max(1, len(dictionary))
-    cells, counts = np.unique(rows.astype(np.int64) * width + codes, return_counts=True)
+        cells, codes = cells[real], codes[real]
+        codes -= codes > empty
+        words = pa.concat_arrays([words.slice(0, empty), words.slice(empty + 1)])
+    width = max(1, len(words))
+    cells *= width
+    cells += codes
+    del codes
+    cells.sort()
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(cells)), bool), cells[1:] != cells[:-1]]))
+    counts = np.diff(np.append(first, len(cells))).astype(np.int32)
+    cells = cells[first]
     starts = np.searchsorted(cells, np.arange(len(texts) + 1, dtype=np.int64) * width)
-    return starts, (cells % width).astype(np.int32), counts.astype(np.int32), dictionary
+    return starts, (cells % width).astype(np.int32), counts, words
 
 
-def _list(values: np.ndarray | pa.Array) -> pa.Array:
-    flat = values if isinstance(values, pa.Array) else pa.array(values)
-    return pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat)
+def byte_sums(texts: pa.Array, wanted: np.ndarray) -> np.ndarray:
+    """How many bytes of each text are `wanted` (a table of 256 booleans)."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if offsets[-1] > offsets[0] else np.empty(0, np.uint8)
+    return np.diff(np.searchsorted(np.flatnonzero(wanted[data]), offsets - offsets[0]))
 
 
-_CSR = ["starts", "codes", "counts"]
+def local_shards(rows: DataFrame, text: str = "text", flags: dict[str, Callable[[pa.Array], np.ndarray]] | None = None) -> DataFrame:
+    """Each shard coded by its own dictionary; a written table.
 
-
-def _keys(shards: DataFrame) -> list[str]:
-    return [c for c in shards.columns if c not in ("shard", "words", *_CSR)]
-
-
-def local_shards(rows: DataFrame, text: str = "text") -> DataFrame:
-    """Each shard coded by its own dictionary; a written table with one row a shard.
-
-    Beside `shard`, the CSR columns and `words`, every column of `rows` but the text becomes a
-    list of its values, so that the matrix rows can be told apart.
+    A matrix row has `shard`, the columns of `rows` but for the text, `flags` (booleans taken of the
+    texts), `codes` and `counts`; a dictionary row has `shard`, `words` and the code of the first of them.
     """
+    flags = flags or {}
     keys = [c for c in rows.columns if c != text]
     rows = rows.select(whole_text(text).alias("text"), *keys)
-    lists = "".join(f"{c} array<{rows.schema[c].dataType.simpleString()}>, " for c in keys)
+    names = ["shard", *keys, *flags, "codes", "counts", "first_code", "words"]
+    lists = "".join(f"{c} {rows.schema[c].dataType.simpleString()}, " for c in keys) + "".join(f"{c} boolean, " for c in flags)
 
-    def shard(slices: list[pa.RecordBatch]) -> pa.RecordBatch:
+    def shard(slices: list[pa.RecordBatch], number: int) -> Iterator[pa.RecordBatch]:
         whole = pa.Table.from_batches(slices).combine_chunks()
-        starts, codes, counts, words = local_csr(whole.column(0).combine_chunks() if whole.num_rows else pa.array([], pa.string()))
-        columns = [*(whole.column(i + 1).combine_chunks() for i in range(len(keys))), starts, codes, counts, words]
-        return pa.RecordBatch.from_arrays([_list(c) for c in columns], names=[*keys, *_CSR, "words"])
+        texts, *own = (c.chunk(0) for c in whole.columns)
+        starts, codes, counts, words = local_csr(texts)
+        starts = pa.array(starts, pa.int32())
+        lists = [pa.ListArray.from_arrays(starts, pa.array(x)) for x in (codes, counts)]
+        number_of = lambda n: pa.array(np.full(n, number, np.int64))
+        n, m = len(texts), len(words)
+        matrix = [number_of(n), *own, *(pa.array(f(texts)) for f in flags.values()), *lists, pa.nulls(n, pa.int32()), pa.nulls(n, pa.list_(pa.string()))]
+        yield (first := pa.RecordBatch.from_arrays(matrix, names=names))
+        cuts = np.append(np.arange(0, m, WORDS_A_ROW, dtype=np.int32), np.int32(m))
+        k = len(cuts) - 1
+        nothing = [pa.nulls(k, t) for t in first.schema.types[1:-2]]
+        yield pa.RecordBatch.from_arrays([number_of(k), *nothing, pa.array(cuts[:-1]), pa.ListArray.from_arrays(pa.array(cuts), words)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slices, size = [], 0
+        number, slices, size = TaskContext.get().partitionId() << 33, [], 0
         for whole in batches:
             for batch in in_slices(whole, 0):
                 slices.append(batch)
                 size += batch.column(0).nbytes
-                if size >= SHARD_CHARS:
-                    yield shard(slices)
-                    slices, size = [], 0
+                if size >= SHARD_BYTES:
+                    yield from shard(slices, number)
+                    number, slices, size = number + 1, [], 0
         if slices:
-            yield shard(slices)
+            yield from shard(slices, number)
 
-    found = rows.mapInArrow(run, f"{lists}starts array<long>, codes array<int>, counts array<int>, words array<string>")
-    return written(found.withColumn("shard", F.monotonically_increasing_id()))
+    return written(rows.mapInArrow(run, f"shard long, {lists}codes array<int>, counts array<int>, first_code int, words array<string>"))
 
 
-def dictionary(shards: DataFrame) -> DataFrame:
-    """(word, id): every distinct word with a number from 0 without gaps; a written table."""
-    words = shards.select(F.explode("words").alias("word")).distinct()
-    words = written(words.withColumns({"part": F.spark_partition_id(), "place": F.monotonically_increasing_id().bitwiseAND(PLACE)}))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
-    firsts = words.groupBy("part").agg(F.count("*").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    return words.join(F.broadcast(firsts), "part").select("word", (F.col("first") + F.col("place")).alias("id"))
+def numbered_words(shards: DataFrame) -> DataFrame:
+    """(shard, code, part, place, word): every word of every shard, numbered within its part; a written table.
 
+    `word` is given on the first row of each word only, so that the table stays narrow.
+    """
+    own = shards.where("words IS NOT NULL").select("shard", "first_code", F.posexplode("words").alias("at", "word"))
+    own = own.select("shard", (F.col("first_code") + F.col("at")).alias("code"), "word", F.xxhash64("word").alias("hash"))
+    dealt = own.repartition("hash").sortWithinPartitions("hash")
 
-def csr_shards(shards: DataFrame, words: DataFrame) -> DataFrame:
-    """`local_shards` with the column numbers of `dictionary` as `columns`, ascending in each row."""
-    own = shards.select("shard", F.posexplode("words").alias("code", "word")).join(words, "word").select(F.col("shard").alias("of"), "code", "id")
-    keys = _keys(shards)
-
-    def renumber(matrix: pa.Table, numbers: pa.Table) -> pa.Table:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, n, last, known = TaskContext.get().partitionId(), 0, None, {}  # known: places of the words of the last hash
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            words, hashes = batch.column(2), batch.column(3).to_numpy()
+            starts = np.concatenate([[hashes[0] != last], hashes[1:] != hashes[:-1]])
+            changes = pc.not_equal(words.slice(1), words.slice(0, len(words) - 1)).to_numpy(zero_copy_only=False)
+            if len(known) > 1 or (changes & ~starts[1:]).any() or not starts[0] and words[0].as_py() not in known:
+                new, places = np.zeros(len(words), bool), np.empty(len(words), np.int64)
+                for i, (start, word) in enumerate(zip(starts.tolist(), words.to_pylist())):
+                    known = {} if start else known
+                    if word not in known:
+                        known[word], new[i], n = n, True, n + 1
+                    places[i] = known[word]
+            else:
+                new, places = starts, n - 1 + np.cumsum(starts)
+                n = int(places[-1]) + 1
+                known = {words[-1].as_py(): n - 1}
+            last = hashes[-1]
+            firsts = pc.if_else(pa.array(new), words, pa.scalar(None, words.type))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(np.full(len(words), part, np.int32)), pa.array(places), firsts], names=["shard", "code", "part", "place", "word"])
+
+    return written(dealt.mapInArrow(run, "shard long, code int, part int, place long, word string"))
+
+
+def _global(numbered: DataFrame) -> DataFrame:
+    """`numbered_words` with `id`: the place, behind all words of earlier parts."""
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a part
+    firsts = numbered.groupBy("part").agg((F.max("place") + 1).alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    return numbered.join(F.broadcast(firsts), "part").withColumn("id", F.col("first") + F.col("place"))
+
+
+def dictionary(numbered: DataFrame) -> DataFrame:
+    """(word, id): every distinct word with its number, from 0 without gaps."""
+    return _global(numbered).where("word IS NOT NULL").select("word", "id")
+
+
+def csr_shards(shards: DataFrame, numbered: DataFrame) -> DataFrame:
+    """The matrix rows of `local_shards` with the numbers of `dictionary` as `columns`, ascending in each row."""
+    own = _global(numbered).select(F.col("shard").alias("of"), F.col("code").alias("own_code"), "id")
+    matrix = shards.where("words IS NULL").drop("first_code", "words")
+
+    def renumber(rows: pa.Table, numbers: pa.Table) -> pa.Table:
         """One shard, and one row for each of its words: both of bounded size."""
         ids = np.empty(numbers.num_rows, np.int64)
-        ids[numbers["code"].to_numpy()] = numbers["id"].to_numpy()
-        starts, codes, counts = (matrix[c].combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in _CSR)
-        columns = ids[codes]
-        order = np.lexsort((columns, np.repeat(np.arange(len(starts) - 1), np.diff(starts))))
-        return pa.table([matrix["shard"], *(matrix[c] for c in keys), matrix["starts"], _list(columns[order]), _list(counts[order])], names=names)
+        ids[numbers["own_code"].to_numpy()] = numbers["id"].to_numpy()
+        codes, counts = (rows[c].combine_chunks() for c in ("codes", "counts"))
+        starts = codes.offsets.to_numpy() - codes.offsets[0].as_py()
+        columns, flat = ids[codes.flatten().to_numpy()], counts.flatten().to_numpy()
+        order = np.lexsort((columns, np.repeat(np.arange(len(codes)), np.diff(starts))))
+        lists = [pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(x[order])) for x in (columns, flat)]
+        return pa.table([*(rows[c] for c in names[:-2]), *lists], names=names)
 
-    names = ["shard", *keys, "starts", "columns", "counts"]
-    types = {f.name: f.dataType.simpleString() for f in shards.schema} | {"columns": "array<bigint>"}
-    rows = shards.drop("words").groupBy("shard").cogroup(own.groupBy("of"))
-    return rows.applyInArrow(renumber, ", ".join(f"{c} {types[c]}" for c in names))
+    names = [*(c for c in matrix.columns if c not in ("codes", "counts")), "columns", "counts"]
+    types = {f.name: f.dataType.simpleString() for f in matrix.schema} | {"columns": "array<bigint>"}
+    return matrix.groupBy("shard").cogroup(own.groupBy("of")).applyInArrow(renumber, ", ".join(f"{c} {types[c]}" for c in names))
 
 
 def row_totals(csr: DataFrame) -> DataFrame:
-    """The matrix rows: their keys, `n_words` (row sum) and `n_distinct` (nonzero counts)."""
-    keys = [c for c in csr.columns if c not in ("shard", "starts", "columns", "counts")]
-    types = {c: csr.schema[c].dataType.elementType for c in keys}
+    """The matrix rows with `n_words` (row sum) and `n_distinct` (nonzero count) in place of their entries."""
+    keys = [c for c in csr.columns if c not in ("columns", "counts")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                starts, counts = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in range(2))
-                sums = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
-                kept = [batch.column(c + 2)[i].values for c in range(len(keys))]
-                yield pa.RecordBatch.from_arrays([*kept, pa.array(np.diff(sums[starts])), pa.array(np.diff(starts))], names=[*keys, "n_words", "n_distinct"])
+            counts = batch.column(0)
+            starts = counts.offsets.to_numpy() - counts.offsets[0].as_py()
+            sums = np.concatenate([[0], np.cumsum(counts.flatten().to_numpy(zero_copy_only=False), dtype=np.int64)])
+            totals = [pa.array(np.diff(sums[starts])), pa.array(np.diff(starts).astype(np.int64))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *totals], names=[*keys, "n_words", "n_distinct"])
 
-    schema = "".join(f"{c} {t.simpleString()}, " for c, t in types.items()) + "n_words long, n_distinct long"
-    return csr.select("starts", "counts", *keys).mapInArrow(run, schema)
+    schema = "".join(f"{c} {csr.schema[c].dataType.simpleString()}, " for c in keys) + "n_words long, n_distinct long"
+    return csr.select("counts", *keys).mapInArrow(run, schema)
 
 
 #: A key on more than one row in this many is hot: there are fewer hot keys than this.
@@ -170,20 +222,25 @@ def with_least(rows: DataFrame, key: str, value: str, name: str) -> DataFrame:
     return marked.where("is_hot").withColumn(name, F.col("hot_least")).drop("is_hot", "hot_least").unionByName(rest)
 
 
+_CAPITALS, _MARKS = (np.isin(np.arange(256), list(b)) for b in (b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"#$%&*|"))
+
+
+def shouts(texts: pa.Array) -> np.ndarray:
+    """More than a tenth of the code points are A to Z."""
+    return 100 * byte_sums(texts, _CAPITALS) > 10 * pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def has_marks(texts: pa.Array) -> np.ndarray:
+    return byte_sums(texts, _MARKS) > 0
+
+
 def failures(docs: DataFrame) -> DataFrame:
     """One row a document: doc_id, part and `mask`, bit i set if it fails FILTERS[i]."""
     text = whole_text()
-    upper = F.length(text) - F.length(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", ""))
-    rows = docs.select(
-        "doc_id",
-        F.coalesce("lang", F.lit("")).alias("part"),
-        (100 * upper > 10 * F.length(text)).alias("c"),
-        text.rlike("[#$%&*|]").alias("d"),
-        F.unhex(F.sha2(text, 256)).alias("digest"),
-        text.alias("text"),
-    )
-    shards = local_shards(rows)
-    flags = with_least(written(row_totals(csr_shards(shards, dictionary(shards)))), "digest", "doc_id", "least_id")
+    rows = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("part"), F.unhex(F.sha2(text, 256)).alias("digest"), text.alias("text"))
+    shards = local_shards(rows, flags={"c": shouts, "d": has_marks})
+    totals = written(row_totals(csr_shards(shards, numbered_words(shards))))
+    flags = with_least(totals, "digest", "doc_id", "least_id")
     fails = [
         F.col("n_words") < 100,
         100 * F.col("n_distinct") < 80 * F.col("n_words"),

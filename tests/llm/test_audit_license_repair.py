@@ -68,9 +68,9 @@ def brute_audit():
     return sorted((*r, removed_by[r[0], r[1][r[2] - 1]]) for r in rows)
 
 
-@pytest.mark.parametrize("shard_chars", [1, 8 << 20])
-def test_filter_audit(spark, monkeypatch, shard_chars):
-    monkeypatch.setattr(wordmatrix, "SHARD_CHARS", shard_chars)
+@pytest.mark.parametrize("shard_bytes", [1, 8 << 20])
+def test_filter_audit(spark, monkeypatch, shard_bytes):
+    monkeypatch.setattr(wordmatrix, "SHARD_BYTES", shard_bytes)
     docs = spark.createDataFrame([(*t, *ODD) for t in TEXTS], DOCS)
     labels = spark.createDataFrame(LABELS, "doc_id long, quality int, toxic int")
     rows = wordmatrix.audit(wordmatrix.histogram(wordmatrix.failures(docs), labels)).collect()
@@ -84,18 +84,25 @@ def test_filter_audit(spark, monkeypatch, shard_chars):
 def test_matrix_holds_every_word(spark):
     docs = spark.createDataFrame([(*t, *ODD) for t in TEXTS], DOCS).repartition(4).select("doc_id", "lang", "text")
     shards = wordmatrix.local_shards(docs)
-    ids = {r.word: r.id for r in wordmatrix.dictionary(shards).collect()}
+    numbered = wordmatrix.numbered_words(shards)
+    ids = {r.word: r.id for r in wordmatrix.dictionary(numbered).collect()}
     assert sorted(ids.values()) == list(range(len(ids)))
     found = []
-    for r in wordmatrix.csr_shards(shards, wordmatrix.dictionary(shards)).collect():
-        for k in range(len(r.doc_id)):
-            cells = slice(r.starts[k], r.starts[k + 1])
-            assert r.columns[cells] == sorted(r.columns[cells])
-            found.append((str(r.doc_id[k]), sorted(zip(r.columns[cells], r.counts[cells]))))
+    for r in wordmatrix.csr_shards(shards, numbered).collect():
+        assert r.columns == sorted(r.columns)
+        found.append((str(r.doc_id), list(zip(r.columns, r.counts))))
     wanted = [(str(i), sorted((ids[w], n) for w, n in Counter(re.findall("[^\x20\x09-\x0d]+", t or "")).items())) for i, t, _ in TEXTS]
     assert sorted(found) == sorted(wanted)
 
 
+def test_words_that_share_a_hash_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(wordmatrix.F, "xxhash64", lambda c: F.length(c).cast("long"))
+    docs = spark.createDataFrame([(i, f"aa bb {i:04d} cc aa {i % 7} long{i}") for i in range(3000)], "doc_id long, text string").repartition(5)
+    numbered = wordmatrix.numbered_words(wordmatrix.local_shards(docs))
+    ids = {r.word: r.id for r in wordmatrix.dictionary(numbered).collect()}
+    assert len(ids) == 3 + 3000 + 7 + 3000 and sorted(ids.values()) == list(range(len(ids)))
+
+
 def test_least_of_hot_and_rare_keys(spark):
     rows = spark.range(5000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 1700).alias("k"), (F.lit(9000) - F.col("id")).alias("v"))
     found = wordmatrix.with_least(rows, "k", "v", "least")
