@@ -36,6 +36,8 @@ from lakesearch.session import written
 SHARD_BYTES = 8 << 20
 #: Words in one row of a shard's dictionary.
 WORDS_A_ROW = 1024
+#: Bits of a word's number within its task.
+PART_BITS = 40
 
 FILTERS = "ABCDE"
 ORDERS = ["".join(p) for p in permutations(FILTERS)]
@@ -119,17 +121,17 @@ def local_shards(rows: DataFrame, text: str = "text", flags: dict[str, Callable[
     return written(rows.mapInArrow(run, f"shard long, {lists}codes array<int>, counts array<int>, first_code int, words array<string>"))
 
 
-def numbered_words(shards: DataFrame) -> DataFrame:
-    """(shard, code, part, place, word): every word of every shard, numbered within its part; a written table.
+def numbered_words(shards: DataFrame, with_words: bool = True) -> DataFrame:
+    """(shard, code, place[, word]): every word of every shard with its number within its task; a written table.
 
-    `word` is given on the first row of each word only, so that the table stays narrow.
+    The upper bits of `place` are the task's number. `word` is given on the first row of each word only.
     """
     own = shards.where("words IS NOT NULL").select("shard", "first_code", F.posexplode("words").alias("at", "word"))
     own = own.select("shard", (F.col("first_code") + F.col("at")).alias("code"), "word", F.xxhash64("word").alias("hash"))
     dealt = own.repartition("hash").sortWithinPartitions("hash")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, n, last, known = TaskContext.get().partitionId(), 0, None, {}  # known: places of the words of the last hash
+        n, last, known = TaskContext.get().partitionId() << PART_BITS, None, {}  # known: places of the words of the last hash
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -148,17 +150,20 @@ def numbered_words(shards: DataFrame) -> DataFrame:
                 n = int(places[-1]) + 1
                 known = {words[-1].as_py(): n - 1}
             last = hashes[-1]
-            firsts = pc.if_else(pa.array(new), words, pa.scalar(None, words.type))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(np.full(len(words), part, np.int32)), pa.array(places), firsts], names=["shard", "code", "part", "place", "word"])
+            columns = [*batch.columns[:2], pa.array(places)]
+            if with_words:
+                columns.append(pc.if_else(pa.array(new), words, pa.scalar(None, words.type)))
+            yield pa.RecordBatch.from_arrays(columns, names=["shard", "code", "place", "word"][: len(columns)])
 
-    return written(dealt.mapInArrow(run, "shard long, code int, part int, place long, word string"))
+    return written(dealt.mapInArrow(run, "shard long, code int, place long" + ", word string" * with_words))
 
 
 def _global(numbered: DataFrame) -> DataFrame:
-    """`numbered_words` with `id`: the place, behind all words of earlier parts."""
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a part
-    firsts = numbered.groupBy("part").agg((F.max("place") + 1).alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    return numbered.join(F.broadcast(firsts), "part").withColumn("id", F.col("first") + F.col("place"))
+    """`numbered_words` with `id`: the place in its task, behind all words of earlier tasks."""
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a task
+    rows = numbered.withColumns({"part": F.shiftright("place", PART_BITS), "place": F.col("place").bitwiseAND((1 << PART_BITS) - 1)})
+    firsts = rows.groupBy("part").agg((F.max("place") + 1).alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    return rows.join(F.broadcast(firsts), "part").withColumn("id", F.col("first") + F.col("place"))
 
 
 def dictionary(numbered: DataFrame) -> DataFrame:
@@ -189,18 +194,8 @@ def csr_shards(shards: DataFrame, numbered: DataFrame) -> DataFrame:
 
 def row_totals(csr: DataFrame) -> DataFrame:
     """The matrix rows with `n_words` (row sum) and `n_distinct` (nonzero count) in place of their entries."""
-    keys = [c for c in csr.columns if c not in ("columns", "counts")]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            counts = batch.column(0)
-            starts = counts.offsets.to_numpy() - counts.offsets[0].as_py()
-            sums = np.concatenate([[0], np.cumsum(counts.flatten().to_numpy(zero_copy_only=False), dtype=np.int64)])
-            totals = [pa.array(np.diff(sums[starts])), pa.array(np.diff(starts).astype(np.int64))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *totals], names=[*keys, "n_words", "n_distinct"])
-
-    schema = "".join(f"{c} {csr.schema[c].dataType.simpleString()}, " for c in keys) + "n_words long, n_distinct long"
-    return csr.select("counts", *keys).mapInArrow(run, schema)
+    total = F.aggregate("counts", F.lit(0).cast("long"), lambda a, n: a + n)
+    return csr.withColumns({"n_words": total, "n_distinct": F.size("columns").cast("long")}).drop("columns", "counts")
 
 
 #: A key on more than one row in this many is hot: there are fewer hot keys than this.
@@ -239,7 +234,7 @@ def failures(docs: DataFrame) -> DataFrame:
     text = whole_text()
     rows = docs.select("doc_id", F.coalesce("lang", F.lit("")).alias("part"), F.unhex(F.sha2(text, 256)).alias("digest"), text.alias("text"))
     shards = local_shards(rows, flags={"c": shouts, "d": has_marks})
-    totals = written(row_totals(csr_shards(shards, numbered_words(shards))))
+    totals = written(row_totals(csr_shards(shards, numbered_words(shards, with_words=False))))
     flags = with_least(totals, "digest", "doc_id", "least_id")
     fails = [
         F.col("n_words") < 100,
