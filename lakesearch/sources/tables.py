@@ -19,28 +19,51 @@ from lakesearch.sources.files import Files
 _PREFIX, _SUFFIX = "_v-", ".json"
 
 
+class Versions:
+    """One small JSON file for each version below a folder; the highest number counts."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.root, self.files = root.rstrip("/"), Files(spark, root)
+
+    def pointer(self, version: int) -> str:
+        return f"{self.root}/{_PREFIX}{version:08d}{_SUFFIX}"
+
+    def latest(self) -> int:
+        names = [n for n in self.files.list(self.root) if n.startswith(_PREFIX) and n.endswith(_SUFFIX)]
+        return max((int(n[len(_PREFIX) : -len(_SUFFIX)]) for n in names), default=0)
+
+    def read(self, default):
+        version = self.latest()
+        return json.loads(self.files.read_text(self.pointer(version))) if version else default
+
+    def write(self, state) -> int:
+        version = self.latest() + 1
+        self.files.write_new(self.pointer(version), json.dumps(state))
+        return version
+
+    def expire(self) -> None:
+        for n in range(1, self.latest()):
+            self.files.delete(self.pointer(n))
+
+
 class Table:
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
         self.files = Files(spark, self.root)
-
-    def _pointer(self, version: int) -> str:
-        return f"{self.root}/{_PREFIX}{version:08d}{_SUFFIX}"
+        self.versions = Versions(spark, self.root)
 
     def version(self) -> int:
-        names = [n for n in self.files.list(self.root) if n.startswith(_PREFIX) and n.endswith(_SUFFIX)]
-        return max((int(n[len(_PREFIX) : -len(_SUFFIX)]) for n in names), default=0)
+        return self.versions.latest()
 
     def parts(self) -> list[str]:
-        version = self.version()
-        return json.loads(self.files.read_text(self._pointer(version))) if version else []
+        return self.versions.read([])
 
     def exists(self) -> bool:
         return self.version() > 0
 
     def modified_ms(self) -> int | None:
         version = self.version()
-        return self.files.modified_ms(self._pointer(version)) if version else None
+        return self.files.modified_ms(self.versions.pointer(version)) if version else None
 
     def read(self) -> DataFrame:
         """The rows in force; an empty DataFrame of the same schema if there are none."""
@@ -50,7 +73,7 @@ class Table:
         return self.spark.read.schema(self.schema).parquet(*parts)
 
     def _commit(self, parts: list[str]) -> None:
-        self.files.write_new(self._pointer(self.version() + 1), json.dumps(parts))
+        self.versions.write(parts)
 
     def _write_part(self, df: DataFrame, partition_by: tuple[str, ...]) -> str:
         part = f"part-{uuid.uuid4().hex}"
@@ -72,10 +95,9 @@ class Table:
 
     def expire(self) -> int:
         """Delete parts no longer in force. Only for times without readers."""
-        live, version = set(self.parts()), self.version()
+        live = set(self.parts())
         old = [n for n in self.files.list(self.root) if n.startswith("part-") and n not in live]
         for name in old:
             self.files.delete(f"{self.root}/{name}")
-        for n in range(1, version):
-            self.files.delete(self._pointer(n))
+        self.versions.expire()
         return len(old)
