@@ -7,21 +7,18 @@ travel. `doc` is a unique BIGINT that rises in corpus order, so it also breaks t
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lakesearch.functions.once import once
 from lakesearch.functions.runs import with_run_lengths
 from lakesearch.functions.text import tokenize
 from lakesearch.operators.batches import Batch, lookup_join, per_batch
-from lakesearch.sources.tables import Table
 
 # ---- fixed values: BM25 parameters and the pool size ----
 K1, B, EPSILON = 1.5, 0.75, 0.25
@@ -41,7 +38,10 @@ class Bm25Index:
     n_docs: Column  # scalars
     avgdl: Column
     floor: Column
-    by_doc: bool = True  # a document's postings follow one another; false: they share a bucket
+    by_doc: bool = True  # a document's postings follow one another
+
+    def topk(self, batch: Batch, k: int, pad_zero: bool = True) -> DataFrame:
+        return batch_topk(batch, self, k, pad_zero)
 
 
 def corpus(df: DataFrame, doc: str = "doc_order", text: str = "text") -> DataFrame:
@@ -85,7 +85,7 @@ def raw_idf(n_docs: Column, df: Column) -> Column:
 
 
 def build_index(docs: DataFrame) -> Bm25Index:
-    """Index over `corpus(...)` rows, computed when used. See `IndexStore` to keep one."""
+    """Index over `corpus(...)` rows, computed when used. `postings.SegmentIndex` keeps one."""
     counts = _counts(docs)
     total = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("n")))
     n_docs = counts.agg(total(DOCS)).scalar()
@@ -233,66 +233,3 @@ def batch_topk(batch: Batch, index: Bm25Index, k: int, pad_zero: bool) -> DataFr
     if pad_zero:
         scored = scored.unionByName(_unmatched(batch.queries, index, k))
     return _best(scored, k)
-
-
-class IndexStore:
-    """A written index: terms, and postings bucketed by document.
-
-    Bucketing tells Spark that a document's postings are in one task, so scoring
-    needs no shuffle; within a bucket rows are sorted by term.
-    """
-
-    META = T.StructType(
-        [
-            T.StructField("silver_version", T.LongType()),
-            T.StructField("n_docs", T.LongType()),
-            T.StructField("avgdl", T.DoubleType()),
-            T.StructField("floor", T.DoubleType()),
-            T.StructField("buckets", T.LongType()),
-            T.StructField("folder", T.StringType()),
-        ]
-    )
-
-    def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
-        self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
-        self.meta = Table(spark, f"{self.root}/meta", self.META)
-
-    def _declare(self, folder: str, buckets: int) -> str:
-        name = "lakesearch_postings_" + folder.rsplit("/", 1)[-1].replace("-", "_")
-        self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {name} (doc BIGINT, dl BIGINT, term STRING, tf BIGINT) "
-            f"USING parquet CLUSTERED BY (doc) SORTED BY (term) INTO {buckets} BUCKETS "
-            f"LOCATION '{folder}/postings'"
-        )
-        return name
-
-    def build(self, docs: DataFrame, silver_version: int) -> None:
-        folder = f"{self.root}/index-{uuid.uuid4().hex}"
-        index = build_index(docs)
-        index.idf.repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{folder}/terms")
-        name = self._declare(folder, self.buckets)
-        postings = index.postings.repartition(self.buckets, "doc")
-        postings.write.mode("append").bucketBy(self.buckets, "doc").sortBy("term").format("parquet").saveAsTable(name)
-        meta = self.spark.range(1).select(
-            F.lit(silver_version).cast("bigint").alias("silver_version"),
-            index.n_docs.cast("bigint").alias("n_docs"),
-            index.avgdl.cast("double").alias("avgdl"),
-            index.floor.cast("double").alias("floor"),
-            F.lit(self.buckets).cast("bigint").alias("buckets"),
-            F.lit(folder).alias("folder"),
-        )
-        self.meta.replace(meta)
-
-    def is_current(self, silver_version: int) -> bool:
-        meta = self.meta.read().first()
-        return meta is not None and meta["silver_version"] == silver_version
-
-    def open(self, docs: DataFrame, silver_version: int) -> Bm25Index:
-        """The written index, built anew first if Silver has changed since."""
-        if not self.is_current(silver_version):
-            self.build(docs, silver_version)
-        meta = self.meta.read().first()
-        name = self._declare(meta["folder"], meta["buckets"])
-        idf = self.spark.read.schema("term STRING, df BIGINT, idf DOUBLE").parquet(f"{meta['folder']}/terms")
-        postings = self.spark.table(name)
-        return Bm25Index(docs, postings, idf, F.lit(meta["n_docs"]), F.lit(meta["avgdl"]), F.lit(meta["floor"]), by_doc=False)

@@ -13,7 +13,7 @@ from lakesearch.functions.text import (
     item_link,
     split_title,
 )
-from lakesearch.operators import bm25, dense
+from lakesearch.operators import bm25, dense, postings
 from lakesearch.operators.batches import Batch, per_batch
 from lakesearch.operators.silver import doc_part
 
@@ -125,14 +125,14 @@ def candidate_lists(
     batch: Batch,
     embedded: DataFrame,
     vectors: DataFrame,
-    index: bm25.Bm25Index,
+    index: bm25.Bm25Index | postings.Reader,
     payloads: DataFrame,
     candidates: int,
     pad_zero: bool,
     vector_payloads: DataFrame | None = None,
 ) -> DataFrame:
     """Both ranked lists of one batch with text and payload, told apart by `side`."""
-    found = bm25.batch_topk(batch, index, candidates, pad_zero).withColumn("side", F.lit(KEYWORD))
+    found = index.topk(batch, candidates, pad_zero).withColumn("side", F.lit(KEYWORD))
     ref = None if vector_payloads is None else "ref"
     near = dense.batch_topk(embedded, vectors, candidates, "doc", "vector", ref).withColumn("side", F.lit(DENSE))
     if vector_payloads is None:
@@ -145,7 +145,7 @@ def candidate_lists(
 def fused_pool(
     queries: DataFrame,
     vectors: DataFrame,
-    index: bm25.Bm25Index,
+    index: bm25.Bm25Index | postings.Reader,
     payloads: DataFrame,
     embedder: Embedder | None = None,
     candidates: int = dense.CANDIDATES,
@@ -174,7 +174,7 @@ def fused_pool(
 def hybrid_search(
     queries: DataFrame,
     vectors: DataFrame,
-    index: bm25.Bm25Index,
+    index: bm25.Bm25Index | postings.Reader,
     payloads: DataFrame,
     embedder: Embedder | None = None,
     top_k: int = TOP_K,

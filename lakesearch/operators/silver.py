@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakesearch.functions.once import once
 from lakesearch.functions.text import MIN_SNIPPET_LENGTH, clean_html, domain_of, snippet_from
 from lakesearch.schemas import SILVER, SILVER_COLUMNS
+from lakesearch.session import written
 
 # Order of arrival; the id settles equal times.
 ARRIVAL = ("_ingested_at", "id")
@@ -72,21 +73,53 @@ def merge_by_id(existing: DataFrame, new: DataFrame, order_col: str = "_ingested
     return ranked.where("__rn = 1").drop("__rn", "__side")
 
 
-def with_doc_order(silver: DataFrame) -> DataFrame:
-    """Add `doc_order`, a unique BIGINT that rises with arrival, and its `doc_part`.
+#: Silver's hash buckets: the lower bits of a document's number.
+BUCKET_BITS = 8
+BUCKETS = 1 << BUCKET_BITS
 
-    Range partitioning puts arrivals in partition order, so the partition number in
-    the upper bits and the row number in the lower bits rise together: a total order
-    without a single-task sort. The numbers are only stable once written, which is
-    what the Silver table does.
+
+def bucket_of(text: Column | str) -> Column:
+    return F.pmod(F.xxhash64(text), F.lit(BUCKETS))
+
+
+def with_doc_order(silver: DataFrame, first: int = 0) -> DataFrame:
+    """Add `doc_order`, a unique BIGINT that rises with arrival, and its bucket `doc_part`.
+
+    The upper bits count the rows by arrival from `first`, without gaps: range partitioning puts
+    arrivals in partition order, and the partitions' counts, one row each, are summed in front. The
+    lower bits are the bucket of the text, so that a document's number names the bucket it lies in.
+    The rows are a written table, since the numbers are only stable once written.
     """
     # Range bounds are sampled to the driver, so a hash stands in for the text itself.
     order = [*[F.col(c).asc_nulls_first() for c in ARRIVAL], F.xxhash64("text").asc()]
     ordered = silver.repartitionByRange(*order).sortWithinPartitions(*order)
-    ordered = ordered.withColumn("doc_order", F.monotonically_increasing_id())
-    return ordered.withColumn("doc_part", doc_part("doc_order"))
+    ordered = written(ordered.withColumns({"__part": F.spark_partition_id(), "__row": F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)}))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ordered.groupBy("__part").agg(F.count(F.lit(1)).alias("__n")).select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    seq = F.lit(first) + F.col("__start") + F.col("__row")
+    numbered = ordered.join(F.broadcast(starts), "__part").withColumn("doc_part", bucket_of("text"))
+    numbered = numbered.withColumn("doc_order", F.shiftleft(seq.cast("bigint"), BUCKET_BITS).bitwiseOR(F.col("doc_part")))
+    return numbered.drop("__part", "__row", "__start")
 
 
 def doc_part(doc: str) -> Column:
-    """Partition number inside a `doc_order` (its upper bits)."""
-    return F.shiftright(F.col(doc), 33)
+    """Bucket of a `doc_order` (its lower bits)."""
+    return F.col(doc).bitwiseAND(F.lit(BUCKETS - 1).cast("bigint"))
+
+
+def arrival() -> Column:
+    """Place in the order of arrival, as a value that can be compared; what is missing comes first."""
+    return F.struct(*[F.coalesce(F.col(c), F.lit(low)).alias(c) for c, low in zip(ARRIVAL, ("", -(1 << 63)))])
+
+
+def text_changes(current: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows that come, numbered rows that go) when `new`, one row a text, meets numbered `current` rows.
+
+    A text that is there already is taken over by a later arrival only.
+    """
+    known = current.select(F.col("text").alias("__text"), F.col("doc_order").alias("__doc"), arrival().alias("__known"))
+    met = new.withColumn("__new", arrival()).join(known, (F.xxhash64("text") == F.xxhash64("__text")) & (F.col("text") == F.col("__text")), "left")
+    came = met.where(F.col("__doc").isNull() | (F.col("__new") > F.col("__known")))
+    came = written(came.select(*new.columns, "__doc"))
+    gone = current.join(came.select(F.col("__doc").alias("doc_order")).na.drop(), "doc_order", "left_semi")
+    return came.drop("__doc"), gone

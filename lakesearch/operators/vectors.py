@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakesearch.functions.embed import Embedder, hashed_embedder
 from lakesearch.functions.hashing import content_hash, point_id
 from lakesearch.schemas import LEDGER, PAYLOAD, VECTORS
-from lakesearch.sources.tables import Table
+from lakesearch.session import written
+from lakesearch.sources.tables import MergedTable, Table
 
 # Fixed value: what the ledger's hash was taken of.
 OF_SNIPPET, OF_TITLE = "text", "title"
@@ -104,13 +106,28 @@ def check_dim(vectors: DataFrame, dim: int) -> DataFrame:
     return vectors.withColumn("vector", F.when(ok, F.col("vector")).otherwise(F.raise_error(message)))
 
 
+#: Version of Silver that the vectors were last brought up to.
+SYNCED = T.StructType([T.StructField("silver_version", T.LongType())])
+
+
 class VectorStore:
     """The vector table and its ledger below one root."""
 
     def __init__(self, spark: SparkSession, root: str, dim: int = 384):
         self.spark, self.dim = spark, dim
-        self.vectors = Table(spark, f"{root}/vectors", VECTORS)
+        self.vectors = MergedTable(spark, f"{root}/vectors", VECTORS, "point_id")
         self.ledger = Table(spark, f"{root}/ledger", LEDGER)
+        self.synced = Table(spark, f"{root}/synced", SYNCED)
+
+    def points(self) -> DataFrame:
+        return self.vectors.read()
+
+    def synced_version(self) -> int:
+        row = self.synced.read().first()
+        return row[0] if row else 0
+
+    def note_synced(self, silver_version: int) -> None:
+        self.synced.replace(self.spark.range(1).select(F.lit(silver_version).cast("bigint").alias("silver_version")))
 
     def ensure(self) -> None:
         """Create the empty collection if there is none."""
@@ -121,27 +138,19 @@ class VectorStore:
         """Forget vectors and ledger, so that everything is embedded anew."""
         self.vectors.clear()
         self.ledger.clear()
+        self.synced.clear()
 
     def upsert(self, points: DataFrame) -> None:
         """Merge points into the table.
 
-        Ids are made from content and filtered by the ledger, so they are nearly
-        always new: then one part is added and nothing is rewritten. Only when some
-        id is there already (a run repeated after a crash, an item changed) is the
-        table merged as a whole; the test reads nothing but the id column.
+        One part is added. Ids that are there already (a run repeated after a crash, an item
+        changed) are noted as replaced and looked over when the table is read, so no vector is
+        rewritten for them; to find them nothing but the id column is read.
         """
-        points = last_per_point(check_dim(points, self.dim))
-        existing = self.vectors.read()
-        staged = Table(self.spark, f"{self.vectors.root}/staged", VECTORS)
-        staged.replace(points)  # embed once, whichever way is taken below
-        points = staged.read()
-        clash = existing.select("point_id").join(points.select("point_id"), "point_id", "left_semi")
-        if clash.isEmpty():
-            self.vectors.append(points)
-        else:
-            self.vectors.replace(upsert(existing, points, new_is_unique=True))
-        staged.clear()
-        staged.expire()
+        points = written(last_per_point(check_dim(points, self.dim)))  # embed once
+        clash = written(self.points().select("point_id").join(points.select("point_id"), "point_id", "left_semi"))
+        self.vectors.merge(points, None if clash.isEmpty() else clash)
+        self.vectors.compact()
 
     def sync(
         self,
@@ -163,16 +172,13 @@ class VectorStore:
             new_rows = new_rows.withColumn("__rn", F.row_number().over(first)).where("__rn = 1").drop("__rn")
         else:
             new_rows = latest_per_hash(new_rows)
-        staged = Table(self.spark, f"{self.vectors.root}/new_rows", new_rows.schema)
-        staged.replace(new_rows)  # found once; what follows starts from here
-        new_rows = staged.read()
+        new_rows = written(new_rows)  # found once; what follows starts from here
         hashes = new_rows.select("content_hash").distinct().withColumn("hash_of", F.lit(hash_of))
         added = hashes.count()
         if added:
             self.upsert(vector_points(new_rows, embedder or hashed_embedder(self.dim), embed_col, id_mode))
             self.ledger.append(hashes)
-        staged.clear()
-        staged.expire()
+            self.ledger.compact()
         return added
 
     def prune(self, silver: DataFrame) -> None:

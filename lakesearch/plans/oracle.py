@@ -350,3 +350,13 @@ SELECT count(*) FILTER (WHERE ok) AS valid, count(*) FILTER (WHERE NOT ok) AS dl
   (SELECT count(DISTINCT title) FROM judged WHERE ok) AS new_points
 FROM judged""",
 }
+
+# The stored path gives the rows of the plans without one.
+ORACLE |= {
+    "lake_silver": ORACLE["silver_build"],
+    "lake_vectors": ORACLE["vector_points"],
+    "lake_index_topk": ORACLE["bm25_topk"],
+    "lake_search": ORACLE["hybrid_search"],
+    "bronze_compacted": """SELECT strftime(t, '%Y-%m-%d') AS date, strftime(t, '%H') AS hour, count(*) AS rows, 1::BIGINT AS files
+FROM (SELECT make_timestamp((1704067200 + doc_id) * 1000000) AS t FROM documents) GROUP BY ALL""",
+}

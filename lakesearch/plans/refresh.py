@@ -4,23 +4,28 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakesearch.functions.embed import EMBEDDING_DIM, Embedder, hashed_embedder
 from lakesearch.functions.text import iso_utc, partition_date, partition_hour
 from lakesearch.operators import bm25, fusion
-from lakesearch.operators.silver import build_silver, merge_by_id, with_doc_order
+from lakesearch.operators.postings import SegmentIndex
+from lakesearch.operators.silver import BUCKETS, bucket_of, build_silver, dedup_text, long_enough, text_changes, with_doc_order, with_snippets
 from lakesearch.operators.validate import validate_light
 from lakesearch.operators.vectors import VectorStore, payload_of
 from lakesearch.schemas import SILVER, SILVER_COLUMNS
-from lakesearch.sources.bronze import append_bronze, bronze_state, read_bronze
+from lakesearch.session import written
+from lakesearch.sources.bronze import append_bronze, bronze_files, read_bronze, read_files
+from lakesearch.sources.buckets import BucketTable
 from lakesearch.sources.tables import Table
 
 
-#: What Silver was last built from.
-SOURCE = T.StructType([T.StructField("state", T.StringType()), T.StructField("silver_version", T.LongType())])
+#: Bronze files that are in Silver.
+SOURCE = T.StructType([T.StructField("path", T.StringType()), T.StructField("changed", T.TimestampType())])
+#: Documents that came (sign 1) and went (-1) with each version of Silver.
+CHANGES = T.StructType([T.StructField("silver_version", T.LongType()), T.StructField("sign", T.IntegerType()), *SILVER])
 
 
 class IngestCounts(NamedTuple):
@@ -35,31 +40,70 @@ class Lake:
         self.spark, self.root = spark, root.rstrip("/")
         self.embedder = embedder
         self.bronze_root = f"{self.root}/bronze"
-        self.silver = Table(spark, f"{self.root}/silver", SILVER)
+        self.silver = BucketTable(spark, f"{self.root}/silver", SILVER, "doc_part", BUCKETS)
         self.source = Table(spark, f"{self.root}/silver_source", SOURCE)
+        self.changes = Table(spark, f"{self.root}/silver_changes", CHANGES)
         self.store = VectorStore(spark, f"{self.root}/vector", dim)
-        self.index = bm25.IndexStore(spark, f"{self.root}/keyword")
+        self.index = SegmentIndex(spark, f"{self.root}/keyword")
 
-    def write_silver(self, silver: DataFrame) -> None:
-        self.silver.replace(with_doc_order(silver.select(*SILVER_COLUMNS)), ("doc_part",))
+    def write_silver(self, silver: DataFrame, built: bool = False) -> None:
+        """All of Silver anew; `built`: from Bronze alone. Whoever follows the changes starts anew as well."""
+        numbered = with_doc_order(silver.select(*SILVER_COLUMNS))
+        self.changes.clear()
+        self.silver.replace(numbered, whole=self.silver.version() + 1, built=built, next=numbered.count())
+
+    def _change_silver(self, came: DataFrame, gone: DataFrame, **noted) -> bool:
+        """Let rows come and numbered rows go. Only the buckets of their texts are written anew.
+
+        The change is noted first, under the version it makes: if that version never comes about, the
+        note is overwritten by the next change of the same number.
+        """
+        version, first = self.silver.version() + 1, self.silver.state().get("next", 0)
+        came = with_doc_order(came.select(*SILVER_COLUMNS), first).select(*SILVER.fieldNames())
+        touched = [r["doc_part"] for r in came.select("doc_part").union(gone.select("doc_part")).distinct().collect()]
+        if not touched:
+            return False
+        gone = gone.select(*SILVER.fieldNames())
+        sign = lambda df, n: df.select(F.lit(version).cast("bigint").alias("silver_version"), F.lit(n).alias("sign"), *SILVER.fieldNames())
+        noted_before = self.changes.read().where(F.col("silver_version") < version)
+        both = sign(came, 1).unionByName(sign(gone, -1))
+        if self.changes.read().where(F.col("silver_version") >= version).isEmpty():
+            self.changes.append(both)
+        else:
+            self.changes.replace(noted_before.unionByName(both))
+        stays = self.silver.read(touched).join(gone.select("doc_order"), "doc_order", "left_anti")
+        self.silver.write(stays.select(*SILVER.fieldNames()).unionByName(came), touched, next=first + came.count(), **noted)
+        return True
 
     def build_silver(self) -> bool:
-        """Rebuild Silver from all of Bronze; left alone if Bronze is empty or as it was.
+        """Bring Silver up to Bronze; returns whether anything changed.
 
-        What Bronze is made of is noted after Silver is written: a crash in between only
-        repeats the build. Silver written by anybody else since is built anew as well.
+        Files that are known are not read again. Rows of new files meet the rows of the buckets they
+        fall into, and only buckets in which a text came or was taken over are written. The list of
+        files is noted last: a crash in between repeats a step that then changes nothing. Silver
+        that somebody else has written since is built anew from all of Bronze.
         """
         bronze = read_bronze(self.spark, self.bronze_root)
         if bronze.isEmpty():
             return False
-        state = bronze_state(bronze)
-        known = self.source.read().first()
-        if known is not None and tuple(known) == (state, self.silver.version()):
+        files = bronze_files(bronze)
+        if not self.silver.state().get("built"):
+            files = written(files)
+            self.write_silver(build_silver(bronze), built=True)
+            self.source.replace(files)
+            return True
+        new = written(files.join(self.source.read().select("path", "changed"), ["path", "changed"], "left_anti"))
+        # The files of one change: their names are what the reader is given.
+        paths = [r["path"] for r in new.select("path").collect()]
+        if not paths:
             return False
-        self.write_silver(build_silver(bronze))
-        now = self.spark.range(1).select(F.lit(state).alias("state"), F.lit(self.silver.version()).cast("bigint").alias("silver_version"))
-        self.source.replace(now)
-        return True
+        rows = written(long_enough(dedup_text(with_snippets(read_files(self.spark, self.bronze_root, paths)))).select(*SILVER_COLUMNS))
+        met = [r["b"] for r in rows.select(bucket_of("text").alias("b")).distinct().collect()]
+        came, gone = text_changes(self.silver.read(met), rows)
+        changed = self._change_silver(came, gone)
+        self.source.append(new)
+        self.source.compact()
+        return changed
 
     def refresh(self) -> int:
         """Silver, then sync, then the keyword index. Safe to run again; returns new vectors.
@@ -67,12 +111,44 @@ class Lake:
         An idle run (Bronze unchanged) writes no version of Silver and leaves the index.
         """
         self.build_silver()
-        silver = self.silver.read()
-        added = self.store.sync(silver, self.embedder)
-        if self.silver.exists():
-            self.index.open(bm25.corpus(silver), self.silver.version())
+        if not self.silver.exists():
+            return 0
+        added = self._follow_with_vectors()
+        self._follow_with_index()
+        if self.changes.parts() and self.store.synced_version() == self.index.silver_version() == self.silver.version():
+            self.changes.clear()  # everybody has seen them
+        return added
+
+    def _since(self, version: int) -> DataFrame | None:
+        """Changes after a version of Silver; None if they are not all noted."""
+        whole = self.silver.state().get("whole", 0)
+        return self.changes.read().where(F.col("silver_version") > version) if version >= whole else None
+
+    def _follow_with_vectors(self) -> int:
+        """Embed what came to Silver since the last time; returns new vectors."""
+        now, known = self.silver.version(), self.store.synced_version()
+        if now == known:
+            return 0
+        since = self._since(known)
+        came = self.silver.read() if since is None else since.where("sign = 1").select(*SILVER.fieldNames())
+        added = self.store.sync(came, self.embedder)
+        self.store.note_synced(now)
         return added
 
+    def _follow_with_index(self) -> None:
+        """Bring the keyword index up to Silver: a segment for what changed."""
+        now, known = self.silver.version(), self.index.silver_version()
+        if now == known:
+            return
+        since = self._since(known)
+        if since is None:
+            self.index.build(bm25.corpus(self.silver.read()), now)
+            return
+        # A document that came and went in between is in neither list.
+        net = written(since.groupBy("doc_order", "text").agg(F.sum("sign").alias("sign")))
+        of = lambda n: bm25.corpus(net.where(F.col("sign") == n))
+        self.index.apply(of(1), of(-1), now)
+
     def ingest_batch(self, items: DataFrame, batch: str, now: Column | int | None = None) -> IngestCounts:
         """On-demand run: light validation, Bronze, Silver merged by id, vectors by item.
 
@@ -92,19 +168,25 @@ class Lake:
             # From here on read what was written, so that the arrival time stays one value.
             landed = read_bronze(self.spark, self.bronze_root).where(F.col("batch") == batch)
             landed = landed.select(*SILVER_COLUMNS)
-            self.write_silver(merge_by_id(self.silver.read().select(*SILVER_COLUMNS), landed))
+            # An id that is there stays as it is; of new ones the first row counts.
+            first = Window.partitionBy("id").orderBy("_ingested_at")
+            new = landed.withColumn("__rn", F.row_number().over(first)).where("__rn = 1").drop("__rn")
+            known = self.silver.read().select("id")
+            came = written(new.join(known, "id", "left_anti"))
+            self._change_silver(came, self.silver.read([]), built=False)
             self.store.sync(landed, self.embedder, embed_col="title", id_mode="item")
         return IngestCounts(counts["valid"], counts["dlq"])
 
     def search(self, queries: DataFrame, **options) -> DataFrame:
         """Hybrid search with verdicts; the keyword index follows Silver by itself."""
-        silver, points = self.silver.read(), self.store.vectors.read()
-        docs = bm25.corpus(silver)
+        silver, points = self.silver.read(), self.store.points()
+        if self.silver.exists():
+            self._follow_with_index()
         ref = F.col("point_id").alias("ref")
         return fusion.hybrid_search(
             queries,
             points.select(F.xxhash64("point_id").alias("doc"), "vector", ref),
-            self.index.open(docs, self.silver.version()),
+            self.index.open(bm25.corpus(silver)),
             silver.select(F.col("doc_order").alias("doc"), "doc_part", "text", payload_of(silver).alias("payload")),
             embedder=self.embedder or hashed_embedder(self.store.dim),
             vector_payloads=points.select(ref, F.col("payload.text").alias("text"), "payload"),

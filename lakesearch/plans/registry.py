@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,10 +10,12 @@ from pyspark.sql import functions as F
 
 from lakesearch.functions import embed, hashing, text
 from lakesearch.operators import bm25, dense, filters, fusion, silver, telemetry, validate, vectors
+from lakesearch.operators.batches import per_batch
 from lakesearch.plans import views
-from lakesearch.session import configure
-from lakesearch.sources.bronze import partition_counts
-from lakesearch.schemas import STORY_FIELDS
+from lakesearch.plans.refresh import Lake
+from lakesearch.schemas import SILVER_COLUMNS, STORY_FIELDS
+from lakesearch.session import configure, scratch_dir
+from lakesearch.sources.bronze import append_bronze, compact_bronze, partition_counts, read_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -395,9 +398,8 @@ def _hybrid(spark, sf_dir):
     return _retrieve(fusion.hybrid_search, spark, sf_dir)
 
 
-@query
-def hybrid_search(spark, sf_dir):
-    return _hybrid(spark, sf_dir).select(
+def _found(results: DataFrame) -> DataFrame:
+    return results.select(
         "query_id",
         *_bigint("rank"),
         "text",
@@ -411,6 +413,11 @@ def hybrid_search(spark, sf_dir):
     )
 
 
+@query
+def hybrid_search(spark, sf_dir):
+    return _found(_hybrid(spark, sf_dir))
+
+
 @query
 def display_rows(spark, sf_dir):
     return fusion.display_rows(_hybrid(spark, sf_dir)).withColumn("rank", F.col("rank").cast("bigint"))
@@ -444,15 +451,78 @@ def telemetry_snapshot(spark, sf_dir):
 @query
 def ingest_batch_counts(spark, sf_dir):
     """On-demand run in numbers: passed, rejected, Silver after the merge, new points."""
-    judged = validate.validate_light(views.events_view(spark, sf_dir, views.LIGHT_ITEMS), LIGHT_NOW)
-    landed = judged.where(F.col("reason").isNull()).withColumn("_ingested_at", F.col("_kafka_key"))
-    merged = silver.merge_by_id(views.silver_docs(spark, sf_dir), landed.drop("_kafka_key", "reason"))
-    points = vectors.with_hash(landed, "title").select("content_hash").distinct()
-    return judged.agg(
-        F.count_if(F.col("reason").isNull()).alias("valid"), F.count_if(F.col("reason").isNotNull()).alias("dlq")
-    ).select(
-        "valid",
-        "dlq",
-        telemetry.row_count(merged).alias("silver_rows"),
-        telemetry.row_count(points).alias("new_points"),
+    lake = _new_lake(spark)
+    lake.write_silver(views.silver_docs(spark, sf_dir))
+    passed = lake.ingest_batch(views.events_view(spark, sf_dir, views.LIGHT_ITEMS), "run", LIGHT_NOW)
+    return spark.range(1).select(
+        F.lit(passed.valid).cast("bigint").alias("valid"),
+        F.lit(passed.dlq).cast("bigint").alias("dlq"),
+        telemetry.row_count(lake.silver.read()).alias("silver_rows"),
+        telemetry.row_count(lake.store.points()).alias("new_points"),
     )
+
+
+# ---- the stored path: Bronze files, Silver, vectors and index of a lake of its own ----
+
+
+def _new_lake(spark) -> Lake:
+    return Lake(spark, f"{scratch_dir(spark)}/lake-{uuid.uuid4().hex}")
+
+
+def _landed(spark, sf_dir, compact: bool = False):
+    """A lake into which all documents come in two arrivals, the earlier half and the later one.
+
+    The first refresh builds everything, the second follows the change. With `compact`,
+    Bronze is compacted before the last refresh.
+    """
+    lake = _new_lake(spark)
+    stories = views.stories_docs(spark, sf_dir).withColumn("descendants", F.lit(None).cast("bigint")).withColumn("_kafka_key", F.col("by"))
+    at = F.to_timestamp("_ingested_at")
+    stories = stories.withColumns({"date": text.partition_date(at), "hour": text.partition_hour(at)})
+    half = views.table(spark, sf_dir, "documents").agg(F.avg("doc_id")).scalar()
+    for batch, part in (("early", F.col("id") <= half), ("late", F.col("id") > half)):
+        append_bronze(stories.where(part), lake.bronze_root, batch)
+        if compact and batch == "late":
+            compact_bronze(spark, lake.bronze_root)
+        yield lake
+
+
+def _refreshed(spark, sf_dir) -> Lake:
+    for lake in _landed(spark, sf_dir):
+        lake.refresh()
+    return lake
+
+
+@query
+def bronze_compacted(spark, sf_dir):
+    """Rows and files of every hour after compaction."""
+    *_, lake = _landed(spark, sf_dir, compact=True)
+    per_file = read_bronze(spark, lake.bronze_root).groupBy("date", "hour", F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("n"))
+    return per_file.groupBy("date", "hour").agg(F.sum("n").alias("rows"), F.count(F.lit(1)).alias("files"))
+
+
+@query
+def lake_silver(spark, sf_dir):
+    return _refreshed(spark, sf_dir).silver.read().select(*SILVER_COLUMNS)
+
+
+@query
+def lake_vectors(spark, sf_dir):
+    return _flat(_refreshed(spark, sf_dir).store.points())
+
+
+@query
+def lake_index_topk(spark, sf_dir):
+    """The keyword top-k from the stored index; documents by the id of their story."""
+    lake = _refreshed(spark, sf_dir)
+    rows = lake.silver.read()
+    reader = lake.index.open(bm25.corpus(rows))
+    queries = views.search_queries(spark, sf_dir).select("query_id", "query_text")
+    top = per_batch(queries, lambda batch: reader.topk(batch, bm25.CANDIDATES))
+    named = rows.select(F.col("doc_order").alias("doc"), "id").join(F.broadcast(top), "doc")
+    return named.select("query_id", F.col("id").alias("doc"), F.round("score", 6).alias("score"), *_bigint("rank"))
+
+
+@query
+def lake_search(spark, sf_dir):
+    return _found(_refreshed(spark, sf_dir).search(views.search_queries(spark, sf_dir)))

@@ -66,12 +66,14 @@ def bronze_stats(bronze: DataFrame) -> DataFrame:
     return per_file.agg(F.count(F.lit(1)).alias("file_count"), F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"))
 
 
-def bronze_state(bronze: DataFrame) -> str:
-    """A name for the files that Bronze, which has some, is made of; no column is read."""
-    path, changed = F.col("_metadata.file_path"), F.col("_metadata.file_modification_time")
-    per_file = bronze.groupBy(path.alias("path"), changed.alias("changed")).agg(F.count(F.lit(1)).alias("n"))
-    state = per_file.agg(F.count(F.lit(1)).alias("files"), F.sum("n").alias("rows"), F.bit_xor(F.xxhash64("path", "changed", "n")).alias("x")).first()
-    return f"{state['files']}-{state['rows']}-{state['x']}"
+def bronze_files(bronze: DataFrame) -> DataFrame:
+    """(path, changed) of the files that Bronze is made of; no column is read."""
+    return bronze.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("changed")).distinct()
+
+
+def read_files(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
+    """The rows of some files of Bronze."""
+    return spark.read.schema(BRONZE).option("basePath", root).parquet(*paths).select(*BRONZE.fieldNames())
 
 
 def partition_counts(bronze: DataFrame) -> DataFrame:

@@ -38,6 +38,10 @@ class Files:
     def modified_ms(self, path: str) -> int:
         return self._fs.getFileStatus(self._path(path)).getModificationTime()
 
+    def size(self, path: str) -> int:
+        """Bytes of all files below `path`."""
+        return self._fs.getContentSummary(self._path(path)).getLength()
+
     def rename(self, source: str, target: str) -> None:
         parent = self._path(target).getParent()
         self._fs.mkdirs(parent)

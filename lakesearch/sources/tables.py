@@ -9,15 +9,23 @@ overwritten in place. There is one writer at a time, as in the pipeline.
 from __future__ import annotations
 
 import json
+import math
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakesearch.sources.files import Files
 
 _PREFIX, _SUFFIX = "_v-", ".json"
 
+#: Parts of one size class that are merged into one; parts up to SMALL_PART bytes are one class.
+FANOUT = 8
+SMALL_PART = 1 << 20
+#: Bytes of one file of a merged part.
+PART_FILE = 256 << 20
+
 
 class Versions:
     """One small JSON file for each version below a folder; the highest number counts."""
@@ -93,11 +101,108 @@ class Table:
         """Empty the table; earlier parts stay on disk until `expire`."""
         self._commit([])
 
+    def compact(self, fanout: int = FANOUT) -> int:
+        """Merge parts while `fanout` of them are of one size class; returns how many merges there were.
+
+        A class spans a factor of `fanout` in bytes, so a row is rewritten once a class and the parts
+        number at most `fanout` for each: both grow with the logarithm of the table. Readers see
+        either the parts or their merge, by the version they started with.
+        """
+        merges = 0
+        while True:
+            classes: dict[int, list[str]] = {}
+            for part in self.parts():
+                size = max(SMALL_PART, self.files.size(f"{self.root}/{part}"))
+                classes.setdefault(int(math.log(size, fanout)), []).append(part)
+            full = next((c for _, c in sorted(classes.items()) if len(c) >= fanout), None)
+            if full is None:
+                return merges
+            rows = self.spark.read.schema(self.schema).parquet(*[f"{self.root}/{p}" for p in full])
+            size = sum(self.files.size(f"{self.root}/{p}") for p in full)
+            part = self._write_part(rows.coalesce(max(1, size // PART_FILE)), ())
+            self._commit([p for p in self.parts() if p not in full] + [part])
+            merges += 1
+
+    def _named(self) -> set[str]:
+        """Folders that the version in force names."""
+        return set(self.parts())
+
     def expire(self) -> int:
         """Delete parts no longer in force. Only for times without readers."""
-        live = set(self.parts())
+        live = self._named()
         old = [n for n in self.files.list(self.root) if n.startswith("part-") and n not in live]
         for name in old:
             self.files.delete(f"{self.root}/{name}")
         self.versions.expire()
         return len(old)
+
+
+class MergedTable(Table):
+    """A keyed table, merged on read: a new row of a known key is added, and its key noted as dead before.
+
+    Rows carry the number of their change. Dead keys are a small list of (key, change): a row
+    counts unless its key is dead before a later change. Lists are folded into the rows once
+    they hold FOLD_SHARE of them.
+    """
+
+    FOLD_SHARE = 0.1
+
+    def __init__(self, spark: SparkSession, root: str, schema: T.StructType, key: str):
+        super().__init__(spark, root, T.StructType([*schema, T.StructField("_change", T.LongType())]))
+        self.plain, self.key = schema, key
+        self.dead_schema = T.StructType([schema[key], T.StructField("_before", T.LongType())])
+
+    def state(self) -> dict:
+        return self.versions.read({"parts": [], "dead": [], "next": 1, "rows": 0, "dead_rows": 0})
+
+    def parts(self) -> list[str]:
+        return self.state()["parts"]
+
+    def _commit(self, parts: list[str]) -> None:
+        self.versions.write({**self.state(), "parts": parts})
+
+    def _named(self) -> set[str]:
+        state = self.state()
+        return {*state["parts"], *state["dead"]}
+
+    def read(self) -> DataFrame:
+        state = self.state()
+        rows = super().read()
+        if state["dead"]:
+            dead = self.spark.read.schema(self.dead_schema).parquet(*[f"{self.root}/{p}" for p in state["dead"]])
+            dead = dead.groupBy(F.col(self.key).alias("_key")).agg(F.max("_before").alias("_before"))
+            rows = rows.join(dead, (F.col(self.key) == F.col("_key")) & (F.col("_change") < F.col("_before")), "left_anti")
+        return rows.select(*self.plain.fieldNames())
+
+    def merge(self, df: DataFrame, replaced: DataFrame | None = None) -> None:
+        """Add rows of distinct keys; `replaced` are those of their keys that are there already."""
+        state = self.state()
+        change = state["next"]
+        part = self._write_part(df.withColumn("_change", F.lit(change).cast("bigint")), ())
+        count = lambda name: self.spark.read.parquet(f"{self.root}/{name}").count()
+        state |= {"parts": [*state["parts"], part], "next": change + 1, "rows": state["rows"] + count(part)}
+        if replaced is not None:
+            dead = f"part-{uuid.uuid4().hex}"
+            replaced.select(self.key, F.lit(change).cast("bigint").alias("_before")).write.parquet(f"{self.root}/{dead}")
+            state |= {"dead": [*state["dead"], dead], "dead_rows": state["dead_rows"] + count(dead)}
+        self.versions.write(state)
+
+    def append(self, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
+        self.merge(df)
+
+    def replace(self, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
+        change = self.state()["next"]
+        part = self._write_part(df.withColumn("_change", F.lit(change).cast("bigint")), ())
+        rows = self.spark.read.parquet(f"{self.root}/{part}").count()
+        self.versions.write({"parts": [part], "dead": [], "next": change + 1, "rows": rows, "dead_rows": 0})
+
+    def clear(self) -> None:
+        self.versions.write({"parts": [], "dead": [], "next": self.state()["next"], "rows": 0, "dead_rows": 0})
+
+    def compact(self, fanout: int = FANOUT) -> int:
+        """Fold dead keys in if they are many; else merge parts of like size, which keep the numbers of their changes."""
+        state = self.state()
+        if state["dead_rows"] > self.FOLD_SHARE * state["rows"]:
+            self.replace(self.read())
+            return 1
+        return super().compact(fanout)

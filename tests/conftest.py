@@ -20,6 +20,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
+        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "1000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -136,7 +136,7 @@ def test_idle_refresh_leaves_silver_and_index(spark, lake):
     assert lake.refresh() == 4
 
     def state():
-        return lake.silver.version(), lake.index.meta.version(), lake.store.vectors.version()
+        return lake.silver.version(), lake.index.versions.latest(), lake.store.vectors.version()
 
     before = state()
     assert lake.refresh() == 0 and state() == before

@@ -104,24 +104,6 @@ def test_bm25_without_padding(spark):
     assert top.where("query_id = 3").count() == 0
 
 
-def test_index_store_is_used_and_follows_silver(spark, tmp_path):
-    docs = make_corpus()
-    d, q = frames(spark, docs)
-    store = bm25.IndexStore(spark, str(tmp_path / "index"), buckets=4)
-    index = store.open(d, 1)
-    want = sorted(map(tuple, bm25.bm25_topk(q, bm25.build_index(d)).select("query_id", "rank", "doc").collect()))
-    assert sorted(map(tuple, bm25.bm25_topk(q, index).select("query_id", "rank", "doc").collect())) == want
-    assert store.is_current(1) and not store.is_current(2)
-    again = bm25.IndexStore(spark, str(tmp_path / "index"), buckets=4).open(d, 1)
-    # A bucketed scan: no shuffle between the postings and the sum per document.
-    plan = bm25.bm25_scores(q, again)._jdf.queryExecution().executedPlan().toString()
-    assert "Bucketed: true" in plan and "hashpartitioning(query_id" not in plan
-    changed = [*docs, (1000, "w39 w39 w39")]
-    d2, _ = frames(spark, changed)
-    top = bm25.bm25_topk(q, store.open(d2, 2)).where("query_id = 2 AND rank = 1").first()
-    assert top["doc"] == 1000
-
-
 def test_unbroadcast_join_gives_the_same(spark):
     docs = make_corpus()
     d, q = frames(spark, docs)
