@@ -50,29 +50,33 @@ class Batch:
 def query_batches(queries: DataFrame, max_rows: int = MAX_QUERIES, max_bytes: int = MAX_BYTES) -> list[Batch]:
     """The queries as they are if they fit, else as disjoint parts that each do.
 
-    Parts are cut by a hash of the whole row and its number among equal rows, and
-    twice as many are made until every one is measured to fit: rows that share an id, or
-    have none, can always be told apart. Only a single query beyond `max_bytes` stays
-    too large; it is marked as not fitting and searched without a broadcast.
+    Rows that share a `query_id` (or have none) are one query, in every set: parts are cut by a
+    hash of the id, and twice as many are made until each is measured to fit or holds one query. A
+    single query beyond the bounds is marked as not fitting and searched without a broadcast.
     """
     if fits(queries, max_rows, max_bytes):
         return [Batch(queries, True)]
-    columns = queries.columns
-    queries = queries.withColumn("__row", F.xxhash64(*columns))
-    queries = queries.withColumn("__row", F.xxhash64("__row", F.row_number().over(Window.partitionBy("__row").orderBy("__row"))))
     n = 2
     while True:
-        part = F.pmod(F.xxhash64("__row"), F.lit(n))
-        sizes = queries.groupBy(part.alias("part")).agg(
-            F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(queries.drop('__row'))).alias("bytes")
-        )
+        part = F.pmod(F.xxhash64("query_id"), F.lit(n))
+        sizes = queries.groupBy(part.alias("part"), "query_id").agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(queries)).alias("bytes"))
+        sizes = sizes.groupBy("part").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("ids"))
         # One small row per part.
-        measured = sizes.collect()
-        if all(r["n"] <= max_rows and (r["bytes"] <= max_bytes or r["n"] == 1) for r in measured):
-            return [Batch(queries.where(part == r["part"]).select(*columns), r["bytes"] <= max_bytes) for r in measured]
+        measured = [(r["part"], r["n"] <= max_rows and r["bytes"] <= max_bytes, r["ids"]) for r in sizes.collect()]
+        if all(ok or ids == 1 for _, ok, ids in measured):
+            return [Batch(queries.where(part == p), ok) for p, ok, _ in measured]
         n *= 2
 
 
+def row_parts(queries: DataFrame, max_rows: int = MAX_QUERIES) -> list[DataFrame]:
+    """The rows of one large query in parts of about `max_rows`, equal rows told apart by their number."""
+    n = max(1, -(-queries.count() // max_rows))
+    columns = queries.columns
+    row = F.xxhash64(F.xxhash64(*columns), F.row_number().over(Window.partitionBy(F.xxhash64(*columns)).orderBy(F.lit(0))))
+    numbered = queries.withColumn("__part", F.pmod(row, F.lit(n)))
+    return [numbered.where(F.col("__part") == i).select(*columns) for i in range(n)]
+
+
 def per_batch(queries: DataFrame, search: Callable[[Batch], DataFrame], max_rows: int = MAX_QUERIES) -> DataFrame:
     """Run `search` on every batch and put the results together."""
     return reduce(DataFrame.unionByName, [search(b) for b in query_batches(queries, max_rows)])

@@ -8,13 +8,14 @@ only k rows per task and query, and pairs are never written out.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakesearch.operators.batches import Batch, per_batch
+from lakesearch.operators.batches import Batch, per_batch, row_parts
 
 # ---- fixed values ----
 CANDIDATES = 20
@@ -30,7 +31,7 @@ _CELLS = 2_000_000
 _MERGE_GROUPS = 64
 
 
-def _local_topk(matrix: np.ndarray, query_ids: np.ndarray, k: int, digits: int):
+def _local_topk(matrix: np.ndarray, query_ids: np.ndarray, k: int, digits: int, known: np.ndarray | None = None):
     """Arrow-batch function: (doc, vector, ref) in, (query_id, doc, score, ref) out."""
 
     def unit(m: np.ndarray) -> np.ndarray:
@@ -67,6 +68,8 @@ def _local_topk(matrix: np.ndarray, query_ids: np.ndarray, k: int, digits: int):
                 if len(part_docs) > k:
                     bar = np.maximum(bar, np.partition(sims, len(part_docs) - k, axis=0)[len(part_docs) - k])
                 row, q = np.nonzero(sims >= bar)
+                if len(row) > k * n_queries:  # ties: only the first k of each query can count
+                    row, q = _first_k(part_docs, sims, row, q, k)
                 r = np.array(refs.take(pa.array(row + at)).to_pylist(), dtype=object)
                 best = keep_best(
                     np.r_[best[0], q], np.r_[best[1], sims[row, q]], np.r_[best[2], part_docs[row]], np.r_[best[3], r]
@@ -79,7 +82,7 @@ def _local_topk(matrix: np.ndarray, query_ids: np.ndarray, k: int, digits: int):
         q, s, d, r = best
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(query_ids[q], pa.int64()),
+                pa.array(query_ids[q], pa.int64(), mask=None if known is None else ~known[q]),
                 pa.array(d, pa.int64()),
                 pa.array(s, pa.float64(), mask=np.isneginf(s)),
                 pa.array(r, pa.string()),
@@ -95,6 +98,12 @@ def _best(scored: DataFrame, k: int, *groups) -> DataFrame:
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def _once(scored: DataFrame) -> DataFrame:
+    """One row for each query and document, of a bounded list of candidates."""
+    others = [c for c in scored.columns if c not in ("query_id", "doc", "score")]
+    return scored.groupBy("query_id", "doc").agg(F.max("score").alias("score"), *[F.first(c).alias(c) for c in others]).select(*scored.columns)
+
+
 _NEAR = "query_id long, doc long, score double, ref string"
 
 
@@ -105,11 +114,15 @@ def batch_topk(queries: DataFrame, vectors: DataFrame, k: int, doc: str, vector:
         F.col(vector).alias("vector"),
         (F.lit(None).cast("string") if ref is None else F.col(ref)).alias("ref"),
     )
-    held = queries.select(F.col("query_id").cast("bigint"), "query_vector").collect()
+    # Equal vectors of an id are one; further ones of the same id are told apart and merged below.
+    held = queries.select(F.col("query_id").cast("bigint"), "query_vector").distinct().collect()
     if held:
         matrix = np.array([r["query_vector"] for r in held], dtype=np.float64)
-        ids = np.array([r["query_id"] for r in held], dtype=np.int64)
-        near = rows.mapInArrow(_local_topk(matrix, ids, k, SCORE_DIGITS), _NEAR)
+        known = np.array([r["query_id"] is not None for r in held])
+        ids = np.array([r["query_id"] or 0 for r in held], dtype=np.int64)
+        near = rows.mapInArrow(_local_topk(matrix, ids, k, SCORE_DIGITS, known), _NEAR)
+        if len({r["query_id"] for r in held}) < len(held):
+            near = _once(near)
     else:
         near = rows.sparkSession.createDataFrame([], _NEAR)
     # Two steps, so that no task sees the winners of all tasks for one query.
@@ -118,6 +131,24 @@ def batch_topk(queries: DataFrame, vectors: DataFrame, k: int, doc: str, vector:
     return best.drop("ref") if ref is None else best
 
 
+def _first_k(docs: np.ndarray, sims: np.ndarray, row: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of (row, query) cells the k best of each query, ties to the smaller document."""
+    order = np.lexsort((docs[row], -sims[row, q], q))
+    row, q = row[order], q[order]
+    keep = np.arange(len(q)) - np.searchsorted(q, q, "left") < k
+    return row[keep], q[keep]
+
+
+def measured_topk(batch: Batch, vectors: DataFrame, k: int, doc: str, vector: str, ref: str | None = None) -> DataFrame:
+    """Top-k for one measured batch. A query's rows are one list: each document counts once, by its best row.
+
+    A single query of too many rows is searched part by part, and the parts' best are merged.
+    """
+    parts = [batch.queries] if batch.fits else row_parts(batch.queries)
+    found = reduce(DataFrame.unionByName, [batch_topk(p, vectors, k, doc, vector, ref) for p in parts])
+    return found if len(parts) == 1 else _best(_once(found.drop("rank")), k)
+
+
 def dense_topk(
     queries: DataFrame,
     vectors: DataFrame,
@@ -132,7 +163,7 @@ def dense_topk(
     is measured, then held as a matrix; more queries than fit take several passes.
     """
     queries = queries.select("query_id", "query_vector")
-    return per_batch(queries, lambda batch: batch_topk(batch.queries, vectors, k, doc, vector))
+    return per_batch(queries, lambda batch: measured_topk(batch, vectors, k, doc, vector))
 
 
 def dense_groundedness(
@@ -153,7 +184,7 @@ def dense_groundedness(
 
     def search(batch: Batch) -> DataFrame:
         # At most k rows per query of a measured batch.
-        return texts.join(F.broadcast(batch_topk(batch.queries, vectors, k, doc, vector)), "doc")
+        return texts.join(F.broadcast(measured_topk(batch, vectors, k, doc, vector)), "doc")
 
     return per_batch(queries.select("query_id", "query_vector"), search).select(
         "query_id",

@@ -134,7 +134,7 @@ def candidate_lists(
     """Both ranked lists of one batch with text and payload, told apart by `side`."""
     found = index.topk(batch, candidates, pad_zero).withColumn("side", F.lit(KEYWORD))
     ref = None if vector_payloads is None else "ref"
-    near = dense.batch_topk(embedded, vectors, candidates, "doc", "vector", ref).withColumn("side", F.lit(DENSE))
+    near = dense.measured_topk(Batch(embedded, batch.fits), vectors, candidates, "doc", "vector", ref).withColumn("side", F.lit(DENSE))
     if vector_payloads is None:
         return with_payload(near.unionByName(found), payloads)
     columns = ["query_id", "side", "text", "score", "rank", "payload"]

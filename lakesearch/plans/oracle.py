@@ -351,12 +351,28 @@ SELECT count(*) FILTER (WHERE ok) AS valid, count(*) FILTER (WHERE NOT ok) AS dl
 FROM judged""",
 }
 
-# The stored path gives the rows of the plans without one.
+# The stored path gives the rows of the plans without one, but for two things. A point keeps the
+# payload of the first refresh that saw its text (the earlier half of the documents came first), and equal
+# similarities are settled by the point's id.
+FIRST_SEEN = SILVER.removeprefix(f"{BRONZE},").replace("silver AS", "first_seen AS").replace("ORDER BY", "ORDER BY id > (SELECT avg(doc_id) FROM documents),")
+POINTS = f"""points AS MATERIALIZED (
+  SELECT s.id AS doc, ('0x' || substr(replace({point_id('sha256(s.text)')}, '-', ''), 1, 15))::BIGINT AS number, f.id AS first_id, f."by" AS first_by
+  FROM silver s JOIN first_seen f USING (text))"""
+BY_NUMBER = (
+    DENSE_PARTS.replace("DESC, doc) AS rank", "DESC, number) AS rank")
+    .replace("dn.doc, round(", "dn.doc, number, round(")
+    .replace("CROSS JOIN dn", "CROSS JOIN (dn JOIN points USING (doc))")
+)
+STORED = (
+    HYBRID.replace(DENSE_PARTS, f"{FIRST_SEEN}, {POINTS}, {BY_NUMBER}")
+    .replace("s.id, s.\"by\", s.title", "CASE WHEN dense_rank IS NULL THEN s.id ELSE first_id END AS id, CASE WHEN dense_rank IS NULL THEN s.\"by\" ELSE first_by END AS \"by\", s.title")
+    .replace("JOIN silver s ON s.id = doc", "JOIN silver s ON s.id = doc JOIN points USING (doc)")
+)
 ORACLE |= {
     "lake_silver": ORACLE["silver_build"],
-    "lake_vectors": ORACLE["vector_points"],
+    "lake_vectors": ORACLE["vector_points"].replace(f"{SILVER},", f"{SILVER}, {FIRST_SEEN},").replace("silver.id", "first_seen.id").replace("FROM silver", "FROM first_seen"),
     "lake_index_topk": ORACLE["bm25_topk"],
-    "lake_search": ORACLE["hybrid_search"],
+    "lake_search": ORACLE["hybrid_search"].replace(HYBRID, STORED),
     "bronze_compacted": """SELECT strftime(t, '%Y-%m-%d') AS date, strftime(t, '%H') AS hour, count(*) AS rows, 1::BIGINT AS files
 FROM (SELECT make_timestamp((1704067200 + doc_id) * 1000000) AS t FROM documents) GROUP BY ALL""",
 }

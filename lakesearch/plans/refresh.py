@@ -185,7 +185,8 @@ class Lake:
         ref = F.col("point_id").alias("ref")
         return fusion.hybrid_search(
             queries,
-            points.select(F.xxhash64("point_id").alias("doc"), "vector", ref),
+            # The first 60 bits of the id settle equal similarities; the id itself goes along as `ref`.
+            points.select(F.conv(F.substring(F.translate("point_id", "-", ""), 1, 15), 16, 10).cast("bigint").alias("doc"), "vector", ref),
             self.index.open(bm25.corpus(silver)),
             silver.select(F.col("doc_order").alias("doc"), "doc_part", "text", payload_of(silver).alias("payload")),
             embedder=self.embedder or hashed_embedder(self.store.dim),

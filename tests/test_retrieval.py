@@ -8,6 +8,7 @@ from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from lakesearch.operators import batches, bm25, dense, fusion
 
 WORDS = [f"w{i}" for i in range(40)]
@@ -280,4 +281,32 @@ def test_hits_of_a_document_over_several_arrow_batches(spark):
 def test_query_batches_end_with_one_id(spark):
     q = spark.range(10).selectExpr("CAST(NULL AS BIGINT) AS query_id", "'same' AS query_text")
     parts = batches.query_batches(q, max_rows=3)
-    assert sum(p.queries.count() for p in parts) == 10 and all(p.queries.count() <= 3 for p in parts)
+    assert [(p.queries.count(), p.fits) for p in parts] == [(10, False)]
+
+
+@pytest.mark.parametrize("max_rows", [1, 2, 4096])
+def test_rows_that_share_an_id_are_one_query(spark, monkeypatch, max_rows):
+    """However the set is cut: k rows for each id, of all its rows."""
+    d, _ = frames(spark, make_corpus())
+    index = bm25.build_index(d)
+    q = spark.createDataFrame([(1, "w3 w7"), (1, "w9"), (1, "w3"), (2, "w5"), (None, "w8"), (None, "w9")], "query_id long, query_text string")
+    found = batches.per_batch(q, lambda b: index.topk(b, 2), max_rows)
+    joined = spark.createDataFrame([(1, "w3 w7 w9 w3"), (2, "w5"), (None, "w8 w9")], "query_id long, query_text string")
+    key = lambda df: sorted((str(r["query_id"]), r["rank"], r["doc"], round(r["score"], 8)) for r in df.collect())
+    assert key(found) == key(bm25.bm25_topk(joined, index, 2)) and len(key(found)) == 6
+    rng = np.random.default_rng(2)
+    v = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(50)], "doc long, vector array<double>")
+    near = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in (1, 1, 1, 2, None)], "query_id long, query_vector array<double>")
+    near = near.unionByName(near)
+    monkeypatch.setattr(dense, "row_parts", lambda df: batches.row_parts(df, 2))
+    out = batches.per_batch(near, lambda b: dense.measured_topk(b, v, 3, "doc", "vector"), max_rows)
+    want = dense.dense_topk(near, v, 3)
+    assert key(out) == key(want) and len(key(out)) == 9
+    assert out.select("query_id", "doc").distinct().count() == 9
+
+
+def test_equal_vectors_keep_k_a_query(spark):
+    v = spark.range(100_000).select(F.col("id").alias("doc"), F.array(F.lit(1.0), F.lit(2.0)).alias("vector"))
+    q = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(20)], "query_id long, query_vector array<double>")
+    found = dense.dense_topk(q, v, 5).collect()
+    assert sorted((r["query_id"], r["doc"]) for r in found) == [(i, d) for i in range(20) for d in range(5)]
