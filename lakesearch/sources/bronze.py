@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from urllib.parse import quote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from lakesearch.functions.text import iso_utc, partition_date, partition_hour
 from lakesearch.operators.filters import event_key
 from lakesearch.schemas import BRONZE, STORY_FIELDS
 from lakesearch.sources.files import Files
+from lakesearch.sources.tables import Versions
 
 # A compacted file aims at this size; a larger partition gets several.
 TARGET_FILE_BYTES = 512 * 1024 * 1024
@@ -33,8 +35,21 @@ def with_bronze_columns(valid: DataFrame, now: Column | None = None) -> DataFram
     )
 
 
-def append_bronze(df: DataFrame, root: str, batch: str | int) -> None:
-    """Land one batch. Doing it again with the same batch name replaces, not repeats."""
+def append_bronze(df: DataFrame, root: str, batch: str | int) -> bool:
+    """Land one batch, once: a batch that has landed is left as it is, whatever hour it is now.
+
+    Before the rows a plan is written with the hours they go to, after them a mark that they are there.
+    A batch cut short has a plan and no mark: what it left is deleted before it lands anew, so
+    it may land in another hour than at first. Returns whether the batch was written.
+    """
+    files, record = Files(df.sparkSession, root), f"{root}/_batches/{quote(str(batch), safe='')}"
+    if files.exists(f"{record}/landed"):
+        return False
+    hours = sorted({(r["date"], r["hour"]) for r in df.select("date", "hour").distinct().collect()})  # those of one flush
+    for name in files.list(record):
+        for date, hour in json.loads(files.read_text(f"{record}/{name}")):
+            files.delete(f"{root}/date={date}/hour={hour}/batch={batch}")
+    files.write_new(f"{record}/plan-{uuid.uuid4().hex}", json.dumps(hours))
     (
         df.withColumn("batch", F.lit(str(batch)))
         .write.mode("overwrite")
@@ -42,6 +57,16 @@ def append_bronze(df: DataFrame, root: str, batch: str | int) -> None:
         .partitionBy("date", "hour", "batch")
         .parquet(root)
     )
+    files.write_new(f"{record}/landed", json.dumps(hours))
+    return True
+
+
+def _versions(spark: SparkSession, root: str) -> Versions:
+    return Versions(spark, f"{root.rstrip('/')}/_commits")
+
+
+#: Files whose rows are in compacted ones, compactions not in force yet, and those that are.
+_NO_COMMITS = {"replaced": [], "pending": [], "done": []}
 
 
 def read_bronze(spark: SparkSession, *roots: str) -> DataFrame:
@@ -49,13 +74,20 @@ def read_bronze(spark: SparkSession, *roots: str) -> DataFrame:
 
     The schema is given, not inferred: `hour=05` must stay text. A root may have its
     files directly under the hour (no batch folders); filters on `date` and `hour`
-    prune folders either way. Without any data the result is empty.
+    prune folders either way. Without any data the result is empty. A compaction counts as a whole
+    or not at all: the version of commits that a reader starts with says which files it leaves out.
     """
     found = None
     for root in roots:
         files = Files(spark, root)
         if any(name.startswith("date=") for name in files.list(root)):
-            one = spark.read.schema(BRONZE).parquet(root).select(*BRONZE.fieldNames())
+            state = _versions(spark, root).read(_NO_COMMITS)
+            one = spark.read.schema(BRONZE).parquet(root)
+            if state["pending"]:
+                one = one.where(~F.coalesce("batch", F.lit("")).isin([f"compacted-{run}" for run in state["pending"]]))
+            if state["replaced"]:
+                one = one.where(~F.col("_metadata.file_path").isin(state["replaced"]))
+            one = one.select(*BRONZE.fieldNames())
             found = one if found is None else found.unionByName(one, allowMissingColumns=True)
     return spark.createDataFrame([], BRONZE) if found is None else found
 
@@ -96,12 +128,14 @@ def compact_bronze(spark: SparkSession, root: str, before: tuple[str, str] | Non
     Every file of a partition takes part, earlier compacted ones included, so running
     twice loses nothing. One job rewrites all chosen partitions into a staging folder,
     and a partition larger than `target_bytes` is dealt out over several tasks. Then
-    the files that were read, and no others, make way for the new ones: a batch that
-    lands meanwhile is left alone. `finish_compaction` completes this after a crash.
+    the new files come in and those that were read, and no others, go out by one commit: a batch
+    that lands meanwhile is left alone, and readers see either side. `finish_compaction` completes
+    this after a crash. Replaced files are deleted by the next compaction, so readers have that long.
     Only hours before `before` take part; by default all but the current one.
     """
     root = root.rstrip("/")
     finish_compaction(spark, root)
+    delete_replaced(spark, root)
     if before is None:
         now = spark.range(1).select(partition_date(F.current_timestamp()), partition_hour(F.current_timestamp())).first()
         before = (now[0], now[1])
@@ -143,23 +177,48 @@ def compact_bronze(spark: SparkSession, root: str, before: tuple[str, str] | Non
 
 
 def finish_compaction(spark: SparkSession, root: str) -> None:
-    """Put staged partitions in place; safe to call at any time, any number of times.
+    """Put staged partitions in force; safe to call at any time, any number of times.
 
-    Of each partition the listed files are set aside, then the new ones are moved in
-    as one batch folder. If a listed file is neither in place nor set aside, its batch was
-    written anew since; that partition keeps its files and the staged ones are dropped.
+    The run is noted as pending, so that nobody reads its folders while they are moved in; then one commit
+    makes it count and the files that it read not count any more. If one of those is gone by
+    then, its batch was written anew; that partition keeps its files and the staged ones are dropped.
     """
-    files = Files(spark, root)
+    root = root.rstrip("/")
+    files, versions = Files(spark, root), _versions(spark, root)
     for run in files.list(f"{root}/_compaction"):
         stage = f"{root}/_compaction/{run}"
-        if files.exists(f"{stage}/_ready"):
+        state = versions.read(_NO_COMMITS)
+        if files.exists(f"{stage}/_ready") and run not in state["done"]:
+            if run not in state["pending"]:
+                versions.write({**state, "pending": [*state["pending"], run]})
+            replaced = []
             for partition, listed in json.loads(files.read_text(f"{stage}/_ready")).items():
-                new = f"{stage}/new/{partition}"
-                aside = {path: f"{stage}/old/{partition}/{i}.parquet" for i, path in enumerate(listed)}
-                if not files.exists(new) or not all(files.exists(p) or files.exists(q) for p, q in aside.items()):
+                new, there = f"{stage}/new/{partition}", f"{root}/{partition}/batch=compacted-{run}"
+                if not all(files.exists(path) for path in listed):
+                    files.delete(there)
                     continue
-                for path, old in aside.items():
-                    if not files.exists(old):
-                        files.rename(path, old)
-                files.rename(new, f"{root}/{partition}/batch=compacted-{run}")
+                if not files.exists(there):
+                    files.rename(new, there)
+                replaced += listed
+            state = versions.read(_NO_COMMITS)
+            versions.write({"replaced": [*state["replaced"], *replaced], "pending": [r for r in state["pending"] if r != run], "done": [*state["done"], run]})
         files.delete(stage)
+    state = versions.read(_NO_COMMITS)
+    if state["done"]:
+        versions.write({**state, "done": []})
+
+
+def delete_replaced(spark: SparkSession, root: str) -> int:
+    """Delete files that an earlier compaction replaced, and the folders they leave empty."""
+    root = root.rstrip("/")
+    files, versions = Files(spark, root), _versions(spark, root)
+    state = versions.read(_NO_COMMITS)
+    for path in state["replaced"]:
+        files.delete(path)
+        folder = path.rsplit("/", 1)[0]
+        if files.exists(folder) and not files.list(folder):
+            files.delete(folder)
+    if state["replaced"]:
+        versions.write({**state, "replaced": []})
+        versions.expire()
+    return len(state["replaced"])

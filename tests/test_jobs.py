@@ -1,14 +1,17 @@
 """Streams from folders, and the composite jobs."""
 
 import json
+import time
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from lakesearch.functions.embed import hashed_embedder
+from lakesearch.operators import telemetry
 from lakesearch.plans.refresh import Lake
 from lakesearch.sources.bronze import append_bronze, read_bronze
-from lakesearch.streaming import jobs
+from lakesearch.streaming import counters, jobs
 
 
 def story(i, **changes):
@@ -52,6 +55,37 @@ def test_raw_to_bronze(spark, tmp_path):
     assert read_bronze(spark, str(tmp_path / "bronze")).count() == 3
 
 
+def test_counters_survive_a_restart_and_equal_the_batch_counts(spark, tmp_path):
+    root = str(tmp_path / "counts")
+    assert counters.totals(spark, root).first() == (0, 0, 0)
+
+    def run(lines):
+        listener = counters.CounterListener(spark, root)  # a new driver has a listener of its own
+        spark.streams.addListener(listener)
+        try:
+            for name, own in lines:
+                drop_file(tmp_path / "in", name, own)
+            return run_chain(spark, tmp_path, max_files=1)
+        finally:
+            spark._jsparkSession.sparkContext().listenerBus().waitUntilEmpty()
+            time.sleep(1)  # the events of the bus are handed on to Python listeners
+            spark.streams.removeListener(listener)
+
+    run([("a.txt", [story(1), story(2, title=""), "{broken"]), ("b.txt", [story(3)])])
+    first = counters.counts(spark, root).where("metric = 'validation'").count()
+    q = run([("c.txt", [story(5), "[]"])])
+    row = counters.totals(spark, root).first()
+    dead = spark.read.parquet(str(tmp_path / "topics" / "dlq")).count()
+    assert first >= 2 and (row["valid"], row["dlq"], row["total"]) == (3, dead, 6) == (3, 3, 6)
+    # An event that comes twice counts once.
+    again = counters.CounterListener(spark, root)
+    for p in q.recentProgress:
+        again.onQueryProgress(SimpleNamespace(progress=p))
+    assert counters.totals(spark, root).first() == row
+    snap = telemetry.snapshot(counters.stages(spark, root), F.lit(3), F.lit(3), F.lit(3), F.lit(3)).first()
+    assert (snap["raw"], snap["validated"], snap["dlq"], snap["dlq_rate"], snap["health"]) == (6, 3, 3, 50.0, "bad")
+
+
 def test_finished_batch_folder_is_left_alone(spark, tmp_path):
     path = str(tmp_path / "batch=1")
     jobs._write_once(spark.range(3), path)

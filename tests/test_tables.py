@@ -10,7 +10,7 @@ from lakesearch.operators import silver, telemetry, vectors
 from lakesearch.schemas import BRONZE, LEDGER, SILVER, STORY_EVENT
 from lakesearch.sources import bronze, kafka
 from lakesearch.sources.files import Files
-from lakesearch.sources.tables import Table
+from lakesearch.sources.tables import Table, Versions
 
 
 def stories(spark, rows):
@@ -165,33 +165,77 @@ def test_compaction_splits_a_large_hour(spark, tmp_path):
 
 
 def stop_after(monkeypatch, n):
-    """Let `n` renames through, then fail as a crash would."""
-    rename, left = Files.rename, [n]
+    """Let `n` steps (commits, moves) of a compaction through, then fail as a crash would."""
+    left = [n]
 
-    def counted(self, source, target):
-        if "_compaction" in source + target and "_ready" not in source + target:
-            if not left[0]:
-                raise KeyboardInterrupt
-            left[0] -= 1
-        rename(self, source, target)
+    def counted(step, counts):
+        def run(self, *args):
+            if counts(self, *args):
+                if not left[0]:
+                    raise KeyboardInterrupt
+                left[0] -= 1
+            return step(self, *args)
 
-    monkeypatch.setattr(Files, "rename", counted)
+        return run
 
+    monkeypatch.setattr(Files, "rename", counted(Files.rename, lambda self, source, target: "/new/" in source))
+    monkeypatch.setattr(Versions, "write", counted(Versions.write, lambda self, state: self.root.endswith("_commits")))
 
-@pytest.mark.parametrize("renames", [0, 1, 2])
-def test_interrupted_compaction_is_finished(spark, tmp_path, monkeypatch, renames):
+
+@pytest.mark.parametrize("steps", [0, 1, 2, 3])
+def test_interrupted_compaction_is_finished(spark, tmp_path, monkeypatch, steps):
     root = str(tmp_path / "bronze")
     land(spark, root, "a", 5, 0)
     land(spark, root, "b", 5, 5)
     with monkeypatch.context() as patch, pytest.raises(KeyboardInterrupt):
-        stop_after(patch, renames)
+        stop_after(patch, steps)
         bronze.compact_bronze(spark, root)
+    assert ids(bronze.read_bronze(spark, root)) == list(range(10))  # at every point a reader sees each row once
     land(spark, root, "late", 3, 50)  # a batch lands between the crash and the next run
     for _ in range(2):
         bronze.finish_compaction(spark, root)
         assert ids(bronze.read_bronze(spark, root)) == [*range(10), 50, 51, 52]
 
 
+def test_readers_never_see_a_gap(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "bronze")
+    land(spark, root, "a", 5, 0)
+    land(spark, root, "b", 5, 5)
+    before, seen = bronze.read_bronze(spark, root), []
+    rename, write = Files.rename, Versions.write
+    monkeypatch.setattr(Files, "rename", lambda self, a, b: (rename(self, a, b), seen.append(ids(bronze.read_bronze(spark, root))))[0])
+    monkeypatch.setattr(Versions, "write", lambda self, state: (write(self, state), seen.append(ids(bronze.read_bronze(spark, root))))[0])
+    bronze.compact_bronze(spark, root)
+    assert len(seen) >= 4 and all(s == list(range(10)) for s in seen)
+    assert ids(before) == list(range(10))  # its files are still there
+    assert bronze.delete_replaced(spark, root) > 0 and ids(bronze.read_bronze(spark, root)) == list(range(10))
+    assert Files(spark, root).list(f"{root}/date=2024-01-01/hour=05") == ["batch=compacted-" + n for n in [bronze.read_bronze(spark, root).first()["batch"].removeprefix("compacted-")]]
+
+
+def test_a_batch_lands_once_in_whatever_hour(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "bronze")
+    land(spark, root, "s-1", 5, 0, hour=5)
+    land(spark, root, "s-1", 5, 0, hour=6)  # repeated in a later hour
+    assert ids(bronze.read_bronze(spark, root)) == list(range(5))
+    land(spark, root, "s-0", 2, 90, hour=5)
+    bronze.compact_bronze(spark, root)
+    land(spark, root, "s-1", 5, 0, hour=7)  # repeated after its files are compacted
+    assert ids(bronze.read_bronze(spark, root)) == [0, 1, 2, 3, 4, 90, 91]
+    write = Files.write_new
+
+    def crash(self, path, text):
+        if path.endswith("/landed"):
+            raise KeyboardInterrupt
+        write(self, path, text)
+
+    with monkeypatch.context() as patch, pytest.raises(KeyboardInterrupt):
+        patch.setattr(Files, "write_new", crash)
+        land(spark, root, "s-2", 3, 200, hour=8)  # rows written, mark not
+    land(spark, root, "s-2", 3, 200, hour=9)
+    rows = bronze.read_bronze(spark, root).where("id >= 200").collect()
+    assert sorted(r["id"] for r in rows) == [200, 201, 202] and {r["hour"] for r in rows} == {"09"}
+
+
 def test_a_batch_that_lands_during_compaction_stays(spark, tmp_path, monkeypatch):
     root = str(tmp_path / "bronze")
     land(spark, root, "a", 5, 0)
