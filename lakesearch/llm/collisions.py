@@ -188,11 +188,15 @@ def search_block(ids: np.ndarray, x: np.ndarray, qids: np.ndarray, q: np.ndarray
 
 
 def nearest(rows: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(query_id, rank, vec_id, score): the k largest inner products found for each query row."""
+    """(query_id, rank, vec_id, score): the k largest inner products found for each query id.
+
+    Equal rows are one row, as candidates and as queries. Rows that share an id but not the vector are
+    searched each by itself; an id is answered once, and finds another id once, by its best score.
+    """
     schema = "query_id long, rank int, vec_id long, score double"
     spark = rows.sparkSession
-    data = written(usable(rows, key, vector))
-    asked = written(usable(queries, key, vector))
+    data = written(usable(rows, key, vector).distinct())
+    asked = written(usable(queries, key, vector).distinct())
     n, n_q = data.count(), asked.count()
     if not n or not n_q:
         return spark.createDataFrame([], schema)
@@ -218,6 +222,7 @@ def nearest(rows: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", ve
 
     grids = [s.repartition(v_blocks * q_blocks, "vb", "qb").groupBy("vb", "qb") for s in sides]
     best = grids[0].cogroup(grids[1]).applyInPandas(search, "query_id long, vec_id long, score double")
+    best = best.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     by_query = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = best.withColumn("rank", F.row_number().over(by_query)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

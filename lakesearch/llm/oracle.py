@@ -50,9 +50,9 @@ WITH RECURSIVE counts AS (
 ), cdf AS (
   SELECT name, any_value(draws) AS draws, list(f ORDER BY k) AS f FROM terms GROUP BY name
 ), counted AS (
-  SELECT d.*, list_sum([len([x FOR x IN f IF x <= ('0x' || substr(md5('{MIX_SEED}|' || coalesce(doc_id::VARCHAR, '') || '|' || i::VARCHAR), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE])
+  SELECT d.*, list_sum([len([x FOR x IN f IF x <= ('0x' || substr(md5('{MIX_SEED}|' || coalesce(doc_id::VARCHAR, '') || '|' || md5(coalesce(text, '')) || '|' || number::VARCHAR || '|' || i::VARCHAR), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE])
     FOR i IN range(1, draws + 1)])::INT AS n_copies
-  FROM documents d JOIN cdf ON coalesce(d.source, '') = cdf.name
+  FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, text, lang, source, n_chars) AS number FROM documents) d JOIN cdf ON coalesce(d.source, '') = cdf.name
 )
 SELECT doc_id, text, lang, source, n_chars, n_copies, unnest(range(1, n_copies + 1))::INT AS copy FROM counted WHERE n_copies > 0
 """

@@ -2,13 +2,19 @@
 
 A source with share w of the target and n of all N documents is repeated w * budget / n
 times on average. Each document's count is the inverse of that Poisson distribution at a
-uniform number hashed from seed and id, so reruns and lost executors give the same rows.
+uniform number hashed from seed, id, text and the row's number among equal rows, so reruns and
+lost executors give the same rows, and rows that share an id, or have none, are drawn one by one.
 Rates above RATE_STEP are a sum of independent draws, each with a rate up to RATE_STEP.
-Documents are exploded by their counts and put in the order of a hash of seed, id and
-copy, which is a global shuffle.
+Documents are exploded by their counts and dealt out by a hash of seed, row and copy, in the
+order of which they lie within each partition: a global shuffle.
+
+Equal rows are numbered by grouping them: one row with their count, which is then repeated. A row
+that many copies share is added up where they are read.
 
 Defined results: a null source counts as the empty name; sources without a target get none;
-a null id hashes as empty; repeated rows get equal counts; an empty table gives no rows.
+a null id hashes as empty, a null text as the empty text; equal rows (in all columns) are
+numbered from 1; columns `copy` and `n_copies` of the caller give way to the result's, all other
+columns stay, whatever their names; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -52,19 +58,36 @@ def _distribution(rate: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(TERMS)), state, step)["f"]
 
 
-def replicate(docs: DataFrame, by: str, source_rates: DataFrame, seed: int, key: str = "doc_id") -> DataFrame:
+#: Prefix of the columns in between.
+_OWN = "__mix_"
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """The rows with their number among rows equal in all columns, from 1."""
+    number = _OWN + "number"
+    key = F.md5(F.to_json(F.struct(*docs.columns), {"ignoreNullFields": "false"}).cast("binary"))
+    if docs.groupBy(key.alias("key")).count().where("count > 1").isEmpty():
+        return docs.withColumn(number, F.lit(1).cast("long"))
+    groups = docs.groupBy(*docs.columns).agg(F.count("*").alias(_OWN + "n"))
+    return groups.withColumn(number, F.explode(F.sequence(F.lit(1).cast("long"), F.col(_OWN + "n")))).drop(_OWN + "n")
+
+
+def replicate(docs: DataFrame, by: str, source_rates: DataFrame, seed: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents, each `n_copies` times, numbered by `copy` from 1, globally shuffled."""
     draws = F.greatest(F.ceil(F.col("rate") / RATE_STEP), F.lit(1)).cast("int")
-    table = source_rates.select(F.col("name").alias("_name"), draws.alias("_draws"), _distribution(F.col("rate") / draws).alias("_f"))
-    rows = docs.drop("copy", "n_copies").withColumn("_name", F.coalesce(F.col(by), F.lit(""))).join(table, "_name")
-    id_ = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    name, n_draws, f_, row, place = (_OWN + c for c in ("name", "draws", "f", "row", "place"))
+    table = source_rates.select(F.col("name").alias(name), draws.alias(n_draws), _distribution(F.col("rate") / draws).alias(f_))
+    rows = numbered(docs.drop("copy", "n_copies")).withColumn(name, F.coalesce(F.col(by), F.lit(""))).join(table, name)
+    digest = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+    rows = rows.withColumn(row, F.concat_ws("|", F.coalesce(F.col(key).cast("string"), F.lit("")), digest, F.col(_OWN + "number").cast("string")))
 
     def one(i: Column) -> Column:
-        u = uniform(F.lit(seed), id_, i)
-        return F.size(F.filter("_f", lambda f: f <= u))
+        u = uniform(F.lit(seed), F.col(row), i)
+        return F.size(F.filter(f_, lambda f: f <= u))
 
-    n = F.aggregate(F.sequence(F.lit(1), F.col("_draws")), F.lit(0), lambda s, i: s + one(i))
-    rows = rows.withColumn("n_copies", n).where("n_copies > 0").drop("_name", "_draws", "_f")
+    n = F.aggregate(F.sequence(F.lit(1), F.col(n_draws)), F.lit(0), lambda s, i: s + one(i))
+    rows = rows.withColumn("n_copies", n).where("n_copies > 0")
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
-    place = F.md5(F.concat_ws("|", F.lit(f"{seed}#place"), id_, F.col("copy").cast("string")).cast("binary"))
-    return rows.withColumn("_place", place).repartitionByRange("_place", key).sortWithinPartitions("_place", key).drop("_place")
+    rows = rows.withColumn(place, F.md5(F.concat_ws("|", F.lit(f"{seed}#place"), F.col(row), F.col("copy").cast("string")).cast("binary")))
+    kept = [*(c for c in docs.columns if c not in ("copy", "n_copies")), "n_copies", "copy"]
+    return rows.select(*kept, place).repartition(place).sortWithinPartitions(place).drop(place)

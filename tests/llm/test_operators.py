@@ -98,7 +98,7 @@ def test_byte_shards_are_near_equal(spark):
 
 
 def test_poisson_counts(spark, docs, empty):
-    rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 10 < 8, "big").otherwise("small").alias("source"), F.lit(9).alias("copy"))
+    rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 10 < 8, "big").otherwise("small").alias("source"), F.lit(9).alias("copy"), F.lit("t").alias("text"), F.lit(3).alias("_place"))
     mixed = poisson.replicate(rows, "source", poisson.rates(rows, "source", {"big": 1.0, "small": 3.0}), 1)
     counts = {r["source"]: r["count"] for r in mixed.groupBy("source").count().collect()}
     assert abs(counts["big"] / 5000 - 1) < 0.05 and abs(counts["small"] / 15000 - 1) < 0.05
@@ -110,6 +110,28 @@ def test_poisson_counts(spark, docs, empty):
     assert poisson.replicate(empty, "source", poisson.rates(empty, "source"), 1).count() == 0
 
 
+@pytest.mark.parametrize("same_text", [False, True])
+@pytest.mark.parametrize("seed", [1, 2, 3, 4])
+def test_poisson_draws_rows_without_an_id_one_by_one(spark, seed, same_text):
+    text = F.lit("all the same") if same_text else F.col("id").cast("string")
+    rows = spark.range(5000).select(F.lit(None).cast("long").alias("doc_id"), text.alias("text"), F.lit("s").alias("source"), F.lit(1).alias("_f"), F.lit(2).alias("name"))
+    mixed = poisson.replicate(rows, "source", poisson.rates(rows, "source"), seed)
+    assert abs(mixed.count() / 5000 - 1) < 0.05 and mixed.columns == ["doc_id", "text", "source", "_f", "name", "n_copies", "copy"]
+    assert mixed.where("copy = 1").count() == sum(c["count"] for c in mixed.groupBy("n_copies", "copy").count().where("copy = 1").collect())
+    again = poisson.replicate(rows.repartition(7), "source", poisson.rates(rows, "source"), seed)
+    assert again.exceptAll(mixed).isEmpty() and again.count() == mixed.count()
+
+
+def test_nearest_answers_a_repeated_query_once(spark):
+    rng = np.random.default_rng(12)
+    rows = spark.createDataFrame([(i, rng.normal(size=8).tolist()) for i in range(100)], "vec_id long, embedding array<double>")
+    twice = rows.unionByName(rows.where("vec_id % 10 = 0"))
+    key = lambda df: sorted(tuple(r) for r in df.collect())
+    want = key(collisions.nearest(rows, rows.where("vec_id % 20 = 0"), 20))
+    assert key(collisions.nearest(twice, twice.where("vec_id % 20 = 0"), 20)) == want
+    assert all(len({r[2] for r in want if r[0] == q}) == 20 for q in {r[0] for r in want})
+
+
 def _shown(f):
     return f"{f % (1 << 64):016x}"
 
