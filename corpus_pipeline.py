@@ -2,7 +2,8 @@
 
 1. toxicity: documents that the classifier marks go;
 2. language ID: documents without letters, and those no language fits, go, but none of a declared
-   language that has no model;
+   language that has no model; where the language found is another than the declared one, it takes
+   its place in `lang`;
 3. near-dedup: of each class of near-duplicates the document with the smallest id stays;
 4. mixing: documents are repeated so that all sources weigh the same;
 5. BPE: every document is encoded, and decoded again.
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakesearch.llm import bpe, dartminhash, langid, poisson, toxicity
-from lakesearch.llm.common import table, without
+from lakesearch.llm.common import BROADCAST_ROWS, table, without
 from lakesearch.llm.queries import MIX_SEED, PATTERN, RANKS
 from lakesearch.llm.simhash import NO_ID
 from lakesearch.session import written
@@ -38,7 +39,13 @@ def language_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     found = langid.identify(keyed, ["row_id", "row_hash", "code"], text, F.col("lang"), F.col("source"), model)
     modelled = F.col("code").isin("", *model.classes)
     rejected = found.where((F.col("n_grams") == 0) | (F.col("lang") == langid.UND) & modelled).select("row_id", "row_hash").distinct()
-    return without(keyed, rejected, ["row_id", "row_hash"]).select(docs.columns)
+    kept = without(keyed, rejected, ["row_id", "row_hash"])
+    keys = ["row_id", "row_hash", "code"]
+    other = found.where((F.col("lang") != langid.UND) & (F.col("lang") != F.col("code"))).groupBy(*keys).agg(F.min("lang").alias("found_lang"))
+    other = written(other)
+    few = other.count() <= BROADCAST_ROWS  # three short columns a row
+    kept = kept.join(F.broadcast(other) if few else other, keys, "left")
+    return kept.withColumn("lang", F.coalesce("found_lang", "lang")).select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
