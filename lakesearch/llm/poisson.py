@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakesearch.functions.once import once
+
 #: Largest rate that one draw stands for, and terms of its distribution function.
 RATE_STEP = 16
 TERMS = 80
@@ -75,18 +77,15 @@ def numbered(docs: DataFrame) -> DataFrame:
 def replicate(docs: DataFrame, by: str, source_rates: DataFrame, seed: int, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents, each `n_copies` times, numbered by `copy` from 1, globally shuffled."""
     draws = F.greatest(F.ceil(F.col("rate") / RATE_STEP), F.lit(1)).cast("int")
-    name, n_draws, f_, row, place = (_OWN + c for c in ("name", "draws", "f", "row", "place"))
+    name, n_draws, f_, row, draws_, place = (_OWN + c for c in ("name", "n_draws", "f", "row", "draws", "place"))
     table = source_rates.select(F.col("name").alias(name), draws.alias(n_draws), _distribution(F.col("rate") / draws).alias(f_))
     rows = numbered(docs.drop("copy", "n_copies")).withColumn(name, F.coalesce(F.col(by), F.lit(""))).join(table, name)
     digest = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
-    rows = rows.withColumn(row, F.concat_ws("|", F.coalesce(F.col(key).cast("string"), F.lit("")), digest, F.col(_OWN + "number").cast("string")))
-
-    def one(i: Column) -> Column:
-        u = uniform(F.lit(seed), F.col(row), i)
-        return F.size(F.filter(f_, lambda f: f <= u))
-
-    n = F.aggregate(F.sequence(F.lit(1), F.col(n_draws)), F.lit(0), lambda s, i: s + one(i))
-    rows = rows.withColumn("n_copies", n).where("n_copies > 0")
+    rows = once(rows, **{row: F.concat_ws("|", F.coalesce(F.col(key).cast("string"), F.lit("")), digest, F.col(_OWN + "number").cast("string"))})
+    # A row's numbers first, as an array, so that each is hashed once and not for every term.
+    rows = once(rows, **{draws_: F.transform(F.sequence(F.lit(1), F.col(n_draws)), lambda i: uniform(F.lit(seed), F.col(row), i))})
+    n = F.aggregate(draws_, F.lit(0), lambda s, u: s + F.size(F.filter(f_, lambda f: f <= u)))
+    rows = once(rows, n_copies=n).where("n_copies > 0")
     rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
     rows = rows.withColumn(place, F.md5(F.concat_ws("|", F.lit(f"{seed}#place"), F.col(row), F.col("copy").cast("string")).cast("binary")))
     kept = [*(c for c in docs.columns if c not in ("copy", "n_copies")), "n_copies", "copy"]
