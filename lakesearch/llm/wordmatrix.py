@@ -33,7 +33,7 @@ from lakesearch.llm.common import whole_text
 from lakesearch.session import written
 
 #: Text of one shard. Larger shards repeat fewer words; a task holds about ten times this.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 12 << 20
 #: Words in one row of a shard's dictionary.
 WORDS_A_ROW = 1024
 #: Bits of a word's number within its task.
@@ -115,6 +115,7 @@ def local_shards(rows: DataFrame, text: str = "text", flags: dict[str, Callable[
                 if size >= SHARD_BYTES:
                     yield from shard(slices, number)
                     number, slices, size = number + 1, [], 0
+                    pa.default_memory_pool().release_unused()  # the worker lives on; what a shard took goes back
         if slices:
             yield from shard(slices, number)
 
