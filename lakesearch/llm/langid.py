@@ -27,11 +27,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakesearch.llm.bpe import in_slices
 from lakesearch.session import written
 
 BUCKETS = 1 << 16
 UND = "und"
 LANGUAGE_TEXTS = 500
+#: Languages that get a model: those with the most texts. A model takes 256 kB; all other codes are `other`.
+MAX_LANGUAGES = 100
+SALTS = 32
 SAMPLE_CHARS = 100_000
 #: Weight of one trigram: it shares two bytes with each neighbour.
 TEMPER = 1 / 3
@@ -85,8 +89,14 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     rows = labelled.select(F.substring(F.col(text), 1, SAMPLE_CHARS).alias("text"), language_code(F.col(lang)).alias("lang")).where(f"text is not null and lang not in ('', '{UND}')")
     rows = rows.withColumn("h", F.xxhash64("text", "lang"))
     # The hashes are chosen first, so that no more texts than those of the sample are moved.
-    first = Window.partitionBy("lang").orderBy("h")
-    chosen = rows.select("lang", "h").distinct().withColumn("n", F.row_number().over(first)).where(F.col("n") <= LANGUAGE_TEXTS).select("lang", "h")
+    hashes = rows.select("lang", "h").distinct()
+    languages = hashes.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).select("lang")
+    # In two steps, so that no task ranks all texts of a frequent language.
+    chosen = hashes.join(F.broadcast(languages), "lang").withColumn("salt", F.pmod("h", F.lit(SALTS)))
+    for by in (["lang", "salt"], ["lang"]):
+        first = Window.partitionBy(*by).orderBy("h")
+        chosen = chosen.withColumn("n", F.row_number().over(first)).where(F.col("n") <= LANGUAGE_TEXTS).drop("n")
+    chosen = chosen.drop("salt")
     sample = rows.join(F.broadcast(chosen), ["lang", "h"]).dropDuplicates(["lang", "h"])
 
     def count(texts: pd.DataFrame) -> pd.DataFrame:
@@ -115,7 +125,7 @@ def _evidence(rows: DataFrame, model: Model, keys: list[str]) -> DataFrame:
     kept = [*keys, "host", "domain", "suffix", "declared"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in in_slices(whole, whole.schema.get_field_index("text"))):
             scored = [model.score(t or "") for t in batch.column("text").to_pylist()]
             ll = np.array([s for _, s in scored]).reshape(len(scored), k)
             post = np.exp(ll - ll.max(axis=1, keepdims=True))
@@ -136,7 +146,7 @@ def identify(rows: DataFrame, keys: list[str], text: Column, declared: Column, h
     said = language_code(declared)
     said = F.when(said.isin(classes[:-1]), said).when(said == "", F.lit("")).otherwise(F.lit("other"))
     renamed = [F.col(c).alias(f"key_{i}") for i, c in enumerate(keys)]
-    inputs = rows.select(*renamed, text.alias("text"), said.alias("declared"), *[c.alias(n) for n, c in address_parts(host).items()])
+    inputs = rows.select(*renamed, F.coalesce(text, F.lit("")).alias("text"), said.alias("declared"), *[c.alias(n) for n, c in address_parts(host).items()])
     # A written table of short rows: the sums below and the last join start from it.
     seen = written(_evidence(inputs, model, [f"key_{i}" for i in range(len(keys))]))
 

@@ -110,6 +110,13 @@ def test_poisson_counts(spark, docs, empty):
     assert poisson.replicate(empty, "source", poisson.rates(empty, "source"), 1).count() == 0
 
 
+def test_dirty_language_codes_get_no_model_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 2)
+    rows = [(f"the words of text number {i}", "en") for i in range(30)] + [(f"die worte von text nummer {i}", "de") for i in range(20)]
+    rows += [(f"odd {i}", f"x{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}") for i in range(90)]
+    assert langid.fit(spark.createDataFrame(rows, "text string, lang string")).classes == ["de", "en", "und"]
+
+
 @pytest.mark.parametrize("same_text", [False, True])
 @pytest.mark.parametrize("seed", [1, 2, 3, 4])
 def test_poisson_draws_rows_without_an_id_one_by_one(spark, seed, same_text):
