@@ -1,4 +1,4 @@
-"""Table schemas, from raw message to verdict row."""
+"""Table schemas, from raw message to verdict row. Names and order of the fields are fixed values."""
 
 from __future__ import annotations
 

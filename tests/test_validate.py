@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lakesearch.operators import filters, validate
 
-GOOD = {"id": 1, "title": "Show HN: My tool", "by": "alice", "time": 1234567890, "type": "story", "url": "https://example.com"}
+GOOD = {"id": 71, "title": "A map of tides", "by": "mara", "time": 1700000071, "type": "story", "url": "https://tides.test/map"}
 
 
 def judge(spark, values, key="k"):
@@ -25,7 +25,7 @@ def story(drop=(), **changes):
 def fields():
     return {
         "url only": (story(), None),
-        "text only": (story(drop=("url",), text="<p>What do you think?</p>"), None),
+        "text only": (story(drop=("url",), text="<div>Drawn by hand.</div>"), None),
         "title missing": (story(drop=("title",)), "validation_failed: Field required"),
         "title empty": (story(title=""), "validation_failed: String should have at least 1 character"),
         "author missing": (story(drop=("by",)), "validation_failed: Field required"),
