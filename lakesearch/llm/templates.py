@@ -5,19 +5,25 @@ lies in. Tokens that occur equally often on every page of the host (they share t
 vector) form an equivalence class; a class is large if enough pages of the host have it.
 Classes nest by the tags they lie in, and together they are the host's template: what lies
 between two of its tokens is a slot. Slots gather statistics over all pages (text, links, whether
-the text varies). Tags of menus, headers, notices, comments and the like hold no main text. Of
-the other slots all whose text varies from page to page are taken; those that say the same
-on every page, or hold mostly links, only inside the container that holds most of the host's text.
+the text varies), and these decide: the holder is the container with most of the text that
+varies. Inside it all slots are taken but link lists and headers that say the same on every page. Beside it
+slots are taken whose text varies and is not mostly links; if the holder has the host's top
+heading, only those with a good share of the host's text.
 
-Occurrence vectors are compared by their hashes: the exclusive or, over pages, of a hash
-of page and count, a grouped aggregation with map-side sums. A host's template has few rows
-whatever its number of pages; hosts with fewer than MIN_PAGES pages share one template
-deduced from all hosts. Text in tags too rare for the template is taken unless it is mostly
-links; a page without text in slots is read by its own tags.
+Names of tags and classes (menus, notices, comments and the like) are a prior on slots: their text
+counts less in the search for the holder, and they are left out, but never a tag around most of
+the host's text. `words=False` turns the prior off. A page without the host's holder, and any
+page of a host without a holder below its body, is decided in the same way by its own text.
+
+Occurrence vectors are compared by their hashes: the sum, over pages, of a hash of page and
+count, a grouped aggregation with map-side sums. A host's template has few rows whatever its
+number of pages; PRIOR_PAGES pages with the mean counts of all hosts are added to each
+host's, so that small hosts lean on all others, and large ones do not.
 
 Defined results: null html counts as empty; an empty page and a page without text in slots
 give an empty text; a page cut off in a tag ends before it; a null or broken url is the
-host without name; repeated rows give repeated rows; an empty table gives no rows.
+host without name; repeated rows give repeated rows, also in the counts; pages that share an id or
+have none count as one page seen often; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +31,9 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 from html import unescape
+from typing import NamedTuple
 
 import pandas as pd
 import pyarrow as pa
@@ -35,22 +43,28 @@ from pyspark.sql import functions as F
 from lakesearch.llm.bpe import in_slices
 from lakesearch.session import written
 
-MIN_PAGES = 3
 #: A class must be on this share of the host's pages.
 MIN_SHARE = 0.2
-#: The container is the innermost one with this share of the text in slots; it decides on fixed slots only.
+#: So many pages with the mean counts of all hosts are added to each host.
+PRIOR_PAGES = 3
+#: The holder is the innermost container with this share of the text.
 CONTAINER_SHARE = 0.6
+#: Text in a tag whose name speaks against it counts so much in the search for the holder.
+DOUBT = 0.25
+#: Beside a holder with the top heading, slots from this share of the host's text on are taken.
+BESIDE_SHARE = 0.1
 #: Stands for all hosts together.
 ALL_HOSTS = "*"
 
 # ---- fixed values: element names and words of class names and ids ----------
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template iframe svg math object canvas audio video noembed noframes xmp".split())
+RAW = set("script style noscript template iframe svg canvas audio video noembed noframes xmp".split())
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rb rp rt s samp "
     "small span strike strong sub sup time tt u var wbr br img".split()
 )
-OUTSIDE = set("head title nav header footer aside form button select textarea option dialog menu".split()) | RAW
+HARD = set("head title button select textarea option".split()) | RAW
+OUTSIDE = set("nav header footer aside form dialog menu".split())
 MAIN = set("article main".split())
 OUTSIDE_WORDS = set(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu "
@@ -169,36 +183,97 @@ class Page:
         del self._paths[depth + 1 :]
 
 
-def outside(path: str) -> bool:
-    """Whether a tag of the path is of a kind that holds no main text."""
-    for step in path.split("/"):
-        name, *words = step.split(".")
-        if name in OUTSIDE or name not in ("html", "body", *MAIN) and not OUTSIDE_WORDS.isdisjoint(words):
+HEADING = re.compile(r"h[1-6](?=\.|$)")
+SMALL = re.compile(r"(?:p|h[1-6]|li|td|pre|blockquote)(?=\.|$)")
+
+
+@lru_cache(1 << 16)
+def _doubtful(step: str, inside: bool = False) -> bool:
+    """Whether the name or words of a tag speak against its text; a header may stand inside an article."""
+    name, *words = step.split(".")
+    named = ({name} & OUTSIDE) | (set() if name in ("html", "body", *MAIN) else OUTSIDE_WORDS.intersection(words))
+    return bool(named - {"header"} if inside else named)
+
+
+@lru_cache(1 << 16)
+def hard(path: str) -> bool:
+    """Whether a tag of the path never holds text of the page."""
+    return any(step.split(".", 1)[0] in HARD for step in path.split("/"))
+
+
+def within(path: str, holder: str) -> bool:
+    return not holder or path == holder or path.startswith(holder + "/")
+
+
+def vetoed(path: str, holder: str, spine: str) -> bool:
+    """Whether a doubtful tag lies around the text that is not around most of the host's text."""
+    around = ""
+    for step in path.split("/")[1:]:
+        inside = holder != "" and within(around, holder)
+        around = f"{around}/{step}"
+        if not within(spine, around) and _doubtful(step, inside):
             return True
     return False
 
 
-def _rank(path: str) -> int:
-    name, *words = path.rsplit("/", 1)[-1].split(".")
-    return 2 if name in MAIN or "main" in words and name == "div" else 1 if not MAIN_WORDS.isdisjoint(words) else 0
+class Slot(NamedTuple):
+    path: str
+    chars: float
+    links: float
+    varies: bool
+    weight: float  # of its text: less than one if it is the same on every page
+
 
+class Rule(NamedTuple):
+    """What a host's slots say: holder, deepest tag around half of the text, and the slots to leave or take."""
 
-def container(slots: dict[str, tuple[int, int]]) -> str:
-    """The path that holds the main text, from (text, link text) of each slot's path."""
-    mass: dict[str, int] = defaultdict(int)
-    for path, (chars, links) in slots.items():
-        if outside(path):
-            continue
-        steps = path.split("/")
+    holder: str = ""
+    spine: str = ""
+    closed: bool = False
+    dropped: frozenset[str] = frozenset()
+    beside: frozenset[str] = frozenset()
+
+
+def _rank(path: str, words: bool) -> int:
+    name, *named = path.rsplit("/", 1)[-1].split(".")
+    return 0 if not words else 2 if name in MAIN or "main" in named and name == "div" else 1 if not MAIN_WORDS.isdisjoint(named) else 0
+
+
+def decide(slots: list[Slot], words: bool = True) -> Rule:
+    slots = [s for s in slots if s.chars and not hard(s.path)]
+    mass: dict[str, float] = defaultdict(float)
+    for s in slots:
+        steps = s.path.split("/")
+        doubts = sum(_doubtful(step) for step in steps) if words else 0
+        own = s.weight * max(0.0, s.chars - 2 * s.links) * DOUBT**doubts
         for i in range(1, len(steps) + 1):
-            mass["/".join(steps[:i])] += max(0, chars - 2 * links)
-    total = mass.get("", 0)
-    fit = [p for p, m in mass.items() if m >= CONTAINER_SHARE * total and m > 0]
-    # A named container first; among equals the innermost that still holds most of the text.
-    named = [p for p in fit if _rank(p)]
+            mass["/".join(steps[:i])] += own
+    total = mass.get("", 0.0)
+    if total <= 0:
+        return Rule()
+    fit = [p for p, m in mass.items() if m >= CONTAINER_SHARE * total]
+    spine = max((p for p, m in mass.items() if m > total / 2), key=lambda p: p.count("/"))
+    # A container named as one first; among equals the innermost that still holds most of the text.
+    named = [p for p in fit if _rank(p, words)]
     if named:
-        return max(named, key=lambda p: (_rank(p), -p.count("/"), p))
-    return max((p for p in fit if not re.fullmatch(r".*/(p|h[1-6]|li|td|pre|blockquote)[^/]*", p)), key=lambda p: (p.count("/"), p), default="")
+        holder = max(named, key=lambda p: (_rank(p, words), -p.count("/"), p))
+    else:
+        holder = max((p for p in fit if not SMALL.match(p.rsplit("/", 1)[-1])), key=lambda p: (p.count("/"), p), default="")
+    open_ = [s for s in slots if not (words and vetoed(s.path, holder, spine))]
+    headings = [(m[0], within(s.path, holder)) for s in open_ if s.varies and 2 * s.links <= s.chars and (m := HEADING.match(s.path.rsplit("/", 1)[-1]))]
+    closed = bool(headings) and (min(headings)[0], True) in headings
+    dropped, beside = set(), set()
+    for s in open_:
+        listed = 2 * s.links > s.chars
+        if within(s.path, holder):
+            headed = words and any(_doubtful(step) for step in s.path[len(holder) :].split("/")) and not within(spine, s.path)
+            if not s.varies and (listed or headed):
+                dropped.add(s.path)
+        elif s.varies and not listed and (not closed or mass[s.path] >= BESIDE_SHARE * total):
+            beside.add(s.path)
+        else:
+            dropped.add(s.path)
+    return Rule(holder, spine, closed, frozenset(dropped), frozenset(beside))
 
 
 def slot_of(path: str, template: set[str]) -> str:
@@ -208,31 +283,32 @@ def slot_of(path: str, template: set[str]) -> str:
     return path
 
 
-def dropped_slots(tokens: list[tuple[str, int, int, bool]], template: set[str]) -> list[str]:
-    """Slots that hold no main text outside the container, from (token, text, link text, varies)."""
-    sums: dict[str, list] = {}
-    for token, chars, links, varies in tokens:
-        if chars:
-            s = sums.setdefault(slot_of(token, template), [0, 0, False])
-            s[0] += chars
-            s[1] += links
-            s[2] = s[2] or varies
-    return sorted(slot for slot, (chars, links, varies) in sums.items() if not varies or 2 * links > chars)
+def own_rule(page: Page, words: bool = True) -> Rule:
+    """The rule that the page's own text gives: nothing is known of what varies."""
+    sums: dict[str, list[int]] = {}
+    for path, text, links in page.blocks:
+        s = sums.setdefault(path, [0, 0])
+        s[0] += len(text)
+        s[1] += links
+    return decide([Slot(path, chars, links, True, 1.0) for path, (chars, links) in sums.items()], words)
 
 
-def main_text(page: Page, template: set[str], holder: str, dropped: set[str]) -> str:
+def main_text(page: Page, template: set[str], rule: Rule, words: bool = True) -> str:
     """The blocks of the page's main text, two line ends between them."""
+    if rule.holder.count("/") < 3 and rule.holder.rsplit("/", 1)[-1].split(".")[0] in ("", "html", "body") or rule.holder not in page.tokens:
+        own = own_rule(page, words)
+        # The slots that the host's pages have shown to repeat stay out.
+        rule, template = own._replace(dropped=own.dropped | {d for d in rule.dropped if not within(d, own.holder)}), set(page.tokens)
 
     def kept(path: str, text: str, links: int) -> bool:
-        if path == holder or path.startswith(holder + "/"):
-            return True
+        if hard(path) or words and vetoed(path, rule.holder, rule.spine):
+            return False
         slot = slot_of(path, template)
-        return slot not in dropped or path != slot and 2 * links <= len(text)
+        if rule.closed and not within(path, rule.holder):
+            return slot in rule.beside
+        return slot not in rule.dropped if path == slot or slot in rule.beside else 2 * links <= len(text) or within(path, rule.holder)
 
-    blocks = [b for b in page.blocks if not outside(b[0])]
-    # Nothing found: the host's template does not fit, and the page's own tags decide.
-    found = [b for b in blocks if kept(*b)] or [b for b in blocks if 2 * b[2] <= len(b[1])] or blocks
-    return "\n\n".join(text for _, text, _ in found)
+    return "\n\n".join(text for path, text, links in page.blocks if kept(path, text, links))
 
 
 def _token_counts(pages: DataFrame) -> DataFrame:
@@ -261,7 +337,7 @@ def _token_counts(pages: DataFrame) -> DataFrame:
                         s = sums.setdefault((host, token), [0, 0, 0, 0, None, None])
                         chars, links = mass.get(token, (0, 0))
                         s[0] += 1
-                        s[1] ^= xxhash.xxh64_intdigest(f"{key}|{n}")
+                        s[1] = (s[1] + xxhash.xxh64_intdigest(f"{key}|{n}")) % (1 << 64)
                         s[2] += chars
                         s[3] += links
                         if token in texts:
@@ -276,23 +352,40 @@ def _token_counts(pages: DataFrame) -> DataFrame:
 
 
 def classes(counts: DataFrame) -> DataFrame:
-    """(host, token, class, pages, chars, links, varies) of the tokens in large classes.
+    """(host, token, class, pages, host_pages, chars, links, varies) of the tokens in large classes.
 
-    A class is named by its occurrence vector. For hosts with few pages `host` is ALL_HOSTS.
+    A class is named by its occurrence vector. Rows of ALL_HOSTS are the sums over hosts; a host's own
+    are those that PRIOR_PAGES more pages could make large.
     """
-    sums = [F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"), F.sum("chars").alias("chars"), F.sum("links").alias("links"), F.min("least").alias("least"), F.max("most").alias("most")]
-    own = written(counts.groupBy("host", "token").agg(*sums))
-    pooled = own.groupBy("token").agg(*sums).select(F.lit(ALL_HOSTS).alias("host"), "token", "pages", "vector", "chars", "links", "least", "most")
-    rows = own.unionByName(pooled)
-    sizes = rows.where("token = ''").select("host", F.col("pages").alias("host_pages")).where(F.col("host_pages") >= MIN_PAGES)
-    large = rows.where("token <> ''").join(sizes, "host").where(F.col("pages") >= F.greatest(F.lit(MIN_PAGES), F.col("host_pages") * MIN_SHARE))
-    return large.select("host", "token", F.hex("vector").alias("class"), "pages", "chars", "links", F.coalesce(F.col("least") < F.col("most"), F.lit(False)).alias("varies"))
+
+    def sums(vector: str) -> list[Column]:
+        return [F.sum("pages").alias("pages"), F.sum(vector).alias("vector"), F.sum("chars").alias("chars"), F.sum("links").alias("links"), F.min("least").alias("least"), F.max("most").alias("most")]
+
+    # Sums of 64-bit hashes go beyond a long.
+    own = written(counts.withColumn("wide", F.col("vector").cast("decimal(20,0)")).groupBy("host", "token").agg(*sums("wide")))
+    pooled = own.groupBy("token").agg(*sums("vector")).select(F.lit(ALL_HOSTS).alias("host"), "token", "pages", F.col("vector").cast("string").alias("vector"), "chars", "links", "least", "most")
+    rows = own.withColumn("vector", F.col("vector").cast("string")).unionByName(pooled)
+    sizes = rows.where("token = ''").select("host", F.col("pages").alias("host_pages"))
+    prior = F.when(F.col("host") == ALL_HOSTS, 0).otherwise(PRIOR_PAGES)
+    large = rows.where("token <> ''").join(sizes, "host").where(F.col("pages") + prior >= (F.col("host_pages") + prior) * MIN_SHARE)
+    return large.select("host", "token", F.col("vector").alias("class"), "pages", "host_pages", "chars", "links", F.coalesce(F.col("least") < F.col("most"), F.lit(False)).alias("varies"))
+
+
+RULE = "host string, template array<string>, holder string, spine string, closed boolean, dropped array<string>, beside array<string>"
 
 
-def deduce(pages: DataFrame) -> DataFrame:
-    """(host, template array<string>, holder, dropped array<string>): one row a host with enough pages, and ALL_HOSTS."""
+def deduce(pages: DataFrame, words: bool = True) -> DataFrame:
+    """One row a host, and ALL_HOSTS: its template and rule (see RULE)."""
+    found = written(classes(_token_counts(pages)))
+    # Tokens that MIN_SHARE of all pages hold: few, whatever the number of hosts.
+    common = {r.token: (r.pages / r.host_pages, r.chars / r.host_pages, r.links / r.host_pages, r.varies) for r in found.where(F.col("host") == ALL_HOSTS).collect()}
 
     def nest(rows: pd.DataFrame) -> pd.DataFrame:
+        host, n = rows["host"].iloc[0], int(rows["host_pages"].iloc[0])
+        prior = 0 if host == ALL_HOSTS else PRIOR_PAGES
+        none = (0.0, 0.0, 0.0, False)
+        large = [p + prior * common.get(t, none)[0] >= MIN_SHARE * (n + prior) for t, p in zip(rows["token"], rows["pages"])]
+        rows = rows[large]
         # A class nests in the one around its outermost token; its tokens that lie elsewhere are left out.
         members: dict[str, set[str]] = defaultdict(set)
         of = dict(zip(rows["token"], rows["class"]))
@@ -310,24 +403,35 @@ def deduce(pages: DataFrame) -> DataFrame:
             return path and of[path]
 
         nests = {name: outer(min(tokens, key=lambda t: (t.count("/"), t))) for name, tokens in members.items()}
-        holder = container({t: (c, k) for t, c, k in zip(rows["token"], rows["chars"], rows["links"])})
-        template = sorted({t for t, name in of.items() if outer(t) == nests[name]} | ({holder} if holder else set()))
-        dropped = dropped_slots(list(zip(rows["token"], rows["chars"], rows["links"], rows["varies"])), set(template))
-        return pd.DataFrame({"host": [rows["host"].iloc[0]], "template": [template], "holder": [holder], "dropped": [dropped]})
+        template = {t for t, name in of.items() if outer(t) == nests[name]}
+        slots: dict[str, list] = {}
+        for token, chars, links, varies in zip(rows["token"], rows["chars"], rows["links"], rows["varies"]):
+            s = slots.setdefault(slot_of(token, template), [0.0, 0.0, 0.0, False])
+            shared = common.get(token, none)
+            # One page alone shows nothing of what varies: then all hosts tell, and unknown text may vary.
+            changes = bool(varies) or n == 1 and (token not in common or shared[3])
+            lent = (prior * shared[1], prior * shared[2])
+            s[0] += chars + lent[0]
+            s[1] += links + lent[1]
+            s[2] += chars * (1.0 if changes else 1.0 / n) + (lent[0] if shared[3] else 0.0)
+            s[3] = s[3] or changes
+        given = [Slot(path, chars, links, varies, min(1.0, mass / chars) if chars else 0.0) for path, (chars, links, mass, varies) in slots.items()]
+        rule = decide(given, words)
+        template |= {rule.holder} - {""}
+        return pd.DataFrame({"host": [host], "template": [sorted(template)], "holder": [rule.holder], "spine": [rule.spine], "closed": [rule.closed], "dropped": [sorted(rule.dropped)], "beside": [sorted(rule.beside)]})
 
     # A host has at most the tokens that MIN_SHARE of its pages hold: a small group.
-    return classes(_token_counts(pages)).groupBy("host").applyInPandas(nest, "host string, template array<string>, holder string, dropped array<string>")
+    return found.groupBy("host").applyInPandas(nest, RULE)
 
 
-def extract(pages: DataFrame, key: str, host: Column, html: str = "html") -> DataFrame:
+def extract(pages: DataFrame, key: str, host: Column, html: str = "html", words: bool = True) -> DataFrame:
     """(key columns, text) of every page; `key` names a column, or several by commas."""
     keys = [k.strip() for k in key.split(",")]
     named = pages.select(*[F.col(k).alias(f"key_{i}") for i, k in enumerate(keys)], F.coalesce(F.lower(host), F.lit("")).alias("host"), F.coalesce(F.col(html), F.lit("")).alias("html"))
     counted = named.select("host", F.coalesce(F.col("key_0").cast("string"), F.lit("")).alias("id"), "html")
-    templates = written(deduce(counted))
-    shared = templates.where(F.col("host") == ALL_HOSTS).first()
-    common = (shared["template"], shared["holder"], shared["dropped"]) if shared else ([], "", [])
-    joined = named.join(templates.where(F.col("host") != ALL_HOSTS), "host", "left").select(*[f"key_{i}" for i in range(len(keys))], "html", "template", "holder", "dropped")
+    templates = written(deduce(counted, words))
+    parts = ["template", "holder", "spine", "closed", "dropped", "beside"]
+    joined = named.join(templates.where(F.col("host") != ALL_HOSTS), "host", "left").select(*[f"key_{i}" for i in range(len(keys))], "html", *parts)
     kinds = ", ".join(f"key_{i} {pages.schema[k].dataType.simpleString()}" for i, k in enumerate(keys))
     n = len(keys)
 
@@ -335,10 +439,10 @@ def extract(pages: DataFrame, key: str, host: Column, html: str = "html") -> Dat
         for whole in batches:
             for batch in in_slices(whole, n):
                 texts = []
-                for html, template, holder, dropped in zip(*(batch.column(n + i).to_pylist() for i in range(4))):
-                    if template is None:
-                        template, holder, dropped = common
-                    texts.append(main_text(Page(html), set(template), holder, set(dropped)))
+                for html, template, holder, spine, closed, dropped, beside in zip(*(batch.column(n + i).to_pylist() for i in range(7))):
+                    # A host without any token has no template.
+                    rule = Rule() if template is None else Rule(holder, spine, closed, frozenset(dropped), frozenset(beside))
+                    texts.append(main_text(Page(html), set(template or ()), rule, words))
                 yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(texts, pa.string())], names=[*[f"key_{i}" for i in range(n)], "text"])
 
     found = joined.mapInArrow(run, f"{kinds}, text string")
