@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from lakesearch.llm.queries import MIX_SEED, N_SHARDS
+from lakesearch.llm.shards import HEAVY_PARTS
 
 # CRC-32 over a list of bytes: 256 table entries from the polynomial, then one step a byte.
 CRC_TABLE = """bits AS (
@@ -22,17 +23,34 @@ def crc32_of(t: str) -> str:
 OP4 = f"""
 WITH RECURSIVE {CRC_TABLE}, sized AS (
   SELECT doc_id, coalesce(text, '') AS t, strlen(coalesce(text, ''))::BIGINT + 1 AS size, md5(coalesce(text, '')) AS digest FROM documents
-), placed AS (
-  SELECT *, row_number() OVER w - 1 AS number, (sum(size) OVER w)::BIGINT - size AS position, (sum(size) OVER ())::BIGINT AS total
-  FROM sized WINDOW w AS (ORDER BY digest, doc_id)
 ), grouped AS (
-  SELECT *, min(position) OVER (PARTITION BY digest) AS a, (sum(size) OVER (PARTITION BY digest))::BIGINT AS n FROM placed
+  SELECT digest, sum(size)::BIGINT AS n, (sum(sum(size)) OVER ())::BIGINT AS total FROM sized GROUP BY digest
+), heavy AS (
+  SELECT digest, n, row_number() OVER (ORDER BY n DESC, digest) AS k FROM grouped WHERE n * {N_SHARDS * HEAVY_PARTS} > total AND n * {N_SHARDS} <= total
+), packed AS (
+  SELECT 0::BIGINT AS k, [0::BIGINT FOR i IN range({N_SHARDS})] AS loads, -1::BIGINT AS shard
+  UNION ALL
+  SELECT h.k, list_transform(loads, lambda v, i: CASE WHEN i = list_position(loads, list_min(loads)) THEN v + h.n ELSE v END), list_position(loads, list_min(loads))::BIGINT - 1
+  FROM packed p JOIN heavy h ON h.k = p.k + 1
+), lacking AS (
+  SELECT s, list_sum(loads)::HUGEINT AS load, greatest(0, total - {N_SHARDS} * loads[s + 1])::HUGEINT AS lack, total
+  FROM (SELECT arg_max(loads, k) AS loads FROM packed), (SELECT any_value(total) AS total FROM grouped), range({N_SHARDS}) t(s)
+), cuts AS (
+  SELECT list(((2 * (total - load) * up + everything - 1) // everything)) FILTER (s > 0) AS places, any_value(load) AS load
+  FROM (SELECT *, coalesce(sum(lack) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::HUGEINT AS up, greatest(1, sum(lack) OVER ())::HUGEINT AS everything FROM lacking)
+), placed AS (
+  SELECT doc_id, t, size, s.digest, p.shard AS block, (sum(size) OVER w)::HUGEINT - size - load AS position
+  FROM sized s LEFT JOIN heavy h ON s.digest = h.digest LEFT JOIN packed p ON h.k = p.k, cuts
+  WINDOW w AS (ORDER BY coalesce(p.shard, {N_SHARDS}), s.digest, doc_id ROWS UNBOUNDED PRECEDING)
+), met AS (
+  SELECT p.*, CASE WHEN n * {N_SHARDS} <= total THEN 2 * min(position) OVER (PARTITION BY p.digest) + n ELSE 2 * position + size END AS middle
+  FROM placed p JOIN grouped g ON p.digest = g.digest
 ), cut AS (
-  SELECT *, least({N_SHARDS - 1}, ((CASE WHEN n <= total / {N_SHARDS} * 0.01 THEN a * 2 + n ELSE position * 2 + size END) * {N_SHARDS}) // (2 * total))::INT AS shard FROM grouped
+  SELECT m.*, coalesce(block, len([c FOR c IN places IF c <= middle]))::INT AS shard FROM met m, cuts
 )
 SELECT doc_id, size,
   {crc32_of("t")} AS text_crc32,
-  'bytes' AS law, shard, number - min(number) OVER (PARTITION BY shard) AS slot, NULL::INT AS grown_shard
+  'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY block IS NULL, digest, doc_id) - 1 AS slot, NULL::INT AS grown_shard
 FROM cut, crc
 """
 

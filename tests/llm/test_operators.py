@@ -97,6 +97,23 @@ def test_byte_shards_are_near_equal(spark):
     assert len(sizes) == 8 and max(sizes) - min(sizes) < 0.03 * sum(sizes) / 8
 
 
+def test_byte_shards_keep_groups_that_fit(spark):
+    """Groups of copies up to a whole shard stay together, and the shards are near equal all the same."""
+    copies = [4000, 900, 800, 700, 600, 300, 200, 40, 30, 3]
+    rows = [(i * 10_000 + j, f"group {i} " + "x" * 40) for i, n in enumerate(copies) for j in range(n)] + [(900_000 + i, f"single text {i:05}") for i in range(9000)]
+    found = shards.byte_shards(shards.sized(spark.createDataFrame(rows, "doc_id long, text string")), 8).collect()
+    total = sum(r["size"] for r in found)
+    of, sizes = {}, [0] * 8
+    for r in found:
+        of.setdefault(r.digest, []).append(r)
+        sizes[r.shard] += r["size"]
+    assert len(found) == len(rows) and max(sizes) - min(sizes) < 0.03 * total / 8
+    for group in of.values():
+        assert sum(r["size"] for r in group) * 8 > total or len({r.shard for r in group}) == 1
+    for s in range(8):
+        assert sorted(r.slot for r in found if r.shard == s) == list(range(sum(r.shard == s for r in found)))
+
+
 def test_poisson_counts(spark, docs, empty):
     rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 10 < 8, "big").otherwise("small").alias("source"), F.lit(9).alias("copy"), F.lit("t").alias("text"), F.lit(3).alias("_place"))
     mixed = poisson.replicate(rows, "source", poisson.rates(rows, "source", {"big": 1.0, "small": 3.0}), 1)
