@@ -99,7 +99,7 @@ def build_snippet(title: Column | str, text: Column | str, url: Column | str) ->
 
 def tokenize(c: Column | str) -> Column:
     """Lower-case, split on whitespace. No stop words; punctuation stays."""
-    return F.filter(F.split(F.lower(_col(c)), WHITESPACE), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(_col(c)), WHITESPACE), "")
 
 
 def split_title(title: Column | str, text: Column | str) -> Column:

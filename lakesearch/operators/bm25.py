@@ -7,11 +7,9 @@ travel. `doc` is a unique BIGINT that rises in corpus order, so it also breaks t
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,12 +17,12 @@ from lakesearch.functions.once import once
 from lakesearch.functions.runs import with_run_lengths
 from lakesearch.functions.text import tokenize
 from lakesearch.operators.batches import Batch, lookup_join, per_batch
+from lakesearch.operators.scoring import BEST, SCORE_DIGITS, Weights, best_of_texts, postings_of_tokens
+from lakesearch.session import written
 
 # ---- fixed values: BM25 parameters and the pool size ----
 K1, B, EPSILON = 1.5, 0.75, 0.25
 CANDIDATES = 20
-# Scores are compared at this precision: terms summed in another order must tie.
-SCORE_DIGITS = 9
 # ---------------------------------------------------------
 
 TERM, DOCS, LENGTH = 0, 1, 2
@@ -54,11 +52,8 @@ def doc_lengths(docs: DataFrame) -> DataFrame:
 
 def postings_of(docs: DataFrame) -> DataFrame:
     """One row per document and distinct term. Counted inside the row: no shuffle."""
-    df = once(docs, __tokens=tokenize("text"))
-    df = df.select("doc", F.size("__tokens").cast("bigint").alias("dl"), "__tokens")
-    df = with_run_lengths(df, F.col("__tokens"), "term", "tf", "__terms")
-    df = df.select("doc", "dl", F.explode("__terms").alias("t"))
-    return df.select("doc", "dl", F.coalesce("t.term", F.lit("")).alias("term"), F.col("t.tf").alias("tf"))
+    df = docs.select(F.col("doc").cast("bigint").alias("doc"), tokenize("text").alias("tokens"))
+    return df.mapInArrow(postings_of_tokens, "doc bigint, dl bigint, term string, tf bigint")
 
 
 def _counts(docs: DataFrame) -> DataFrame:
@@ -85,8 +80,8 @@ def raw_idf(n_docs: Column, df: Column) -> Column:
 
 
 def build_index(docs: DataFrame) -> Bm25Index:
-    """Index over `corpus(...)` rows, computed when used. `postings.SegmentIndex` keeps one."""
-    counts = _counts(docs)
+    """Index over `corpus(...)` rows; the counts are written, postings computed when used. `postings.SegmentIndex` keeps one."""
+    counts = written(_counts(docs))  # several passes start from it: texts are counted once
     total = lambda kind: F.max(F.when(F.col("kind") == kind, F.col("n")))
     n_docs = counts.agg(total(DOCS)).scalar()
     avgdl = counts.agg(total(LENGTH) / total(DOCS)).scalar()
@@ -134,47 +129,13 @@ def _scores(batch: Batch, index: Bm25Index) -> DataFrame:
     return _hits(batch, index, "query_id").groupBy("query_id", "doc").agg(F.sum("part").alias("score"))
 
 
-def _summed(q: np.ndarray, doc: np.ndarray, part: np.ndarray) -> tuple[np.ndarray, ...]:
-    order = np.lexsort((q, doc))
-    q, doc, part = q[order], doc[order], part[order]
-    first = np.flatnonzero(np.concatenate([[True], (q[1:] != q[:-1]) | (doc[1:] != doc[:-1])]))
-    return q[first], doc[first], np.add.reduceat(part, first)
-
-
-def _kept(best: tuple[np.ndarray, ...] | None, more: tuple[np.ndarray, ...], k: int) -> tuple[np.ndarray, ...]:
-    """The k best of each query of both."""
-    q, doc, score = more if best is None else (np.concatenate(x) for x in zip(best, more))
-    order = np.lexsort((doc, -np.round(score, SCORE_DIGITS), q))
-    first = np.searchsorted(q[order], q[order], "left")
-    order = order[np.arange(len(order)) - first < k]
-    return q[order], doc[order], score[order]
-
-
-def _task_best(hits: DataFrame, k: int) -> DataFrame:
-    """(n, doc, score): of each task the k best documents of each query, by hits of one document after another.
-
-    A document is summed where its hits are, so only k rows a query leave a task; a task
-    holds those, one Arrow batch, and the hits of one document.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best, open_doc = None, None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
-            if open_doc is not None:
-                rows = [np.concatenate(x) for x in zip(open_doc, rows)]
-            done = np.flatnonzero(rows[1] != rows[1][-1])
-            cut = done[-1] + 1 if len(done) else 0
-            open_doc = [x[cut:] for x in rows]
-            if cut:
-                best = _kept(best, _summed(*[x[:cut] for x in rows]), k)
-        if open_doc is not None:
-            best = _kept(best, _summed(*open_doc), k)
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in best], names=["n", "doc", "score"])
-
-    return hits.select(F.col("n").cast("int"), "doc", "part").mapInArrow(run, "n int, doc bigint, score double")
+def weights_of(rows: DataFrame) -> Weights:
+    """Weights from (n, term, w) rows of one measured batch of queries, which bounds them."""
+    held = rows.groupBy("n", "term").agg(F.sum("w").alias("w")).toArrow()
+    coded = held["term"].combine_chunks().dictionary_encode()
+    q, t, w = held["n"].to_numpy(), coded.indices.to_numpy(), held["w"].to_numpy()
+    order = np.lexsort((t, q))
+    return Weights(coded.dictionary.to_pylist(), q[order].astype(np.int64), t[order].astype(np.int64), w[order].astype(np.float64))
 
 
 def _best_scores(batch: Batch, index: Bm25Index, k: int) -> DataFrame:
@@ -183,7 +144,11 @@ def _best_scores(batch: Batch, index: Bm25Index, k: int) -> DataFrame:
         return _scores(batch, index)
     # One measured batch of queries: they are numbered, so that tasks handle numbers only.
     numbered = batch.queries.withColumn("n", F.dense_rank().over(Window.orderBy("query_id")))
-    best = _task_best(_hits(Batch(numbered, True), index, "n"), k)
+    asked = lookup_join(index.idf, query_terms(numbered, "n"), "term", "term", True)
+    weights = weights_of(asked.select("n", "term", (F.col("qtf") * F.col("idf")).alias("w")))
+    shared = index.docs.sparkSession.sparkContext.broadcast(weights)
+    rows = index.docs.select(F.col("doc").cast("bigint").alias("doc"), tokenize("text").alias("tokens"), index.avgdl.cast("double").alias("mean"))
+    best = rows.mapInArrow(best_of_texts(shared, k, K1, B), BEST)
     return best.join(F.broadcast(numbered.select("n", "query_id").distinct()), "n").select("query_id", "doc", "score")
 
 

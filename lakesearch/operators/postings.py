@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from lakesearch.operators import bm25
 from lakesearch.operators.batches import Batch
+from lakesearch.operators.scoring import BEST, best_of_postings
 from lakesearch.session import written
 from lakesearch.sources.files import Files
 from lakesearch.sources.tables import Versions
@@ -133,8 +134,8 @@ class Reader:
         raw = bm25.raw_idf(F.lit(self.n_docs), F.col("df"))
         return counts.select("term", "df", F.when(raw < 0, self.floor).otherwise(raw).alias("idf"))
 
-    def _hits(self, needs: DataFrame, terms: list[str] | None, least: list[tuple[str, float]] | None) -> DataFrame:
-        """(n, doc, part) of the postings in blocks whose `top` reaches `need` for the query."""
+    def _postings(self, needs: DataFrame, terms: list[str] | None, least: list[tuple[str, float]] | None) -> DataFrame:
+        """(doc, share, ...) of the postings in blocks whose `top` reaches `need`, with the other columns of `needs`."""
         grown = F.greatest(F.lit(1.0), F.lit(self.mean) / F.col("mean"))
         blocks = self._named(self.blocks, terms)
         if least is not None and least:
@@ -145,12 +146,16 @@ class Reader:
             for term, need in least:
                 pushed = pushed | ((F.col("term") == term) & (F.col("top") >= need / most))
             blocks = blocks.where(pushed)
+        others = [c for c in needs.columns if c not in ("term", "need")]
         hits = blocks.join(F.broadcast(needs), "term").where(F.col("top") * grown >= F.col("need"))
-        hits = hits.select("n", "w", F.explode(F.arrays_zip("docs", "tfs", "dls")).alias("p"))
-        part = F.col("w") * share(F.col("p.tfs"), F.col("p.dls"), F.lit(self.mean))
-        hits = hits.select("n", F.col("p.docs").alias("doc"), part.alias("part"))
+        hits = hits.select(*others, F.explode(F.arrays_zip("docs", "tfs", "dls")).alias("p"))
+        hits = hits.select(F.col("p.docs").alias("doc"), *others, share(F.col("p.tfs"), F.col("p.dls"), F.lit(self.mean)).alias("share"))
         return hits.join(self.removed, "doc", "left_anti") if self.has_removed() else hits
 
+    def _hits(self, needs: DataFrame, terms: list[str] | None) -> DataFrame:
+        """(n, doc, part) of the postings in blocks whose `top` reaches `need` for the query."""
+        return self._postings(needs, terms, None).select("n", "doc", (F.col("w") * F.col("share")).alias("part"))
+
     def blocks_growth(self) -> float:
         least = self.blocks.agg(F.min("mean")).first()[0]
         return self.mean / least if least else 1.0
@@ -174,7 +179,7 @@ class Reader:
         # As many blocks of each term as surely hold k of its documents, unless documents have gone.
         best = own.withColumn("at", F.row_number().over(Window.partitionBy("term").orderBy(F.col("top").desc()))).where(F.col("at") <= 1 + k // BLOCK)
         heads = written(weights.join(F.broadcast(best.groupBy("term").agg(F.max("top").alias("head"), F.min("top").alias("enough"))), "term"))
-        first = self._hits(heads.select("n", "term", "w", F.col("enough").alias("need")), terms, None)
+        first = self._hits(heads.select("n", "term", "w", F.col("enough").alias("need")), terms)
         per_doc = first.groupBy("n", "doc").agg(F.sum("part").alias("score"))
         order = Window.partitionBy("n").orderBy(F.col("score").desc())
         kth = per_doc.withColumn("at", F.row_number().over(order)).where(F.col("at") <= k).groupBy("n").agg(F.min("score").alias("kth"), F.count("*").alias("found"))
@@ -193,8 +198,15 @@ class Reader:
     def scores(self, batch: Batch, k: int) -> DataFrame:
         """(query_id, doc, score) with at least each query's k best documents among those that match."""
         numbered, needs, terms = self._needs(batch, k)
-        found = self._hits(needs, terms, self._least(needs, terms)).groupBy("n", "doc").agg(F.sum("part").alias("score"))
-        return found.join(F.broadcast(numbered.select("n", "query_id").distinct()), "n").select("query_id", "doc", "score")
+        # Of a term the blocks are read that any query needs, each once; postings meet by document,
+        # one row each however many queries ask for the term.
+        weights = bm25.weights_of(needs.select("n", "term", "w"))
+        numbers = self.spark.createDataFrame(list(enumerate(weights.terms)), "t int, term string")
+        wanted = needs.groupBy("term").agg(F.min("need").alias("need")).join(F.broadcast(numbers), "term")
+        hits = self._postings(written(wanted), terms, self._least(needs, terms))
+        shared = self.spark.sparkContext.broadcast(weights)
+        best = hits.repartition("doc").sortWithinPartitions("doc").mapInArrow(best_of_postings(shared, k), BEST)
+        return best.join(F.broadcast(numbered.select("n", "query_id").distinct()), "n").select("query_id", "doc", "score")
 
     def topk(self, batch: Batch, k: int, pad_zero: bool = True) -> DataFrame:
         """(query_id, doc, score, rank) for one measured batch, the same rows as `bm25.batch_topk`."""
