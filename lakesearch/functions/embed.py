@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from hashlib import sha1
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,27 +19,29 @@ from lakesearch.functions.text import tokenize
 # Vector width, and texts per call of a model.
 EMBEDDING_DIM = 384
 MODEL_BATCH = 64
+# Numbers of the vectors that a task makes at once.
+CELLS = 500_000
 
 Embedder = Callable[[DataFrame, str, str], DataFrame]
 
 
-def _bucket(token: Column, dim: int) -> Column:
-    return (F.conv(F.substring(F.sha1(token), 1, 4), 16, 10).cast("int") % dim).cast("int")
-
-
 def _unit_histogram(dim: int):
-    """Array of bucket numbers to its unit-length histogram, one Arrow batch at a time."""
-
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def histogram(buckets: pd.Series) -> pd.Series:
-        rows = len(buckets)
-        lengths = buckets.map(len).to_numpy()
-        cells = np.repeat(np.arange(rows, dtype=np.int64) * dim, lengths)
-        if len(cells):
-            cells += np.concatenate(buckets.to_list()).astype(np.int64)
-        counts = np.bincount(cells, minlength=rows * dim).reshape(rows, dim).astype(np.float64)
-        norm = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
-        return pd.Series(list((counts / np.where(norm > 0, norm, 1.0)).astype(np.float32)))
+    """Tokens to the unit-length histogram of their hashes: a token is hashed once a slice, and a slice holds CELLS numbers."""
+
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
+    def histogram(tokens: pa.Array) -> pa.Array:
+        lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
+        step, out = max(1, CELLS // dim), [pa.array([], pa.float32())]
+        for first in range(0, len(tokens), step):
+            coded = tokens.slice(first, step).flatten().dictionary_encode()
+            bucket = np.array([int(sha1(t.encode("utf-8")).hexdigest()[:4], 16) % dim for t in coded.dictionary.to_pylist()], np.int64)
+            rows = len(lengths[first : first + step])
+            cells = np.repeat(np.arange(rows) * dim, lengths[first : first + step])
+            cells = cells + bucket[coded.indices.to_numpy(zero_copy_only=False)] if len(cells) else cells
+            counts = np.bincount(cells, minlength=rows * dim).reshape(rows, dim).astype(np.float64)
+            norm = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
+            out.append(pa.array((counts / np.where(norm > 0, norm, 1.0)).astype(np.float32).ravel()))
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(tokens) + 1) * dim, pa.int32()), pa.concat_arrays(out))
 
     return histogram
 
@@ -44,14 +49,13 @@ def _unit_histogram(dim: int):
 def hashed_embedder(dim: int = EMBEDDING_DIM) -> Embedder:
     """Hashed bag of words, unit length: a repeatable stand-in for a sentence model.
 
-    Tokens are split and hashed in the JVM; only bucket numbers go to Python. A text
+    Texts are split in the JVM; Python hashes the distinct tokens of a slice of rows. A text
     without tokens becomes the zero vector.
     """
 
     def embed(df: DataFrame, text_col: str, out: str = "vector") -> DataFrame:
         tokens = tokenize(F.coalesce(F.col(text_col), F.lit("")))
-        df = once(df, __buckets=F.transform(tokens, lambda t: _bucket(t, dim)))
-        return once(df, **{out: _unit_histogram(dim)("__buckets")}).drop("__buckets")
+        return once(df, **{out: _unit_histogram(dim)(tokens)})
 
     return embed
 

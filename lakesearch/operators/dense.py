@@ -26,7 +26,7 @@ SCORE_DIGITS = 9
 # ----------------------
 
 # Cells of one similarity matrix in a task (rows of the slice times queries).
-_CELLS = 2_000_000
+_CELLS = 500_000
 # Interim winners of a task are merged in groups before the last step per query.
 _MERGE_GROUPS = 64
 
@@ -59,9 +59,9 @@ def _local_topk(matrix: np.ndarray, query_ids: np.ndarray, k: int, digits: int,
             lists, refs = batch.column(1), batch.column(2)
             if len(docs) and not np.all(lists.value_lengths().to_numpy(zero_copy_only=False) == dim):
                 raise ValueError(f"vector of length other than {dim}")
-            vectors = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(docs), dim)
+            vectors = lists.flatten().to_numpy(zero_copy_only=False).reshape(len(docs), dim)
             for at in range(0, len(docs), step):
-                part, part_docs = unit(vectors[at : at + step]), docs[at : at + step]
+                part, part_docs = unit(vectors[at : at + step].astype(np.float64)), docs[at : at + step]
                 # A similarity that is not a number (zero vector) ranks below all.
                 sims = np.round(part @ unit_queries, digits)
                 sims[np.isnan(sims)] = -np.inf
