@@ -105,16 +105,18 @@ class Lake:
         self.source.compact()
         return changed
 
-    def refresh(self) -> int:
+    def refresh(self, vectors: bool = True, index: bool = True) -> int:
         """Silver, then sync, then the keyword index. Safe to run again; returns new vectors.
 
-        An idle run (Bronze unchanged) writes no version of Silver and leaves the index.
+        An idle run (Bronze unchanged) writes no version of Silver and leaves the index. What is not to
+        follow now finds the changes noted when it does.
         """
         self.build_silver()
         if not self.silver.exists():
             return 0
-        added = self._follow_with_vectors()
-        self._follow_with_index()
+        added = self._follow_with_vectors() if vectors else 0
+        if index:
+            self._follow_with_index()
         if self.changes.parts() and self.store.synced_version() == self.index.silver_version() == self.silver.version():
             self.changes.clear()  # everybody has seen them
         return added

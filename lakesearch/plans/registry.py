@@ -14,7 +14,7 @@ from lakesearch.operators.batches import per_batch
 from lakesearch.plans import views
 from lakesearch.plans.refresh import Lake
 from lakesearch.schemas import SILVER_COLUMNS, STORY_FIELDS
-from lakesearch.session import configure, scratch_dir
+from lakesearch.session import configure, scratch_dir, written
 from lakesearch.sources.bronze import append_bronze, compact_bronze, partition_counts, read_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -436,7 +436,7 @@ def stage_depths(spark, sf_dir):
 @query
 def telemetry_snapshot(spark, sf_dir):
     """Stages from the judged events, Silver from the documents, labels as the ledger."""
-    counts = validate.split_counts(_judged(spark, sf_dir))
+    counts = written(validate.split_counts(_judged(spark, sf_dir)))  # one row, asked for twice: events are judged once
     stages = counts.select(F.col("total").alias("raw"), F.col("valid").alias("validated"), "dlq")
     snap = telemetry.snapshot(
         stages,
@@ -487,9 +487,10 @@ def _landed(spark, sf_dir, compact: bool = False):
         yield lake
 
 
-def _refreshed(spark, sf_dir) -> Lake:
+def _refreshed(spark, sf_dir, vectors: bool = True, index: bool = True) -> Lake:
+    """Both arrivals refreshed; of what follows Silver only that which the query returns."""
     for lake in _landed(spark, sf_dir):
-        lake.refresh()
+        lake.refresh(vectors, index)
     return lake
 
 
@@ -503,18 +504,18 @@ def bronze_compacted(spark, sf_dir):
 
 @query
 def lake_silver(spark, sf_dir):
-    return _refreshed(spark, sf_dir).silver.read().select(*SILVER_COLUMNS)
+    return _refreshed(spark, sf_dir, vectors=False, index=False).silver.read().select(*SILVER_COLUMNS)
 
 
 @query
 def lake_vectors(spark, sf_dir):
-    return _flat(_refreshed(spark, sf_dir).store.points())
+    return _flat(_refreshed(spark, sf_dir, index=False).store.points())
 
 
 @query
 def lake_index_topk(spark, sf_dir):
     """The keyword top-k from the stored index; documents by the id of their story."""
-    lake = _refreshed(spark, sf_dir)
+    lake = _refreshed(spark, sf_dir, vectors=False)
     rows = lake.silver.read()
     reader = lake.index.open(bm25.corpus(rows))
     queries = views.search_queries(spark, sf_dir).select("query_id", "query_text")

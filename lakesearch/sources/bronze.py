@@ -50,8 +50,10 @@ def append_bronze(df: DataFrame, root: str, batch: str | int) -> bool:
         for date, hour in json.loads(files.read_text(f"{record}/{name}")):
             files.delete(f"{root}/date={date}/hour={hour}/batch={batch}")
     files.write_new(f"{record}/plan-{uuid.uuid4().hex}", json.dumps(hours))
+    # An hour is one file, unless it is too large for one task: else every task has a file for every hour.
     (
         df.withColumn("batch", F.lit(str(batch)))
+        .hint("rebalance", "date", "hour")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("date", "hour", "batch")
