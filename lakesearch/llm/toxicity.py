@@ -7,12 +7,13 @@ each language, told from the text's own accented letters; scores are shifted so
 threshold of every language lies at THRESHOLD.
 
 The model is fitted on every labelled row that is not held out, whole texts: seven tenths train it, three
-tenths calibrate it. Training rows are dealt by a hash of the id over shards; a task trains one shard for
+tenths calibrate it. Training rows are dealt by a hash over shards, once; a task trains one shard for
 an epoch, and what the shards changed is averaged, number by number over those that changed it. Thresholds
 are found by a distributed sort. Every text is scored as a whole. Scoring looks at the text alone.
 
-Defined results: null and empty texts are scored as texts without words; without labels of
-both kinds every score is 0; repeated rows give repeated rows; an empty table gives no rows.
+Defined results: null and empty texts are learned and scored as texts without words; rows alike in
+id and text are learned once; without labels of both kinds every score is 0; repeated rows give
+repeated rows; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakesearch.llm.bpe import BATCH_CHARS, in_slices
-from lakesearch.llm.common import ranged
+from lakesearch.llm.common import BROADCAST_ROWS, ranged, whole_text
 from lakesearch.llm.words import word_hashes
 from lakesearch.session import written
 
@@ -35,8 +36,8 @@ THRESHOLD = 0.3
 CALIBRATION_TENTHS = 3
 #: Training rows and characters of one shard, on average: a task holds the word numbers of one.
 SHARD_ROWS, SHARD_CHARS = 4000, 20_000_000
-#: Numbers of the model that are averaged at once.
-CHUNK = 8192
+#: Numbers of the model, and shards, that are summed at once.
+CHUNK, FAN = 8192, 64
 EPOCHS, BATCH = 6, 32
 ROWS, DIM, FILTERS, WIDTHS = 1 << 15, 12, 16, (1, 2, 3)
 PREFIXES = (4, 6)
@@ -175,15 +176,15 @@ class _Trainer:
             x[...] = flat[at : at + x.size].reshape(x.shape)
             at += x.size
 
-    def epoch(self, texts: list[str], labels: np.ndarray, seed: int = 1) -> None:
-        """Mini-batches; the gradient reaches only the positions that won the pooling."""
-        net, laid = self.net, [layout([t]) for t in texts]
-        order = np.random.default_rng(seed).permutation(len(texts))
+    def epoch(self, laid: np.ndarray, all_counts: np.ndarray, labels: np.ndarray, seed: int = 1) -> None:
+        """Mini-batches of a `layout`; the gradient reaches only the positions that won the pooling."""
+        net, all_room = self.net, np.maximum(all_counts, 1) + 2
+        end = np.cumsum(all_room)
+        order = np.random.default_rng(seed).permutation(len(end))
         for s in range(0, len(order), BATCH):
             batch = order[s : s + BATCH]
-            rows = np.concatenate([laid[i][0] for i in batch], axis=1)
-            counts = np.array([laid[i][2][0] for i in batch])
-            room = np.maximum(counts, 1) + 2
+            rows = np.concatenate([laid[:, end[i] - all_room[i] : end[i]] for i in batch], axis=1)
+            counts, room = all_counts[batch], all_room[batch]
             top, won = _winners(net, rows, np.cumsum(room) - room, counts)
             n, top = rows.shape[1], top + net.b
             a = np.maximum(top, 0)
@@ -212,37 +213,74 @@ class _Trainer:
             net.e[ROWS] = 0
 
 
-def train(rows: DataFrame) -> Net:
-    """A net from (text, toxic, shard) rows. The driver holds one model; shards' models meet by a grouped sum."""
+def train(texts: list[str], labels: np.ndarray) -> Net:
+    """A net from one shard's texts."""
+    trainer, (laid, _, counts) = _Trainer(), layout(texts)
+    for epoch in range(EPOCHS):
+        trainer.epoch(laid, counts, labels, epoch + 1)
+    return trainer.net
+
+
+def _packed(own: pd.DataFrame) -> pd.DataFrame:
+    """A shard as one row: the embedding rows of its texts, the words of each, the labels."""
+    own = own.sort_values(["doc_id", "text"])
+    laid, _, counts = layout(own["text"].tolist())
+    return pd.DataFrame({"shard": own["shard"][:1], "laid": [laid.astype(np.uint16).tobytes()], "counts": [counts.astype(np.int64).tobytes()], "toxic": [own["toxic"].to_numpy(np.float64).tobytes()]})
+
+
+def _summed(parts: pd.DataFrame) -> pd.DataFrame:
+    """Sums of a chunk of the model over some shards, in the order of the shards."""
+    total = np.zeros(1, np.float32)
+    for x in parts.sort_values("shard")["sums"]:
+        total = total + np.frombuffer(x, np.float32)
+    return pd.DataFrame({"chunk": parts["chunk"][:1], "shard": [parts["into"].iloc[0]], "steps": [parts["steps"].max()], "sums": [total.tobytes()]})
+
+
+def _epoch(packed: DataFrame, shards: int, flat: np.ndarray, steps: int, epoch: int) -> tuple[np.ndarray, int]:
+    """Each shard trains the model for an epoch; the mean of what they changed, and the largest number of steps."""
+    shared = packed.sparkSession.sparkContext.broadcast((flat, steps))  # of fixed size: the numbers of one model
+
+    def changed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, done = shared.value
+        for batch in batches:
+            for shard, laid, counts, toxic in zip(*batch.columns):
+                mine = _Trainer()
+                mine.load(before)
+                for o in mine.opts:
+                    o.t = done
+                mine.epoch(np.frombuffer(laid.as_buffer(), np.uint16).reshape(3, -1), np.frombuffer(counts.as_buffer(), np.int64), np.frombuffer(toxic.as_buffer(), np.float64), epoch + 1)
+                delta = mine.flat() - before
+                # Beside each change whether there is one: the mean is over the shards that have met a word.
+                sums = [np.stack([d, d != 0]).tobytes() for d in np.split(delta, range(CHUNK, len(delta), CHUNK))]
+                n = len(sums)
+                columns = [pa.array(range(n), pa.int32()), pa.array([shard.as_py()] * n, pa.int32()), pa.array([mine.opts[0].t] * n, pa.int64()), pa.array(sums, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["chunk", "shard", "steps", "sums"])
+
+    kind = "chunk int, shard int, steps long, sums binary"
+    found = packed.mapInArrow(changed, kind)
+    while True:
+        found = found.withColumn("into", (F.col("shard") / FAN).cast("int")).groupBy("chunk", "into").applyInPandas(_summed, kind)
+        shards = -(-shards // FAN)
+        if shards == 1:
+            break
+    # One model's numbers come to the driver, whatever the number of shards.
+    rows = found.toPandas().sort_values("chunk")
+    shared.unpersist()
+    total, hits = np.concatenate([np.frombuffer(x, np.float32).reshape(2, -1) for x in rows["sums"]], axis=1)
+    return total / np.maximum(hits, 1), int(rows["steps"].max())
+
+
+def train_shards(rows: DataFrame, shards: int) -> Net:
+    """A net from (doc_id, text, toxic) rows, dealt over `shards`."""
+    dealt = rows.select("doc_id", "text", "toxic", F.pmod(F.xxhash64("doc_id", "text"), F.lit(shards)).cast("int").alias("shard"))
+    # One shuffle serves the distinct rows and the shards.
+    dealt = dealt.repartition("shard").distinct()
+    # Words are numbered once; each epoch reads the numbers.
+    packed = written(dealt.groupBy("shard").applyInPandas(_packed, "shard int, laid binary, counts binary, toxic binary"))
     trainer, steps = _Trainer(), 0
-    context = rows.sparkSession.sparkContext
     for epoch in range(EPOCHS):
-        shared = context.broadcast((trainer.flat(), steps))
-
-        def changed(own: pd.DataFrame, shared=shared, epoch=epoch) -> pd.DataFrame:
-            before, done = shared.value
-            mine = _Trainer()
-            mine.load(before)
-            for o in mine.opts:
-                o.t = done
-            own = own.sort_values("doc_id")
-            mine.epoch(own["text"].tolist(), own["toxic"].to_numpy(np.float64), epoch + 1)
-            delta = mine.flat() - before
-            parts = [delta[i : i + CHUNK].tobytes() for i in range(0, len(delta), CHUNK)]
-            return pd.DataFrame({"chunk": np.arange(len(parts)), "steps": mine.opts[0].t, "delta": parts})
-
-        def mean(parts: pd.DataFrame) -> pd.DataFrame:
-            total = hits = 0
-            for x in parts["delta"]:
-                x = np.frombuffer(x, np.float32)
-                total, hits = total + x.astype(np.float64), hits + (x != 0)
-            return pd.DataFrame({"chunk": parts["chunk"][:1], "steps": [parts["steps"].max()], "delta": [(total / np.maximum(hits, 1)).astype(np.float32).tobytes()]})
-
-        kind = "chunk int, steps long, delta binary"
-        # One model's numbers come to the driver, whatever the number of shards.
-        found = rows.groupBy("shard").applyInPandas(changed, kind).groupBy("chunk").applyInPandas(mean, kind).toPandas().sort_values("chunk")
-        trainer.load(trainer.flat() + np.concatenate([np.frombuffer(x, np.float32) for x in found["delta"]]))
-        steps = int(found["steps"].max())
+        change, steps = _epoch(packed, shards, trainer.flat(), steps, epoch)
+        trainer.load(trainer.flat() + change)
     return trainer.net
 
 
@@ -273,9 +311,9 @@ def _best_cuts(scored: DataFrame, groups: list[str]) -> dict:
 
 
 def calibrate(net: Net, rows: DataFrame) -> None:
-    """Put every language's best threshold at THRESHOLD, from (text, toxic) rows."""
+    """Put every language's best threshold at THRESHOLD, from (doc_id, text, toxic) rows."""
     goal = np.log(THRESHOLD / (1 - THRESHOLD))
-    shared = rows.sparkSession.sparkContext.broadcast(net)
+    shared = rows.sparkSession.sparkContext.broadcast(net)  # of fixed size: ROWS x DIM numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value.tables()
@@ -283,9 +321,10 @@ def calibrate(net: Net, rows: DataFrame) -> None:
             for batch in in_slices(whole, 1):
                 texts = batch.column(1).to_pylist()
                 names = pa.array([language(t) for t in texts], pa.int32())
-                yield pa.RecordBatch.from_arrays([names, pa.array(shared.value.logits(texts, table)), batch.column(0)], names=["language", "logit", "toxic"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), names, pa.array(shared.value.logits(texts, table)), batch.column(2)], names=["row", "language", "logit", "toxic"])
 
-    scored = written(rows.select(F.col("toxic").cast("long").alias("toxic"), "text").mapInArrow(run, "language int, logit double, toxic long"))
+    logits = rows.select(F.xxhash64("doc_id", "text"), "text", F.col("toxic").cast("long")).mapInArrow(run, "row long, language int, logit double, toxic long")
+    scored = written(logits.groupBy("row").agg(F.min("language").alias("language"), F.min("logit").alias("logit"), F.max("toxic").alias("toxic")))
     net.shift[:] = goal - _best_cuts(scored, [])[()][0]
     for (k,), (cut, positives) in _best_cuts(scored, ["language"]).items():
         if positives >= LANGUAGE_POSITIVES:
@@ -302,15 +341,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Net | None:
     known = labels.where("doc_id is not null and toxic in (0, 1)").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     # Rows are dealt to training and calibration by a hash: none is in both.
-    known = known.withColumn("part", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(10)) < CALIBRATION_TENTHS).cast("int"))
-    texts = docs.where("text is not null").select("doc_id", "text").join(known, "doc_id").dropDuplicates(["doc_id"])
-    rows = written(texts)
+    known = written(known.withColumn("part", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(10)) < CALIBRATION_TENTHS).cast("int")))
+    docs = docs.select("doc_id", whole_text().alias("text"))
+    # A short list of labels (a long and two ints a row) goes to the texts; a longer one meets them by a shuffle, once.
+    few = known.count() <= BROADCAST_ROWS
+    rows = docs.join(F.broadcast(known), "doc_id") if few else written(docs.join(known, "doc_id"))
     sizes = {r["part"]: r for r in rows.groupBy("part").agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"), F.min("toxic").alias("low"), F.max("toxic").alias("high")).collect()}
     if not sizes or min(r["low"] for r in sizes.values()) == max(r["high"] for r in sizes.values()):
         return None
-    shards = max(1, *[-(-sizes[0][c] // most) for c, most in (("n", SHARD_ROWS), ("chars", SHARD_CHARS))]) if 0 in sizes else 0
-    first = rows.where("part = 0").withColumn("shard", F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(max(1, shards))))
-    net = train(first) if shards else Net()
+    shards = max(1, -(-sizes[0]["n"] // SHARD_ROWS), -(-sizes[0]["chars"] // SHARD_CHARS)) if 0 in sizes else 0
+    net = train_shards(rows.where("part = 0"), shards) if shards else Net()
     # A table too small for a calibration part of both labels is calibrated on all its rows.
     both = 1 in sizes and sizes[1]["low"] < sizes[1]["high"]
     calibrate(net, rows.where("part = 1") if both else rows)
