@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from lakesearch.operators import bm25
 from lakesearch.operators.batches import Batch
 from lakesearch.operators.scoring import BEST, best_of_postings
-from lakesearch.session import written
-from lakesearch.sources.files import Files
+from lakesearch.session import scratch, written
+from lakesearch.sources.files import Files, write_parquet
 from lakesearch.sources.tables import Versions
 
 BLOCK = 256
@@ -75,10 +75,12 @@ def _cutter(size: int):
 
 def blocks_of(postings: DataFrame, mean: Column) -> DataFrame:
     """Blocks of (term, doc, dl, tf) rows. A frequent term lies on several ranges: no task holds it whole."""
-    rows = postings.select("term", "doc", F.col("dl").cast("int").alias("dl"), F.col("tf").cast("int").alias("tf"), mean.cast("double").alias("mean"))
-    rows = rows.withColumn("share", share(F.col("tf"), F.col("dl"), F.col("mean"))).select("term", "doc", "dl", "tf", "share", "mean")
+    rows = postings.select("term", "doc", F.col("dl").cast("int").alias("dl"), F.col("tf").cast("int").alias("tf"))
+    top = share(F.col("tf"), F.col("dl"), mean.cast("double"))
     # Bounds of the ranges are sampled to the driver: only the first characters of a long term take part.
-    rows = rows.repartitionByRange(F.substring("term", 1, 64), F.col("share").desc(), "doc")
+    rows = rows.repartitionByRange(F.substring("term", 1, 64), top.desc(), "doc")
+    # What follows from the others is added behind the shuffle.
+    rows = rows.select("term", "doc", "dl", "tf", top.alias("share"), mean.cast("double").alias("mean"))
     return rows.sortWithinPartitions("term", F.col("share").desc(), "doc").mapInArrow(_cutter(BLOCK), _BLOCKS)
 
 
@@ -249,20 +251,29 @@ class SegmentIndex:
 
     def _write_segment(self, added: DataFrame, removed: DataFrame, before: list[dict]) -> dict | None:
         """Write the change from (doc, text) rows that came and went; `before`: the segments in force."""
+        with scratch(self.spark):
+            return self._written_segment(added, removed, before)
+
+    def _written_segment(self, added: DataFrame, removed: DataFrame, before: list[dict]) -> dict | None:
         name = f"segment-{uuid.uuid4().hex}"
         folder = f"{self.root}/{name}"
         both = added.select(F.lit(1).alias("sign"), "doc", "text").unionByName(removed.select(F.lit(-1).alias("sign"), "doc", "text"))
-        signed = written(_signed_postings(both))
         docs = written(_signed_lengths(both))
         totals = docs.agg(F.coalesce(F.sum("sign"), F.lit(0)), F.coalesce(F.sum(F.col("sign") * F.col("dl")), F.lit(0)), F.count("*")).first()
         if not totals[2]:
             return None
         n_docs, total_len = sum(s["n_docs"] for s in before) + totals[0], sum(s["total_len"] for s in before) + totals[1]
         mean = F.lit(total_len / n_docs if n_docs and total_len else 1.0)
-        blocks_of(signed.where("sign = 1"), mean).write.parquet(f"{folder}/blocks")
-        signed.groupBy("term").agg(F.sum("sign").cast("long").alias("df")).where("df <> 0").repartitionByRange(F.substring("term", 1, 64)).sortWithinPartitions("term").write.parquet(f"{folder}/terms")
-        removed.select(F.col("doc").cast("long").alias("doc")).write.parquet(f"{folder}/removed")
-        return {"name": name, "n_docs": totals[0], "total_len": totals[1], "rows": signed.count()}
+        came, went = bm25.postings_of(added), bm25.postings_of(removed)
+        write_parquet(blocks_of(came, mean), f"{folder}/blocks")
+        # Postings that came are counted by their blocks; they are no table of their own.
+        counts = self.spark.read.schema(_BLOCKS).parquet(f"{folder}/blocks").select("term", F.col("size").cast("long").alias("df"))
+        minus = written(went.groupBy("term").agg(F.count("*").alias("df")))
+        rows = counts.unionByName(minus).agg(F.coalesce(F.sum("df"), F.lit(0))).first()[0]
+        counts = counts.unionByName(minus.withColumn("df", -F.col("df"))).groupBy("term").agg(F.sum("df").alias("df"))
+        write_parquet(_by_term(counts), f"{folder}/terms")
+        write_parquet(removed.select(F.col("doc").cast("long").alias("doc")), f"{folder}/removed")
+        return {"name": name, "n_docs": totals[0], "total_len": totals[1], "rows": rows}
 
     def apply(self, added: DataFrame, removed: DataFrame, silver_version: int) -> None:
         """Take a change of the corpus in: (doc, text) rows that came and went. Nothing else is read but term counts."""
@@ -288,6 +299,10 @@ class SegmentIndex:
         Removed documents' postings go with the merge, and so do their numbers once the oldest
         segment takes part; before, documents of earlier segments may still need them.
         """
+        with scratch(self.spark):
+            self._merge_full_classes()
+
+    def _merge_full_classes(self) -> None:
         while True:
             state = self.state()
             classes: dict[int, list[int]] = {}
@@ -304,12 +319,12 @@ class SegmentIndex:
             folder = f"{self.root}/{name}"
             live = written(postings_in(own.blocks).join(everything.removed, "doc", "left_anti"))
             mean = everything.mean or 1.0
-            blocks_of(live, F.lit(mean)).write.parquet(f"{folder}/blocks")
-            own.terms.groupBy("term").agg(F.sum("df").cast("long").alias("df")).where("df <> 0").repartitionByRange(F.substring("term", 1, 64)).sortWithinPartitions("term").write.parquet(f"{folder}/terms")
+            write_parquet(blocks_of(live, F.lit(mean)), f"{folder}/blocks")
+            write_parquet(_by_term(own.terms.groupBy("term").agg(F.sum("df").cast("long").alias("df"))), f"{folder}/terms")
             # Numbers of removed documents are needed while any segment outside the merge holds them.
             others = self._reader(rest, state["floor"], everything.docs)
             held = others.blocks.select(F.explode("docs").alias("doc")).join(own.removed, "doc", "left_semi").distinct() if rest else own.removed.where("false")
-            held.write.parquet(f"{folder}/removed")
+            write_parquet(held, f"{folder}/removed")
             merged = {"name": name, "n_docs": sum(s["n_docs"] for s in chosen), "total_len": sum(s["total_len"] for s in chosen), "rows": live.count()}
             self.versions.write({**state, "segments": [*rest, merged]})
 
@@ -332,12 +347,11 @@ class SegmentIndex:
         return len(old)
 
 
-def _signed_postings(both: DataFrame) -> DataFrame:
-    """(term, doc, dl, tf, sign) of (sign, doc, text) rows: a document may come and go in one change."""
-    parts = [bm25.postings_of(both.where(F.col("sign") == s)).withColumn("sign", F.lit(s)) for s in (1, -1)]
-    return parts[0].unionByName(parts[1])
+def _by_term(counts: DataFrame) -> DataFrame:
+    return counts.where("df <> 0").repartitionByRange(F.substring("term", 1, 64)).sortWithinPartitions("term")
 
 
 def _signed_lengths(both: DataFrame) -> DataFrame:
+    """(sign, doc, dl) of (sign, doc, text) rows: a document may come and go in one change."""
     parts = [bm25.doc_lengths(both.where(F.col("sign") == s)).withColumn("sign", F.lit(s)) for s in (1, -1)]
     return parts[0].unionByName(parts[1])

@@ -112,14 +112,20 @@ def arrival() -> Column:
     return F.struct(*[F.coalesce(F.col(c), F.lit(low)).alias(c) for c, low in zip(ARRIVAL, ("", -(1 << 63)))])
 
 
+#: Up to so many texts that are there already go to all tasks.
+MET_BROADCAST = 1 << 18
+
+
 def text_changes(current: DataFrame, new: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows that come, numbered rows that go) when `new`, one row a text, meets numbered `current` rows.
 
     A text that is there already is taken over by a later arrival only.
     """
-    known = current.select(F.col("text").alias("__text"), F.col("doc_order").alias("__doc"), arrival().alias("__known"))
-    met = new.withColumn("__new", arrival()).join(known, (F.xxhash64("text") == F.xxhash64("__text")) & (F.col("text") == F.col("__text")), "left")
-    came = met.where(F.col("__doc").isNull() | (F.col("__new") > F.col("__known")))
-    came = written(came.select(*new.columns, "__doc"))
-    gone = current.join(came.select(F.col("__doc").alias("doc_order")).na.drop(), "doc_order", "left_semi")
-    return came.drop("__doc"), gone
+    digest = F.unhex(F.sha2("text", 256)).alias("__digest")
+    known = current.select(digest, "doc_order", arrival().alias("__known"))
+    # Texts on both sides, as digests: no text is shuffled to find them.
+    met = new.select(digest, arrival().alias("__new")).join(known, "__digest")
+    met = written(met.select("__digest", "doc_order", (F.col("__new") > F.col("__known")).alias("later")))
+    beside = F.broadcast if met.count() <= MET_BROADCAST else lambda keys: keys
+    came = new.withColumn("__digest", digest).join(beside(met.where(~F.col("later")).select("__digest")), "__digest", "left_anti")
+    return came.select(*new.columns), current.join(beside(met.where("later").select("doc_order")), "doc_order", "left_semi")

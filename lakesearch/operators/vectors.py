@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from lakesearch.functions.embed import Embedder, hashed_embedder
 from lakesearch.functions.hashing import content_hash, point_id
 from lakesearch.schemas import LEDGER, PAYLOAD, VECTORS
-from lakesearch.session import written
+from lakesearch.session import scratch, written
 from lakesearch.sources.tables import MergedTable, Table
 
 # Fixed value: what the ledger's hash was taken of.
@@ -147,9 +147,14 @@ class VectorStore:
         changed) are noted as replaced and looked over when the table is read, so no vector is
         rewritten for them; to find them nothing but the id column is read.
         """
-        points = written(last_per_point(check_dim(points, self.dim)))  # embed once
-        clash = written(self.points().select("point_id").join(points.select("point_id"), "point_id", "left_semi"))
-        self.vectors.merge(points, None if clash.isEmpty() else clash)
+        with scratch(self.spark):
+            self._merge(self.vectors.stage(last_per_point(check_dim(points, self.dim))))
+
+    def _merge(self, part: str) -> None:
+        """Put a staged part, one row a point, in force: embedded and written once, it is its own scratch table."""
+        points = self.vectors.staged(part).select("point_id")
+        clash = written(self.points().select("point_id").join(points, "point_id", "left_semi"))
+        self.vectors.merge_staged(part, None if clash.isEmpty() else clash)
         self.vectors.compact()
 
     def sync(
@@ -167,18 +172,24 @@ class VectorStore:
         self.ensure()
         hash_of = OF_TITLE if embed_col == "title" else OF_SNIPPET
         new_rows = sync_new_rows(silver, self.ledger.read(), hash_of)
-        if id_mode == "item":  # points are named by item, so equal texts must be met here: the first item stays
-            first = Window.partitionBy("content_hash").orderBy(F.col("time").asc_nulls_last(), "id")
-            new_rows = new_rows.withColumn("__rn", F.row_number().over(first)).where("__rn = 1").drop("__rn")
-        else:
-            new_rows = latest_per_hash(new_rows)
-        new_rows = written(new_rows)  # found once; what follows starts from here
-        hashes = new_rows.select("content_hash").distinct().withColumn("hash_of", F.lit(hash_of))
-        added = hashes.count()
-        if added:
-            self.upsert(vector_points(new_rows, embedder or hashed_embedder(self.dim), embed_col, id_mode))
-            self.ledger.append(hashes)
-            self.ledger.compact()
+        points = lambda rows: check_dim(vector_points(rows, embedder or hashed_embedder(self.dim), embed_col, id_mode), self.dim)
+        with scratch(self.spark):
+            if id_mode == "item":  # points are named by item, so equal texts must be met here: the first item stays
+                first = Window.partitionBy("content_hash").orderBy(F.col("time").asc_nulls_last(), "id")
+                new_rows = new_rows.withColumn("__rn", F.row_number().over(first)).where("__rn = 1").drop("__rn")
+                found = new_rows = written(new_rows)  # an item may have several titles: all are synced, the last is its point
+                part = self.vectors.stage(last_per_point(points(new_rows)))
+            else:  # a text is a point
+                part = self.vectors.stage(points(latest_per_hash(new_rows)))
+                found = self.vectors.staged(part)
+            hashes = found.select("content_hash").distinct().withColumn("hash_of", F.lit(hash_of))
+            added = hashes.count()
+            if added:
+                self._merge(part)
+                self.ledger.append(hashes)
+                self.ledger.compact()
+            else:
+                self.vectors.drop_staged(part)
         return added
 
     def prune(self, silver: DataFrame) -> None:

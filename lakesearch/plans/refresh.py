@@ -12,11 +12,11 @@ from lakesearch.functions.embed import EMBEDDING_DIM, Embedder, hashed_embedder
 from lakesearch.functions.text import iso_utc, partition_date, partition_hour
 from lakesearch.operators import bm25, fusion
 from lakesearch.operators.postings import SegmentIndex
-from lakesearch.operators.silver import BUCKETS, bucket_of, build_silver, dedup_text, long_enough, text_changes, with_doc_order, with_snippets
+from lakesearch.operators.silver import BUCKET_BITS, BUCKETS, bucket_of, build_silver, dedup_text, long_enough, text_changes, with_doc_order, with_snippets
 from lakesearch.operators.validate import validate_light
 from lakesearch.operators.vectors import VectorStore, payload_of
 from lakesearch.schemas import SILVER, SILVER_COLUMNS
-from lakesearch.session import written
+from lakesearch.session import discard, scratch, written
 from lakesearch.sources.bronze import append_bronze, bronze_files, read_bronze, read_files
 from lakesearch.sources.buckets import BucketTable
 from lakesearch.sources.tables import Table
@@ -24,7 +24,8 @@ from lakesearch.sources.tables import Table
 
 #: Bronze files that are in Silver.
 SOURCE = T.StructType([T.StructField("path", T.StringType()), T.StructField("changed", T.TimestampType())])
-#: Documents that came (sign 1) and went (-1) with each version of Silver.
+#: What happened with each version of Silver: rows that went (sign -1), and a row (sign 1) with the lowest number
+#: of those that came. Numbers only rise, so the rows themselves are those of Silver from that number on.
 CHANGES = T.StructType([T.StructField("silver_version", T.LongType()), T.StructField("sign", T.IntegerType()), *SILVER])
 
 
@@ -34,10 +35,14 @@ class IngestCounts(NamedTuple):
 
 
 class Lake:
-    """All tables below one root."""
+    """All tables below one root.
 
-    def __init__(self, spark: SparkSession, root: str, dim: int = EMBEDDING_DIM, embedder: Embedder | None = None):
-        self.spark, self.root = spark, root.rstrip("/")
+    What a change replaces stays for readers that started before, until `expire`. With `keep_replaced`
+    off nobody else reads: it goes with the change.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, dim: int = EMBEDDING_DIM, embedder: Embedder | None = None, keep_replaced: bool = True):
+        self.spark, self.root, self.keep_replaced = spark, root.rstrip("/"), keep_replaced
         self.embedder = embedder
         self.bronze_root = f"{self.root}/bronze"
         self.silver = BucketTable(spark, f"{self.root}/silver", SILVER, "doc_part", BUCKETS)
@@ -48,31 +53,50 @@ class Lake:
 
     def write_silver(self, silver: DataFrame, built: bool = False) -> None:
         """All of Silver anew; `built`: from Bronze alone. Whoever follows the changes starts anew as well."""
-        numbered = with_doc_order(silver.select(*SILVER_COLUMNS))
-        self.changes.clear()
-        self.silver.replace(numbered, whole=self.silver.version() + 1, built=built, next=numbered.count())
-
-    def _change_silver(self, came: DataFrame, gone: DataFrame, **noted) -> bool:
+        with scratch(self.spark):
+            numbered = with_doc_order(silver.select(*SILVER_COLUMNS))
+            self.changes.clear()
+            self.silver.replace(numbered, whole=self.silver.version() + 1, built=built, next=numbered.count())
+        self._drop_replaced(self.silver, self.changes)
+
+    def _drop_replaced(self, *tables: BucketTable | Table | SegmentIndex) -> None:
+        if not self.keep_replaced:
+            for table in tables:
+                table.expire()
+
+    def expire(self) -> None:
+        """Delete what is no longer in force. Only for times without readers."""
+        for table in (self.silver, self.source, self.changes, self.store.vectors, self.store.ledger, self.store.synced, self.index):
+            table.expire()
+
+    def _change_silver(self, came: DataFrame, gone: DataFrame, made_of: tuple[DataFrame, ...] = (), **noted) -> bool:
         """Let rows come and numbered rows go. Only the buckets of their texts are written anew.
 
         The change is noted first, under the version it makes: if that version never comes about, the
-        note is overwritten by the next change of the same number.
+        note is overwritten by the next change of the same number. `made_of`: scratch tables that
+        only `came` is made of, which go once its rows are numbered.
         """
         version, first = self.silver.version() + 1, self.silver.state().get("next", 0)
         came = with_doc_order(came.select(*SILVER_COLUMNS), first).select(*SILVER.fieldNames())
+        for table in made_of:
+            discard(table)
         touched = [r["doc_part"] for r in came.select("doc_part").union(gone.select("doc_part")).distinct().collect()]
         if not touched:
             return False
         gone = gone.select(*SILVER.fieldNames())
         sign = lambda df, n: df.select(F.lit(version).cast("bigint").alias("silver_version"), F.lit(n).alias("sign"), *SILVER.fieldNames())
         noted_before = self.changes.read().where(F.col("silver_version") < version)
-        both = sign(came, 1).unionByName(sign(gone, -1))
+        lowest = [F.lit(first << BUCKET_BITS if f.name == "doc_order" else None).cast(f.dataType).alias(f.name) for f in SILVER]
+        both = sign(self.spark.range(1).select(*lowest), 1).unionByName(sign(gone, -1))
         if self.changes.read().where(F.col("silver_version") >= version).isEmpty():
             self.changes.append(both)
         else:
             self.changes.replace(noted_before.unionByName(both))
-        stays = self.silver.read(touched).join(gone.select("doc_order"), "doc_order", "left_anti")
+        # Of the numbers that went a pass of the write has those of its buckets.
+        went = self.changes.read().where((F.col("silver_version") == version) & (F.col("sign") == -1)).select("doc_part", "doc_order")
+        stays = self.silver.read(touched).join(F.broadcast(went), ["doc_part", "doc_order"], "left_anti")
         self.silver.write(stays.select(*SILVER.fieldNames()).unionByName(came), touched, next=first + came.count(), **noted)
+        self._drop_replaced(self.silver)
         return True
 
     def build_silver(self) -> bool:
@@ -83,6 +107,10 @@ class Lake:
         files is noted last: a crash in between repeats a step that then changes nothing. Silver
         that somebody else has written since is built anew from all of Bronze.
         """
+        with scratch(self.spark):
+            return self._build_silver()
+
+    def _build_silver(self) -> bool:
         bronze = read_bronze(self.spark, self.bronze_root)
         if bronze.isEmpty():
             return False
@@ -100,7 +128,7 @@ class Lake:
         rows = written(long_enough(dedup_text(with_snippets(read_files(self.spark, self.bronze_root, paths)))).select(*SILVER_COLUMNS))
         met = [r["b"] for r in rows.select(bucket_of("text").alias("b")).distinct().collect()]
         came, gone = text_changes(self.silver.read(met), rows)
-        changed = self._change_silver(came, gone)
+        changed = self._change_silver(came, gone, (rows,))
         self.source.append(new)
         self.source.compact()
         return changed
@@ -114,17 +142,25 @@ class Lake:
         self.build_silver()
         if not self.silver.exists():
             return 0
-        added = self._follow_with_vectors() if vectors else 0
-        if index:
+        if index:  # its scratch tables are the largest, so the vectors come after it
             self._follow_with_index()
+        added = self._follow_with_vectors() if vectors else 0
         if self.changes.parts() and self.store.synced_version() == self.index.silver_version() == self.silver.version():
             self.changes.clear()  # everybody has seen them
+        if not self.keep_replaced:
+            self.expire()
         return added
 
-    def _since(self, version: int) -> DataFrame | None:
-        """Changes after a version of Silver; None if they are not all noted."""
-        whole = self.silver.state().get("whole", 0)
-        return self.changes.read().where(F.col("silver_version") > version) if version >= whole else None
+    def _since(self, version: int) -> tuple[DataFrame, DataFrame, DataFrame] | None:
+        """After a version of Silver: rows that came and stay, that went, and that came and went since. None if not all is noted."""
+        state, now = self.silver.state(), self.silver.version()
+        if version < state.get("whole", 0):
+            return None
+        noted = self.changes.read().where(F.col("silver_version").between(version + 1, now))
+        first = noted.where("sign = 1").agg(F.min("doc_order")).first()[0]
+        new = F.lit(False) if first is None else F.col("doc_order") >= first
+        went = noted.where("sign = -1").select(*SILVER.fieldNames())
+        return self.silver.read().where(new), went.where(~new), went.where(new)
 
     def _follow_with_vectors(self) -> int:
         """Embed what came to Silver since the last time; returns new vectors."""
@@ -132,7 +168,7 @@ class Lake:
         if now == known:
             return 0
         since = self._since(known)
-        came = self.silver.read() if since is None else since.where("sign = 1").select(*SILVER.fieldNames())
+        came = self.silver.read() if since is None else since[0].unionByName(since[2])
         added = self.store.sync(came, self.embedder)
         self.store.note_synced(now)
         return added
@@ -147,9 +183,7 @@ class Lake:
             self.index.build(bm25.corpus(self.silver.read()), now)
             return
         # A document that came and went in between is in neither list.
-        net = written(since.groupBy("doc_order", "text").agg(F.sum("sign").alias("sign")))
-        of = lambda n: bm25.corpus(net.where(F.col("sign") == n))
-        self.index.apply(of(1), of(-1), now)
+        self.index.apply(bm25.corpus(since[0]), bm25.corpus(since[1]), now)
 
     def ingest_batch(self, items: DataFrame, batch: str, now: Column | int | None = None) -> IngestCounts:
         """On-demand run: light validation, Bronze, Silver merged by id, vectors by item.
@@ -174,8 +208,9 @@ class Lake:
             first = Window.partitionBy("id").orderBy("_ingested_at")
             new = landed.withColumn("__rn", F.row_number().over(first)).where("__rn = 1").drop("__rn")
             known = self.silver.read().select("id")
-            came = written(new.join(known, "id", "left_anti"))
-            self._change_silver(came, self.silver.read([]), built=False)
+            with scratch(self.spark):
+                came = written(new.join(known, "id", "left_anti"))
+                self._change_silver(came, self.silver.read([]), (came,), built=False)
             self.store.sync(landed, self.embedder, embed_col="title", id_mode="item")
         return IngestCounts(counts["valid"], counts["dlq"])
 

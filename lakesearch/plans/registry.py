@@ -466,7 +466,7 @@ def ingest_batch_counts(spark, sf_dir):
 
 
 def _new_lake(spark) -> Lake:
-    return Lake(spark, f"{scratch_dir(spark)}/lake-{uuid.uuid4().hex}")
+    return Lake(spark, f"{scratch_dir(spark)}/lake-{uuid.uuid4().hex}", keep_replaced=False)
 
 
 def _landed(spark, sf_dir, compact: bool = False):

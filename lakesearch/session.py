@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakesearch.sources.files import Files
+from lakesearch.sources.files import Files, write_parquet
 
 # Runtime settings every job relies on. Shuffle partitions are not fixed here:
 # AQE coalesces from whatever initial number the cluster names.
@@ -55,6 +58,24 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 _written: list[str] = []
+_scope = threading.local()
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables that this thread writes inside are deleted on leaving: nothing built on them may be used after."""
+    outer, _scope.paths = getattr(_scope, "paths", None), []
+    try:
+        yield
+    finally:
+        own, _scope.paths = _scope.paths, outer
+        for path in own:
+            Files(spark, path).delete(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table that `written` has returned, once nothing built on it is needed."""
+    Files(df.sparkSession, df._lakesearch_path).delete(df._lakesearch_path)
 
 
 def discard_written(spark: SparkSession) -> None:
@@ -69,9 +90,16 @@ def written(df: DataFrame) -> DataFrame:
 
     For a result that several passes start from: it is computed once, later passes
     prune its columns, and a lost executor only repeats its own reads. The folder
-    stays until `discard_written`, as results built on it are computed later.
+    stays until `discard_written`, as results built on it are computed later; inside
+    `scratch` it goes with the scope.
     """
     path = f"{scratch_dir(df.sparkSession)}/lakesearch-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _written.append(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    own = getattr(_scope, "paths", None)
+    (_written if own is None else own).append(path)
+    if own is None:
+        df.write.parquet(path)
+    else:
+        write_parquet(df, path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._lakesearch_path = path
+    return out

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lakesearch.functions.text import iso_utc, partition_date, partition_hour
 from lakesearch.operators.filters import event_key
 from lakesearch.schemas import BRONZE, STORY_FIELDS
-from lakesearch.sources.files import Files
+from lakesearch.sources.files import Files, write_parquet
 from lakesearch.sources.tables import Versions
 
 # A compacted file aims at this size; a larger partition gets several.
@@ -51,14 +51,8 @@ def append_bronze(df: DataFrame, root: str, batch: str | int) -> bool:
             files.delete(f"{root}/date={date}/hour={hour}/batch={batch}")
     files.write_new(f"{record}/plan-{uuid.uuid4().hex}", json.dumps(hours))
     # An hour is one file, unless it is too large for one task: else every task has a file for every hour.
-    (
-        df.withColumn("batch", F.lit(str(batch)))
-        .hint("rebalance", "date", "hour")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date", "hour", "batch")
-        .parquet(root)
-    )
+    rows = df.withColumn("batch", F.lit(str(batch))).hint("rebalance", "date", "hour")
+    write_parquet(rows, root, ("date", "hour", "batch"), "overwrite", partitionOverwriteMode="dynamic")
     files.write_new(f"{record}/landed", json.dumps(hours))
     return True
 
@@ -162,12 +156,7 @@ def compact_bronze(spark: SparkSession, root: str, before: tuple[str, str] | Non
         .join(slots, ["date", "hour"])
         .withColumn("__slot", F.pmod("__row", "slots"))
     )
-    (
-        rows.repartition("date", "hour", "__slot")
-        .drop("__row", "__slot", "slots")
-        .write.partitionBy("date", "hour")
-        .parquet(f"{stage}/new")
-    )
+    write_parquet(rows.repartition("date", "hour", "__slot").drop("__row", "__slot", "slots"), f"{stage}/new", ("date", "hour"))
     expected = sum(r["rows"] for r in chosen)
     written = spark.read.schema(BRONZE).parquet(f"{stage}/new").count()
     if written != expected:

@@ -13,9 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakesearch.sources.files import Files
+from lakesearch.sources.files import Files, input_bytes, write_parquet
 from lakesearch.sources.tables import Versions
 
+#: A write from more bytes of files is made in several passes, up to PASSES: the share that lies in shuffle files at a time.
+PASS_BYTES = 32 << 20
+PASSES = 8
+
 
 class BucketTable:
     """`schema` includes the bucket number, an integer below `buckets`, as column `bucket`."""
@@ -56,13 +60,19 @@ class BucketTable:
         """Make `rows` the content of the buckets `touched` (by default of all).
 
         Every other bucket keeps its run. `rows` may be computed from this very table.
-        `noted` is kept with the version.
+        `noted` is kept with the version. Many rows are written in passes, each for a range of buckets, so
+        that only a part of them lies in shuffle files at a time; the version comes after the last.
         """
         run = uuid.uuid4().hex
         columns = [f for f in self.schema.fieldNames() if f != self.bucket]
         out = rows.select(*columns, self.bucket, F.lit(run).alias("run"))
-        # A bucket is one file, unless it is too large for one task: then the rebalancing splits it.
-        out.hint("rebalance", self.bucket).write.mode("append").partitionBy(self.bucket, "run").parquet(self.root)
+        wanted = sorted(set(range(self.buckets) if touched is None else touched))
+        passes = min(PASSES, len(wanted), -(-input_bytes(out) // PASS_BYTES))
+        for i in range(max(1, passes)):
+            own = wanted[len(wanted) * i // passes : len(wanted) * (i + 1) // passes] if passes > 1 else []
+            part = out.where(F.col(self.bucket).between(own[0], own[-1])) if own else out
+            # A bucket is one file, unless it is too large for one task: then the rebalancing splits it.
+            write_parquet(part.hint("rebalance", self.bucket), self.root, (self.bucket, "run"), "append")
         before = self.state()
         kept = {b: r for b, r in before["runs"].items() if touched is not None and int(b) not in set(touched)}
         there = [b for b in range(self.buckets) if touched is None or b in set(touched)]

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakesearch.sources.files import Files
+from lakesearch.sources.files import Files, write_parquet
 
 _PREFIX, _SUFFIX = "_v-", ".json"
 
@@ -85,8 +85,7 @@ class Table:
 
     def _write_part(self, df: DataFrame, partition_by: tuple[str, ...]) -> str:
         part = f"part-{uuid.uuid4().hex}"
-        columns = df.select(*self.schema.fieldNames())
-        columns.write.partitionBy(*partition_by).parquet(f"{self.root}/{part}")
+        write_parquet(df.select(*self.schema.fieldNames()), f"{self.root}/{part}", partition_by)
         return part
 
     def replace(self, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
@@ -176,14 +175,27 @@ class MergedTable(Table):
 
     def merge(self, df: DataFrame, replaced: DataFrame | None = None) -> None:
         """Add rows of distinct keys; `replaced` are those of their keys that are there already."""
+        self.merge_staged(self.stage(df), replaced)
+
+    def stage(self, df: DataFrame) -> str:
+        """Write rows of distinct keys as a part that is not in force yet."""
+        return self._write_part(df.withColumn("_change", F.lit(self.state()["next"]).cast("bigint")), ())
+
+    def staged(self, part: str) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(f"{self.root}/{part}").select(*self.plain.fieldNames())
+
+    def drop_staged(self, part: str) -> None:
+        self.files.delete(f"{self.root}/{part}")
+
+    def merge_staged(self, part: str, replaced: DataFrame | None = None) -> None:
+        """`merge` of the rows of a staged part, the last one that was written."""
         state = self.state()
         change = state["next"]
-        part = self._write_part(df.withColumn("_change", F.lit(change).cast("bigint")), ())
         count = lambda name: self.spark.read.parquet(f"{self.root}/{name}").count()
         state |= {"parts": [*state["parts"], part], "next": change + 1, "rows": state["rows"] + count(part)}
         if replaced is not None:
             dead = f"part-{uuid.uuid4().hex}"
-            replaced.select(self.key, F.lit(change).cast("bigint").alias("_before")).write.parquet(f"{self.root}/{dead}")
+            write_parquet(replaced.select(self.key, F.lit(change).cast("bigint").alias("_before")), f"{self.root}/{dead}")
             state |= {"dead": [*state["dead"], dead], "dead_rows": state["dead_rows"] + count(dead)}
         self.versions.write(state)
 
