@@ -114,3 +114,15 @@ def test_a_term_on_many_ranges(spark, tmp_path):
     assert reader.blocks.where("term = 'all'").agg(F.sum("size")).first()[0] == 5000
     q = Batch(spark.createDataFrame([(1, "rare all")], "query_id long, query_text string"), True)
     assert best(reader.topk(q, 20)) == best(bm25.batch_topk(q, bm25.build_index(docs), 20, True))
+
+
+def test_postings_are_no_table_of_their_own(spark, tmp_path, monkeypatch):
+    """What is written beside a segment is a row a document, or a row a term that went."""
+    seen = []
+    monkeypatch.setattr(postings, "written", lambda df, kept=postings.written: (seen.append(set(df.columns)), kept(df))[1])
+    store = postings.SegmentIndex(spark, str(tmp_path / "i"))
+    store.build(frame(spark, [(1, "a b b"), (2, "a c")]), 1)
+    store.apply(frame(spark, [(3, "a d")]), frame(spark, [(2, "a c")]), 2)
+    assert seen and not any("tf" in columns for columns in seen)
+    terms = {r["term"]: r["df"] for r in store.open(frame(spark, [])).terms.groupBy("term").agg(F.sum("df").alias("df")).collect()}
+    assert terms == {"a": 2, "b": 1, "c": 0, "d": 1} and [s["rows"] for s in store.state()["segments"]] == [4, 4]
